@@ -17,9 +17,23 @@ from ledgerline.operators.relational import latest_per_key
 
 FIRST_YEAR = 1995
 
+# Columns of the given tables. Stating them saves a look into the files
+# before every query.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _money(name: str) -> Column:
@@ -160,9 +174,9 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def usage_on_time(spark: SparkSession, folder: str) -> DataFrame:
+def usage_from(events: DataFrame) -> DataFrame:
     """Usage rows of the regular drops: three batches, one per third of the month."""
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").alias("customer_id"),
         F.col("ts").cast("date").alias("event_date"),
         F.col("event_type").alias("metric_name"),
@@ -172,9 +186,17 @@ def usage_on_time(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def usage_late(spark: SparkSession, folder: str) -> DataFrame:
+def late_part(usage: DataFrame) -> DataFrame:
     """The late file: everything of the first drop, sent again with the third."""
-    return usage_on_time(spark, folder).filter(F.col(BATCH) == 1).withColumn(BATCH, F.lit(3))
+    return usage.filter(F.col(BATCH) == 1).withColumn(BATCH, F.lit(3))
+
+
+def usage_on_time(spark: SparkSession, folder: str) -> DataFrame:
+    return usage_from(table(spark, folder, "events"))
+
+
+def usage_late(spark: SparkSession, folder: str) -> DataFrame:
+    return late_part(usage_on_time(spark, folder))
 
 
 def support_tickets(spark: SparkSession, folder: str) -> DataFrame:
@@ -335,7 +357,7 @@ def as_raw(df: DataFrame, entity: Entity, filename: str) -> DataFrame:
         elif kind in ("us_date", "us_stamp"):
             column = F.date_format(column, "MM/dd/yyyy")
         elif kind == "stamp":
-            column = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+            column = F.concat(F.translate(column.cast("string"), " ", "T"), F.lit("Z"))
         return F.coalesce(column.cast("string"), F.lit("N/A")).alias(name)
 
     return df.select(
