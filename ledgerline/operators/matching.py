@@ -30,7 +30,6 @@ def _names(df: DataFrame, column: str, side: int) -> DataFrame:
     return (
         df.filter(F.col(column).isNotNull()).select(F.col(column).alias("name")).distinct()
         .withColumn("grams", trigrams(F.col("name")))
-        .filter(F.size("grams") > 0)
         .withColumn("side", F.lit(side))
     )
 

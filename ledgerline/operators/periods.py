@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 def pair_periods(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
     """Every (key, period) that has a value in the period or in the one before.
 
-    Result: key, period, had_previous, previous, has_current, current. It is the full
+    Result: key, period, had_previous, previous, has_current, current, seen_before. It is the full
     outer join of the table with itself shifted by one period, without the join: a row
     looks one row back for its predecessor, and a row without successor also yields the
-    entry of the period in which its key is gone. Input has one row per (key, period);
-    a group of the window is at most the number of periods.
+    entry of the period in which its key is gone. ``seen_before`` tells whether the key had
+    a value in any earlier period. Input has one row per (key, period); a group of the
+    window is at most the number of periods.
 
     A NULL key identifies nobody, so its rows never pair up; both of their entries come
     out with ``had_previous`` false.
@@ -27,6 +28,7 @@ def pair_periods(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
         key, period, F.col(value).alias("_value"),
         follows.alias("_follows"), continues.alias("_continues"),
         F.lag(value).over(timeline).alias("_before"),
+        (known & F.lag(period).over(timeline).isNotNull()).alias("_seen"),
     )
     none = F.lit(None).cast(df.schema[value].dataType)
     here = F.struct(
@@ -35,6 +37,7 @@ def pair_periods(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
         F.when(F.col("_follows"), F.col("_before")).alias("previous"),
         F.lit(True).alias("has_current"),
         F.col("_value").alias("current"),
+        F.col("_seen").alias("seen_before"),
     )
     gone = F.struct(
         (F.col(period) + 1).alias(period),
@@ -42,6 +45,7 @@ def pair_periods(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
         F.col("_value").alias("previous"),
         F.lit(False).alias("has_current"),
         none.alias("current"),
+        known.alias("seen_before"),
     )
     entries = F.when(F.col("_continues"), F.array(here)).otherwise(F.array(here, gone))
     return seen.select(key, F.inline(entries))

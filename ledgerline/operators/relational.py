@@ -58,6 +58,16 @@ def attach(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]) -
     return df.join(lookup.select(key, *columns), key, "left")
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Mark a lookup for broadcast after counting that it is small; else leave it alone.
+
+    For lookups that are computed rather than stored: their size is unknown when the join
+    is planned, and shuffling a fact table by a key of few values would pile it up in as
+    few tasks.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def pivot_filled(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
     """One row per ``row``, one column per listed value, missing cells 0."""
     cells = [

@@ -133,7 +133,8 @@ def mrr_changes(subscriptions: DataFrame, customers: DataFrame, close_last: bool
     """Customer × batch: previous and current MRR, their difference, kind of change, region.
 
     Includes customers whose MRR stayed (``retained``), so both the movements and the
-    retention figures come from this one table. The period after the newest batch holds
+    retention figures come from this one table. ``seen_before`` marks customers that had
+    MRR in any earlier batch. The period after the newest batch holds
     only the absence of data; ``close_last=True`` keeps it, and then everyone churns there.
     """
     pairs = pair_periods(batch_mrr(subscriptions), "customer_id", BATCH, "total_mrr")
@@ -154,12 +155,13 @@ def mrr_changes(subscriptions: DataFrame, customers: DataFrame, close_last: bool
         F.col("current").alias("current_mrr"),
         (F.coalesce("current", zero) - F.coalesce("previous", zero)).alias("mrr_change"),
         kind.alias("movement_type"),
+        "seen_before",
     )
 
 
 def movements_only(changes: DataFrame) -> DataFrame:
     """Changes without the customers that stayed as they were."""
-    return changes.filter(F.col("movement_type") != "retained")
+    return changes.filter(F.col("movement_type") != "retained").drop("seen_before")
 
 
 def fct_mrr_movements(subscriptions: DataFrame, customers: DataFrame, close_last: bool = False) -> DataFrame:

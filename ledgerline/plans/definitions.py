@@ -32,35 +32,30 @@ def reactivations(monthly: DataFrame) -> DataFrame:
     )
 
 
-def nrr_by_definition(changes: DataFrame, returned: DataFrame) -> DataFrame:
+def nrr_by_definition(changes: DataFrame) -> DataFrame:
     """Batch × region retention under three definitions.
 
     ``nrr_pct`` counts expansion, contraction and churn; ``nrr_no_contraction_pct`` leaves
-    contraction out; ``nrr_with_reactivation_pct`` adds MRR won back from ``returned``
-    customers (:func:`reactivations`).
+    contraction out; ``nrr_with_reactivation_pct`` adds the MRR of customers that are new
+    in the batch but had MRR some time before.
     """
-    back = returned.select("customer_id", "batch_id", F.col("current_mrr").alias("_back"))
     kind = F.col("movement_type")
     change = F.abs("mrr_change")
     none = F.lit(0).cast(MONEY)
-    sums = (
-        changes.join(back, ["customer_id", "batch_id"], "left")
-        .groupBy("batch_id", "region")
-        .agg(
-            F.coalesce(F.sum("previous_mrr"), none).alias("starting_mrr"),
-            sum_when(kind == "expansion", F.col("mrr_change")).alias("expansion_mrr"),
-            sum_when(kind == "contraction", change).alias("contraction_mrr"),
-            sum_when(kind == "churn", change).alias("churned_mrr"),
-            F.coalesce(F.sum("_back"), none).alias("reactivated_mrr"),
-        )
-    )
-    start, grown, shrunk, lost, back_mrr = (
+    sums = changes.groupBy("batch_id", "region").agg(
+        F.coalesce(F.sum("previous_mrr"), none).alias("starting_mrr"),
+        sum_when(kind == "expansion", F.col("mrr_change")).alias("expansion_mrr"),
+        sum_when(kind == "contraction", change).alias("contraction_mrr"),
+        sum_when(kind == "churn", change).alias("churned_mrr"),
+        sum_when((kind == "new") & F.col("seen_before"), F.col("current_mrr")).alias("reactivated_mrr"),
+    )
+    start, grown, shrunk, lost, back = (
         F.col(c) for c in ("starting_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "reactivated_mrr")
     )
     return sums.withColumns({
         "nrr_pct": nrr_percent(start, grown, shrunk, lost),
         "nrr_no_contraction_pct": nrr_percent(start, grown, none, lost),
-        "nrr_with_reactivation_pct": nrr_percent(start, grown + back_mrr, shrunk, lost),
+        "nrr_with_reactivation_pct": nrr_percent(start, grown + back, shrunk, lost),
     })
 
 

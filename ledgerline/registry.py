@@ -17,7 +17,7 @@ from ledgerline import contract
 from ledgerline.contract import BATCH
 from ledgerline.functions.columns import feature_list, utc
 from ledgerline.operators import cleaning, corrections, history, identity, late, matching, quality, rowfilter
-from ledgerline.operators.relational import latest_batch
+from ledgerline.operators.relational import broadcast_if_small, latest_batch
 from ledgerline.plans import core, definitions, kpis, marts, stage
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_book as book
@@ -63,8 +63,13 @@ def _usage(spark, folder):
     return late.union_late(book.usage_on_time(spark, folder), book.usage_late(spark, folder))
 
 
+def _plans(spark, folder):
+    """Plans are computed from the orders here, so their size has to be looked at."""
+    return broadcast_if_small(book.plans(spark, folder))
+
+
 def _facts(spark, folder):
-    return core.fct_subscriptions(book.subscriptions(spark, folder), book.customers(spark, folder), book.plans(spark, folder))
+    return core.fct_subscriptions(book.subscriptions(spark, folder), book.customers(spark, folder), _plans(spark, folder))
 
 
 def _changes(spark, folder, close_last=False):
@@ -72,7 +77,7 @@ def _changes(spark, folder, close_last=False):
 
 
 def _mart_mrr(spark, folder):
-    return marts.mart_mrr_from_stage(book.subscriptions(spark, folder), book.customers(spark, folder), book.plans(spark, folder))
+    return marts.mart_mrr_from_stage(book.subscriptions(spark, folder), book.customers(spark, folder), _plans(spark, folder))
 
 
 def _mart_churn(spark, folder):
@@ -474,7 +479,7 @@ def row_filter_unmapped(spark, folder):
 
 
 def _warehouse_tables(spark, folder):
-    subscriptions, customers, plans = (f(spark, folder) for f in (book.subscriptions, book.customers, book.plans))
+    subscriptions, customers, plans = (f(spark, folder) for f in (book.subscriptions, book.customers, _plans))
     snapshots = book.customer_snapshots(spark, folder)
     dim = core.dim_customer(snapshots, strict_nulls=True)
     changes = core.mrr_changes(subscriptions, customers)
@@ -554,8 +559,7 @@ def reactivations(spark, folder):
 
 @query
 def nrr_by_definition(spark, folder):
-    returned = definitions.reactivations(core.batch_mrr(book.subscriptions(spark, folder)))
-    return definitions.nrr_by_definition(_changes(spark, folder), returned)
+    return definitions.nrr_by_definition(_changes(spark, folder))
 
 
 @query
@@ -575,7 +579,7 @@ def mrr_with_overage(spark, folder):
 
 @query
 def paid_customers(spark, folder):
-    return definitions.paid_customers(book.subscriptions(spark, folder), book.plans(spark, folder))
+    return definitions.paid_customers(book.subscriptions(spark, folder), _plans(spark, folder))
 
 
 @query

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -76,8 +78,24 @@ def _reader(spark: SparkSession, multi_line: bool):
     return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(_reader(spark, False).csv(path).columns)
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """First line of every file, split into column names; an empty file has none.
+
+    Only these lines are read, by a few threads of the driver, without a Spark job per file.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def first_line(path: str) -> tuple[str, ...]:
+        location = jvm.org.apache.hadoop.fs.Path(path)
+        stream = location.getFileSystem(conf).open(location)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([line.lstrip("\ufeff")]))) if line else ()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return dict(zip(paths, pool.map(first_line, paths)))
 
 
 def files_with_line_breaks(spark: SparkSession, files: Sequence[RawFile]) -> set[str]:
@@ -111,14 +129,18 @@ def read_raw(
         spans = {f.path: multi_line for f in files}
 
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for f in files:
-        groups.setdefault((_header(spark, f.path), spans[f.path]), []).append(f.path)
+    for path, header in _headers(spark, [f.path for f in files]).items():
+        if header:
+            groups.setdefault((header, spans[path]), []).append(path)
 
     scans = []
     for (header, spanning), paths in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         rows = _reader(spark, spanning).schema(schema).option("enforceSchema", False).csv(paths)
         scans.append(rows.select(*[F.col(f"`{c}`") for c in header], "_metadata.file_path", "_metadata.file_name"))
+    if not scans:
+        empty = f"{BATCH} int, {LOADED} timestamp_ntz, {FILENAME} string"
+        return spark.createDataFrame([], empty)
     # Sentinels are a matter of source columns; file names are lineage.
     cleaned = null_sentinels(union_aligned(scans))
     return cleaned.withColumns({
