@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,16 +147,17 @@ def read_raw(
     return cleaned.withColumns({
         BATCH: F.regexp_extract("file_path", f"{BATCH_FOLDER}/[^/]*$", 1).cast("int"),
         LOADED: F.lit(stamp).cast("timestamp_ntz"),
-        FILENAME: F.col("file_name"),
+        # The name comes URI-encoded, where a plus is a plus.
+        FILENAME: F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B"))),
     }).drop("file_path", "file_name")
 
 
 def _same_path(path: str, found: set[str]) -> bool:
-    """Paths from a listing and from file metadata differ in the slashes after the scheme."""
+    """File metadata spells paths as URIs: blanks as %20, other slashes after the scheme."""
     def normal(p: str) -> str:
         return re.sub(r"^([a-z0-9]+):/+", r"\1:/", p)
 
-    return normal(path) in {normal(p) for p in found}
+    return normal(path) in {normal(unquote(p)) for p in found}
 
 
 def families(files: Iterable[RawFile]) -> dict[str, list[RawFile]]:
