@@ -49,10 +49,11 @@ def _year_batch(column: str) -> Column:
 
 
 def _status(column: str) -> Column:
-    cancelled = F.when(F.col(column) == "F", "cancelled").otherwise("suspended")
-    # Nested rather than a chain: a filter on "active" then reduces to a filter on the
-    # stored column and reaches the Parquet reader.
-    return F.when(F.col(column) == "O", "active").otherwise(cancelled)
+    code = F.col(column)
+    cancelled = F.when(code.eqNullSafe("F"), "cancelled").otherwise("suspended")
+    # Nested and null-safe, so that a filter on "active" reduces to one on the stored
+    # column and reaches the Parquet reader.
+    return F.when(code.eqNullSafe("O"), "active").otherwise(cancelled)
 
 
 def subscriptions(spark: SparkSession, folder: str) -> DataFrame:

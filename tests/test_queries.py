@@ -31,7 +31,7 @@ def plan_of(spark, tables, name):
 
 def test_status_filter_and_columns_reach_the_scan(spark, tables):
     plan = plan_of(spark, tables, "batch_mrr")
-    assert "EqualTo(o_orderstatus,O)" in plan
+    assert "EqualNullSafe(o_orderstatus,O)" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
 
 
