@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.relational import same_key
+
 
 def scd2(
     df: DataFrame,
@@ -80,9 +82,9 @@ def as_of(
 ) -> DataFrame:
     """Attach the attributes that were valid at ``at``; NULL before the first version.
 
-    The equality on ``key`` makes it a hash or sort-merge join, the interval is a
-    residual test, and a key has at most one version per period, so a fact row is
-    compared with a handful of versions and matches at most one.
+    The equality on ``key`` makes it a hash or sort-merge join that copes with frequent
+    keys, the interval is a residual test, and a key has at most one version per period,
+    so a fact row is compared with a handful of versions and matches at most one.
     """
     v = versions.select(
         F.col(key).alias("_vkey"),
@@ -91,7 +93,7 @@ def as_of(
         *[F.col(c).alias(f"_v_{c}") for c in columns],
     )
     holds = (
-        (F.col(key) == F.col("_vkey"))
+        same_key([F.col(key)], [F.col("_vkey")])
         & (F.col("_from") <= F.col(at))
         & (F.col("_to").isNull() | (F.col("_to") > F.col(at)))
     )

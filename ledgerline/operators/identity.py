@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.cleaning import REASON
+from ledgerline.operators.relational import join_lookup
 
 
 def owners(reference: DataFrame, on: str, id_column: str) -> DataFrame:
@@ -30,7 +31,7 @@ def resolve_ids(df: DataFrame, reference: DataFrame, on: str = "email", id_colum
     """Rows of ``df`` whose ``on`` value has exactly one owner, with that owner's id."""
     unique = owners(reference, on, id_column).filter(~F.col("_ambiguous")).drop("_ambiguous")
     rest = [c for c in df.columns if c != id_column]
-    return df.select(*rest).join(unique, on, "inner").select(id_column, *rest)
+    return join_lookup(df.select(*rest), unique, [on], "inner").select(id_column, *rest)
 
 
 def unresolved_ids(df: DataFrame, reference: DataFrame, on: str = "email", id_column: str = "customer_id") -> DataFrame:
@@ -43,8 +44,7 @@ def unresolved_ids(df: DataFrame, reference: DataFrame, on: str = "email", id_co
     blank = rows.filter(F.col(on).isNull()).withColumn(REASON, F.lit(f"no {on}"))
     known = owners(reference, on, id_column).select(on, "_ambiguous")
     unmatched = (
-        rows.filter(F.col(on).isNotNull())
-        .join(known, on, "left")
+        join_lookup(rows.filter(F.col(on).isNotNull()), known, [on])
         .filter(F.coalesce(F.col("_ambiguous"), F.lit(True)))
         .withColumn(
             REASON,

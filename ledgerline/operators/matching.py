@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.identity import owners
+from ledgerline.operators.relational import join_lookup
 
 
 def trigrams(name: Column) -> Column:
@@ -49,7 +50,7 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     frequency = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     # One array per name, no longer than the name itself.
     ordered = (
-        pieces.join(frequency, "gram")
+        join_lookup(pieces, frequency, ["gram"], "inner")
         .groupBy("side", "name")
         .agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("ranked"))
         .select("side", "name", F.col("ranked.gram").alias("grams"))
@@ -84,7 +85,7 @@ def match_partners(partners: DataFrame, customers: DataFrame, threshold: float =
     applied below the threshold or when several customers fit equally well.
     """
     by_email = owners(customers, "email", "customer_id").filter(~F.col("_ambiguous")).drop("_ambiguous")
-    emailed = partners.filter(F.col("email").isNotNull()).join(by_email, "email", "left")
+    emailed = join_lookup(partners.filter(F.col("email").isNotNull()), by_email, ["email"])
     found = emailed.filter(F.col("customer_id").isNotNull()).select(
         "partner_id", "customer_id", F.lit("email").alias("method"), F.lit(1.0).alias("similarity")
     )
@@ -105,7 +106,7 @@ def match_partners(partners: DataFrame, customers: DataFrame, threshold: float =
         .filter("low = high")
         .select(F.col("name").alias("company_name"), F.col("low").alias("customer_id"), "similarity")
     )
-    named = rest.join(best, "company_name", "left").select(
+    named = join_lookup(rest, best, ["company_name"]).select(
         "partner_id", "customer_id",
         F.when(F.col("customer_id").isNull(), "quarantine").otherwise("name").alias("method"),
         "similarity",

@@ -49,13 +49,34 @@ def apply_filters(df: DataFrame, **equals) -> DataFrame:
     return df
 
 
-def attach(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Equality of keys for a join whose left side may hold very frequent keys.
+
+    Adaptive execution splits an oversized partition only where both sides come straight
+    out of a shuffle made for the join. A computed lookup (an aggregate, a window) already
+    lies by its key, so Spark would join it in place and leave the hot partition whole.
+    Comparing a hash of the key as well asks for a distribution of its own, and the hot
+    partition can be split. A lookup small enough is broadcast all the same.
+    """
+    equal = reduce(lambda x, y: x & y, [a == b for a, b in zip(left, right)])
+    return equal & (F.xxhash64(*left) == F.xxhash64(*right))
+
+
+def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a lookup that is unique on ``keys`` to rows with possibly very frequent keys."""
+    other = lookup.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    condition = same_key([F.col(k) for k in keys], [F.col(f"_key_{k}") for k in keys])
+    return df.join(other, condition, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def attach(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str], hot_keys: bool = False) -> DataFrame:
     """Left join the named columns of a lookup that is unique on ``key``.
 
-    No broadcast is forced: the optimizer broadcasts by the known size of the lookup,
-    and otherwise splits oversized partitions of the (left) fact side at run time.
+    No broadcast is forced: the optimizer broadcasts by the known size of the lookup. Rows
+    that were not summed per key before need ``hot_keys``, see :func:`same_key`.
     """
-    return df.join(lookup.select(key, *columns), key, "left")
+    wanted = lookup.select(key, *columns)
+    return join_lookup(df, wanted, [key]) if hot_keys else df.join(wanted, key, "left")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:

@@ -94,7 +94,8 @@ def _ordered(df: DataFrame, *names: str) -> DataFrame:
 
 def fct_subscriptions(subscriptions: DataFrame, customers: DataFrame, plans: DataFrame) -> DataFrame:
     """Subscription × batch with the current region of the customer and the plan name."""
-    rows = attach(attach(subscriptions, plans, "plan_id", ["plan_name"]), customers, "customer_id", ["region"])
+    named = attach(subscriptions, plans, "plan_id", ["plan_name"], hot_keys=True)
+    rows = attach(named, customers, "customer_id", ["region"], hot_keys=True)
     return _ordered(
         rows, "subscription_id", "customer_id", "region", "plan_id", "plan_name", "status",
         "start_date", "end_date", "mrr", "billing_cycle", "auto_renew",
@@ -104,7 +105,7 @@ def fct_subscriptions(subscriptions: DataFrame, customers: DataFrame, plans: Dat
 def fct_invoices(invoices: DataFrame, customers: DataFrame) -> DataFrame:
     """Invoice rows with region."""
     return _ordered(
-        attach(invoices, customers, "customer_id", ["region"]),
+        attach(invoices, customers, "customer_id", ["region"], hot_keys=True),
         "invoice_id", "customer_id", "region", "subscription_id", "invoice_date", "due_date",
         "amount", "currency", "status", "line_items_count", "tax_amount", "total_amount",
         "period_start", "period_end", "created_at",
@@ -114,7 +115,7 @@ def fct_invoices(invoices: DataFrame, customers: DataFrame) -> DataFrame:
 def fct_payments(payments: DataFrame, customers: DataFrame) -> DataFrame:
     """Payment rows with region."""
     return _ordered(
-        attach(payments, customers, "customer_id", ["region"]),
+        attach(payments, customers, "customer_id", ["region"], hot_keys=True),
         "payment_id", "invoice_id", "customer_id", "region", "amount", "payment_method",
         "payment_date", "status", "transaction_ref", "processor_fee", "net_amount",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import BATCH
 from ledgerline.functions.columns import MONEY, ratio, sum_when
-from ledgerline.operators.relational import latest_per_key
+from ledgerline.operators.relational import join_lookup, latest_per_key
 from ledgerline.plans.marts import nrr_percent
 
 
@@ -155,7 +155,7 @@ def paid_customers(subscriptions: DataFrame, plans: DataFrame, keys: Sequence[st
     price = plans.select("plan_id", "base_price")
     return (
         subscriptions.filter(F.col("status") == "active")
-        .join(price, "plan_id", "left")
+        .transform(lambda active: join_lookup(active, price, ["plan_id"]))
         .groupBy(*keys, "customer_id")
         .agg(F.max(F.coalesce(F.col("base_price") > 0, F.lit(False))).alias("pays"))
         .groupBy(*keys)
@@ -204,7 +204,7 @@ def reversal_pairs(adjustments: DataFrame) -> DataFrame:
     loose = reversals.filter(F.col("reverses_adjustment_id").isNull()).withColumns(
         {"original_amount": F.lit(None).cast(MONEY), "link": F.lit("no link")}
     )
-    joined = linked.join(originals, ["batch_id", "reverses_adjustment_id"], "left").withColumn(
+    joined = join_lookup(linked, originals, ["batch_id", "reverses_adjustment_id"]).withColumn(
         "link", F.when(F.col("original_amount").isNull(), "unknown original").otherwise("paired")
     )
     return joined.unionByName(loose).withColumn(

@@ -114,7 +114,7 @@ def support(mart_support: DataFrame, region: str | None = None) -> DataFrame:
 
 def exact_support(tickets: DataFrame, customers: DataFrame, region: str | None = None) -> DataFrame:
     """Averages over tickets and each ticket counted once per region."""
-    rows = apply_filters(attach(tickets, customers, "customer_id", ["region"]), region=region)
+    rows = apply_filters(attach(tickets, customers, "customer_id", ["region"], hot_keys=True), region=region)
     return rows.groupBy("region").agg(
         F.round(mean("resolution_hours"), 1).alias("avg_resolution_hours"),
         F.round(mean("satisfaction_score"), 2).alias("avg_satisfaction"),

@@ -43,7 +43,7 @@ def mart_mrr_from_stage(subscriptions: DataFrame, customers: DataFrame, plans: D
     customer, batch and plan: a customer with very many subscriptions cannot overload a
     task, and counting customers needs no further distinct.
     """
-    active = attach(subscriptions.filter(F.col("status") == "active"), plans, "plan_id", ["plan_name"])
+    active = attach(subscriptions.filter(F.col("status") == "active"), plans, "plan_id", ["plan_name"], hot_keys=True)
     per_customer = active.groupBy(F.col(BATCH).alias("batch_id"), "plan_name", "customer_id").agg(
         F.sum("mrr").alias("mrr"), F.count("mrr").alias("n")
     )
@@ -119,7 +119,7 @@ def mart_usage(usage: DataFrame, customers: DataFrame) -> DataFrame:
 def mart_support(tickets: DataFrame, customers: DataFrame) -> DataFrame:
     """Month × region × priority × channel of support tickets."""
     return (
-        attach(tickets, customers, "customer_id", ["region"])
+        attach(tickets, customers, "customer_id", ["region"], hot_keys=True)
         .groupBy(month_of(F.col("created_at").cast("date")).alias("month"), "region", "priority", "channel")
         .agg(
             F.count_distinct("ticket_id").alias("total_tickets"),

@@ -18,10 +18,11 @@ from ledgerline.contract import BATCH
 from ledgerline.functions.columns import feature_list, utc
 from ledgerline.operators import cleaning, corrections, history, identity, late, matching, quality, rowfilter
 from ledgerline.operators.relational import broadcast_if_small, latest_batch
-from ledgerline.plans import core, definitions, kpis, marts, stage
+from ledgerline.plans import core, definitions, kpis, marts, stage, warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_book as book
 from ledgerline.sources import raw as raw_source
+from ledgerline.sources.store import Store
 from ledgerline.streaming import usage as usage_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,33 +113,54 @@ def _staged(entity_name: str, source: Callable) -> Query:
 
 # ---- landing and cleaning ---------------------------------------------------------------
 
-def _land_customers(spark, folder):
-    """Write customer drops as CSV batch folders, then load them as any drop is loaded."""
-    root = scratch_path(spark, "drops")
+def _drop(df, root, batch, name):
+    """Write rows as the CSV ``name`` of a batch folder."""
+    df.write.option("header", True).option("nullValue", "N/A").option("escape", '"').csv(f"{root}/batch_{batch}/{name}.csv")
+
+
+def _drop_customers(spark, folder, root):
     drops = book.raw_customer_drops(spark, folder)
     for batch in (1, 2, 3):
         absent = "customer_id" if batch == 2 else "account_tier"
-        (
-            drops.filter(F.col(BATCH) == batch).drop(BATCH, absent)
-            .write.option("header", True).option("nullValue", "N/A").option("escape", '"')
-            .csv(f"{root}/batch_{batch}")
-        )
-    files = raw_source.discover(spark, root)
-    return files, raw_source.read_raw(spark, files)
+        _drop(drops.filter(F.col(BATCH) == batch).drop(BATCH, absent), root, batch, "customers")
+    return raw_source.discover(spark, root)
 
 
 @query
 def raw_load(spark, folder):
     """CSV drops with differing headers to one RAW table: text, NULLs, lineage."""
-    _, df = _land_customers(spark, folder)
-    return df.select("customer_id", "company_name", "industry", "email", "account_tier", BATCH)
+    files = _drop_customers(spark, folder, scratch_path(spark, "drops"))
+    df = raw_source.read_raw(spark, files)
+    return df.select("customer_id", "company_name", "industry", "email", "account_tier", BATCH, "_filename")
 
 
 @query
 def load_report(spark, folder):
-    """Rows per batch as reported by the loader."""
-    files, df = _land_customers(spark, folder)
-    return raw_source.load_summary(spark, {"customers": df}, files).groupBy(BATCH).agg(F.sum("rows").alias("rows"))
+    """Rows per loaded file, after landing the drops in the RAW layer."""
+    drops = scratch_path(spark, "drops")
+    _drop_customers(spark, folder, drops)
+    return warehouse.land(spark, Store(spark, scratch_path(spark, "warehouse")), drops)
+
+
+@query
+def full_build(spark, folder):
+    """Text drops of customers, subscriptions and plans, landed, staged and built to the marts."""
+    drops, store = scratch_path(spark, "drops"), Store(spark, scratch_path(spark, "warehouse"))
+    # Batch numbers, one per year of orders.
+    batches = sorted(r[0] for r in book.subscriptions(spark, folder).select(BATCH).distinct().collect())
+    sources = {
+        "customers": book.customers(spark, folder).withColumn("status", F.lit("active")).withColumn(BATCH, F.lit(batches[0])),
+        "subscriptions": book.subscriptions(spark, folder),
+        "plans": book.plans(spark, folder).withColumn(BATCH, F.lit(batches[-1])),
+    }
+    delivered = {"customers": batches[:1], "plans": batches[-1:], "subscriptions": batches}
+    for name, df in sources.items():
+        text = book.as_raw(df, contract.ENTITIES[name], name).drop("_loaded_at", "_filename")
+        for batch in delivered[name]:
+            _drop(text.filter(F.col(BATCH) == batch).drop(BATCH), drops, batch, name)
+    warehouse.land(spark, store, drops)
+    tables = warehouse.build(store, {name: store.load("raw", name) for name in sources})
+    return tables["mart_nrr"]
 
 
 @query

@@ -27,12 +27,11 @@ def _safe(stem: str) -> str:
 
 @dataclass(frozen=True)
 class RawFile:
-    batch_id: int
-    path: str
+    """One CSV of a drop: a file, or a folder of that name with the parts of a large one."""
 
-    @property
-    def name(self) -> str:
-        return self.path.rsplit("/", 1)[-1]
+    batch_id: int
+    name: str
+    paths: tuple[str, ...]
 
     @property
     def family(self) -> str:
@@ -69,8 +68,11 @@ def discover(spark: SparkSession, root: str, batches: Sequence[int] | None = Non
         if batches is not None and batch_id not in batches:
             continue
         for entry in fs.listStatus(folder.getPath()):
-            if entry.getPath().getName().endswith(".csv"):
-                found.append(RawFile(batch_id, entry.getPath().toString()))
+            name = entry.getPath().getName()
+            if name.endswith(".csv"):
+                parts = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+                paths = sorted(p.getPath().toString() for p in parts if p.getPath().getName().endswith(".csv"))
+                found.append(RawFile(batch_id, name, tuple(paths)))
     return sorted(found, key=lambda f: (f.batch_id, f.name))
 
 
@@ -99,13 +101,13 @@ def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str,
         return dict(zip(paths, pool.map(first_line, paths)))
 
 
-def files_with_line_breaks(spark: SparkSession, files: Sequence[RawFile]) -> set[str]:
-    """Names of the files in which a quoted value spans lines.
+def paths_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Paths of the files in which a quoted value spans lines.
 
     Such a file has lines with an odd number of quotes. It has to be parsed as a whole;
     all others can be split over tasks.
     """
-    lines = spark.read.text([f.path for f in files]).select("value", F.col("_metadata.file_path").alias("path"))
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
     odd = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     # One row per file at most; the driver needs the names to choose the reader.
     return {r["path"] for r in lines.filter(odd % 2 == 1).select("path").distinct().collect()}
@@ -121,43 +123,36 @@ def read_raw(
     plan does not grow with the number of batches. ``multi_line=None`` finds out which
     files need whole-file parsing.
     """
-    files = list(files)
+    paths = [p for f in files for p in f.paths]
     stamp = (loaded_at or datetime.now(timezone.utc)).replace(tzinfo=None).isoformat(sep=" ")
-    if multi_line is None:
-        broken = files_with_line_breaks(spark, files)
-        spans = {f.path: _same_path(f.path, broken) for f in files}
-    else:
-        spans = {f.path: multi_line for f in files}
+    broken = {_plain_path(p) for p in paths_with_line_breaks(spark, paths)} if paths and multi_line is None else set()
 
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for path, header in _headers(spark, [f.path for f in files]).items():
+    for path, header in _headers(spark, paths).items():
+        spanning = _plain_path(path) in broken if multi_line is None else multi_line
         if header:
-            groups.setdefault((header, spans[path]), []).append(path)
+            groups.setdefault((header, spanning), []).append(path)
 
     scans = []
-    for (header, spanning), paths in groups.items():
+    for (header, spanning), members in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        rows = _reader(spark, spanning).schema(schema).option("enforceSchema", False).csv(paths)
-        scans.append(rows.select(*[F.col(f"`{c}`") for c in header], "_metadata.file_path", "_metadata.file_name"))
+        rows = _reader(spark, spanning).schema(schema).option("enforceSchema", False).csv(members)
+        scans.append(rows.select(*[F.col(f"`{c}`") for c in header], F.col("_metadata.file_path").alias("_path")))
     if not scans:
         empty = f"{BATCH} int, {LOADED} timestamp_ntz, {FILENAME} string"
         return spark.createDataFrame([], empty)
-    # Sentinels are a matter of source columns; file names are lineage.
-    cleaned = null_sentinels(union_aligned(scans))
-    return cleaned.withColumns({
-        BATCH: F.regexp_extract("file_path", f"{BATCH_FOLDER}/[^/]*$", 1).cast("int"),
+    in_drop = f"^.*/{BATCH_FOLDER}/([^/]+)"
+    return null_sentinels(union_aligned(scans)).withColumns({
+        BATCH: F.regexp_extract("_path", in_drop, 1).cast("int"),
         LOADED: F.lit(stamp).cast("timestamp_ntz"),
-        # The name comes URI-encoded, where a plus is a plus.
-        FILENAME: F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B"))),
-    }).drop("file_path", "file_name")
+        # The path comes URI-encoded, where a plus is a plus.
+        FILENAME: F.url_decode(F.replace(F.regexp_extract("_path", in_drop, 2), F.lit("+"), F.lit("%2B"))),
+    }).drop("_path")
 
 
-def _same_path(path: str, found: set[str]) -> bool:
+def _plain_path(path: str) -> str:
     """File metadata spells paths as URIs: blanks as %20, other slashes after the scheme."""
-    def normal(p: str) -> str:
-        return re.sub(r"^([a-z0-9]+):/+", r"\1:/", p)
-
-    return normal(path) in {normal(unquote(p)) for p in found}
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", unquote(path))
 
 
 def families(files: Iterable[RawFile]) -> dict[str, list[RawFile]]:

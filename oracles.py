@@ -227,13 +227,16 @@ B = "cast(batch as bigint) as _batch_id"
 # ---- landing and cleaning ---------------------------------------------------------------
 
 oracle("raw_load", "drop2", f"""
-    select customer_id, company_name, industry, email, null as account_tier, cast(b as bigint) as _batch_id
+    select customer_id, company_name, industry, email, null as account_tier, cast(b as bigint) as _batch_id,
+           'customers.csv' as _filename
     from drops, (values (1), (3)) v(b)
     union all
-    select null, company_name, industry, email, account_tier, 2 from drop2""")
+    select null, company_name, industry, email, account_tier, 2, 'customers.csv' from drop2""")
 
 oracle("load_report", "", """
-    select cast(b as bigint) as _batch_id, (select count(*) from customer) as rows from (values (1), (2), (3)) v(b)""")
+    select 'batch_' || b || '_customers' as "table", cast(b as bigint) as _batch_id,
+           (select count(*) from customer) as rows
+    from (values (1), (2), (3)) v(b)""")
 
 oracle("null_sentinels", "tick", f"""
     select {B}, count(*) as rows, count(resolved_at) as resolved, count(hours) as with_hours,
@@ -463,6 +466,7 @@ NRR = """cast(batch_id as bigint) as batch_id, region, cast(starting_mrr as doub
            cast(expansion_mrr as double) as expansion_mrr, cast(contraction_mrr as double) as contraction_mrr,
            cast(churned_mrr as double) as churned_mrr, nrr_pct"""
 oracle("mart_nrr", "m_nrr", f"select {NRR} from m_nrr")
+oracle("full_build", "m_nrr", f"select {NRR.replace('region,', 'upper(region) as region,')} from m_nrr")
 oracle("mart_nrr_from_movements", "m_nrr_open", f"""
     select {NRR} from m_nrr_open semi join moved using (batch_id, region)""")
 

@@ -23,6 +23,9 @@ def drops(tmp_path):
     write(root / "batch_2", "customers.csv", "email,account_tier,region", 'a@x,"gold, plus",EMEA', "b@x,,")
     write(root / "batch_2", "Late Usage-Jan.csv", "customer_id,note", 'C1,"two', 'lines ""quoted"""', "C2,one")
     write(root / "batch_3", "empty.csv", "customer_id,email")
+    write(root / "batch_3" / "parts.csv", "part-0.csv", "k", "1")
+    write(root / "batch_3" / "parts.csv", "part-1.csv", "k", "2")
+    (root / "batch_3" / "parts.csv" / "_SUCCESS").touch()
     (root / "batch_4").mkdir()
     (root / "other").mkdir()
     return str(root)
@@ -31,7 +34,7 @@ def drops(tmp_path):
 def test_discovery_is_sorted_and_skips_what_is_no_drop(spark, drops):
     found = raw.discover(spark, drops)
     assert [(f.batch_id, f.name) for f in found] == [
-        (1, "customers.csv"), (2, "Late Usage-Jan.csv"), (2, "customers.csv"), (3, "empty.csv"),
+        (1, "customers.csv"), (2, "Late Usage-Jan.csv"), (2, "customers.csv"), (3, "empty.csv"), (3, "parts.csv"),
     ]
     assert [f.table for f in raw.discover(spark, drops, [2])] == ["batch_2_late_usage_jan", "batch_2_customers"]
     assert raw.discover(spark, drops + "/absent") == []
@@ -66,6 +69,7 @@ def test_summary_counts_empty_files(spark, drops):
     loaded = {name: raw.read_raw(spark, members) for name, members in raw.families(files).items()}
     assert rows(raw.load_summary(spark, loaded, files), "table", "rows") == [
         ("batch_1_customers", 3), ("batch_2_customers", 2), ("batch_2_late_usage_jan", 2), ("batch_3_empty", 0),
+        ("batch_3_parts", 2),
     ]
 
 
