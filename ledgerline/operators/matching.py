@@ -42,8 +42,8 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     to common, two names that similar must share one of their first
     ``n - ceil(threshold * n) + 1`` pieces. Only those pieces are joined, so a piece that
     occurs in most names hardly ever takes part. A pair is kept at its first common
-    piece only, hence no later de-duplication, and sizes that cannot reach the threshold
-    are dropped inside the join.
+    piece only, hence no later de-duplication. Before any set is compared, a pair has to
+    pass a test of numbers: the pieces left from the common one on must be enough.
     """
     names = _names(left, column, 0).unionByName(_names(right, column, 1))
     pieces = names.select("side", "name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
@@ -59,15 +59,15 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     needed = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     prefixed = ordered.withColumn("head", F.slice("grams", F.lit(1), F.col("n") - needed + 1))
     a = prefixed.filter("side = 0").select(
-        F.col("name"), F.col("grams").alias("a"), F.col("n").alias("na"), F.col("head").alias("ha"), F.explode("head").alias("gram")
+        F.col("name"), F.col("grams").alias("a"), F.col("n").alias("na"), F.col("head").alias("ha"), F.posexplode("head").alias("ia", "gram")
     )
     b = prefixed.filter("side = 1").select(
-        F.col("name").alias("other"), F.col("grams").alias("b"), F.col("n").alias("nb"), F.col("head").alias("hb"), F.explode("head").alias("gram")
+        F.col("name").alias("other"), F.col("grams").alias("b"), F.col("n").alias("nb"), F.col("head").alias("hb"), F.posexplode("head").alias("ib", "gram")
     )
     slack = F.lit(1e-9)
+    shared_needed = (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - slack
     reachable = (
-        (F.col("na") >= F.col("nb") * threshold - slack)
-        & (F.col("nb") >= F.col("na") * threshold - slack)
+        (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= shared_needed)
         & (F.element_at(F.array_intersect("ha", "hb"), 1) == F.col("gram"))
     )
     return (

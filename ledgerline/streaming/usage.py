@@ -13,17 +13,29 @@ from ledgerline.operators.late import USAGE_KEY
 # A late file arrives months after its events; state is kept at least that long.
 LATENESS = "90 days"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def with_event_time(usage: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Usage has only a date; its midnight serves as event time."""
     return usage.withColumn("event_ts", F.col("event_date").cast("timestamp")).withWatermark("event_ts", lateness)
 
 
-def dedup_stream(usage: DataFrame, key: Sequence[str] = USAGE_KEY, lateness: str = LATENESS) -> DataFrame:
-    """The first row of every key. Event time is part of the key, so state older than the
-    watermark is dropped; rows older than it cannot be told from repeats and are not kept."""
-    timed = with_event_time(usage, lateness)
-    return timed.dropDuplicates([*key, "event_ts"]).drop("event_ts")
+def dedup_stream(
+    usage: DataFrame, key: Sequence[str] = USAGE_KEY, lateness: str = LATENESS, spread: int = 16
+) -> DataFrame:
+    """The first row of every key.
+
+    Event time is part of the key, so state older than the watermark is dropped; rows older
+    than it cannot be told from repeats and are not kept. A stream has no map-side
+    combining, so repeats are dropped twice: first within ``spread`` shares of the input,
+    which divides a key that is repeated very often over that many tasks, then across them.
+    Which share a row falls into has no influence on the result.
+    """
+    timed = with_event_time(usage, lateness).withColumn("_share", F.spark_partition_id() % spread)
+    full_key = [*key, "event_ts"]
+    return timed.dropDuplicates([*full_key, "_share"]).dropDuplicates(full_key).drop("event_ts", "_share")
 
 
 def windowed_usage(usage: DataFrame, width: str = "30 days", lateness: str = LATENESS) -> DataFrame:
@@ -39,12 +51,19 @@ def windowed_usage(usage: DataFrame, width: str = "30 days", lateness: str = LAT
 def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Process what is there, append it to Parquet exactly once, and stop.
 
-    A restart with the same checkpoint continues where the last run ended.
+    A restart with the same checkpoint continues where the last run ended. Months of keys
+    can outgrow memory, so state is kept in RocksDB.
     """
-    query = (
-        stream.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        query = (
+            stream.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+    finally:
+        conf.set(STATE_STORE, before)
     query.awaitTermination()
     return query
