@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.relational import same_key
@@ -60,12 +60,65 @@ def scd2(
         .withColumns({"valid_from": F.col(order), "valid_to": valid_to})
         .withColumns({
             "is_current": F.col("valid_to").isNull(),
-            "sk": F.md5(F.concat_ws("~", F.col(key).cast("string"), F.col("valid_from").cast("string"))),
+            "sk": surrogate_key(key),
         })
         .drop("_opens", "_version")
     )
 
 
+def scd2_apply(
+    versions: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    order: str,
+    check: Sequence[str],
+    sparse: Sequence[str] = (),
+    strict_nulls: bool = False,
+) -> DataFrame:
+    """Versions after one more period, without going through the history again.
+
+    ``versions`` is a result of :func:`scd2` (or of this function), ``incoming`` the rows of
+    one later period, one per key. Only open versions meet the new rows; closed ones are
+    passed through. Equals :func:`scd2` over all periods together.
+    """
+    lenient = [] if strict_nulls else [c for c in check if c in sparse]
+    attributes = [c for c in versions.columns if c not in (key, "valid_from", "valid_to", "is_current", "sk")]
+    old, new = (lambda c: F.col(f"_old.{c}")), (lambda c: F.col(f"_new.{c}"))
+
+    def packed(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        return df.select(key, F.struct(*columns).alias(name))
+
+    both = packed(versions.filter("is_current"), [*attributes, "valid_from"], "_old").join(
+        packed(incoming, attributes, "_new"), key, "full"
+    )
+    changes = [
+        F.coalesce(new(c) != old(c), F.lit(False)) if c in lenient else ~new(c).eqNullSafe(old(c)) for c in check
+    ]
+    known, told = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    changed = known & told & reduce(or_, changes)
+
+    def entry(values: dict, valid_from, valid_to) -> Column:
+        return F.struct(
+            *[values[c].alias(c) for c in attributes],
+            valid_from.alias("valid_from"), valid_to.cast(versions.schema["valid_to"].dataType).alias("valid_to"),
+        )
+
+    never = F.lit(None)
+    kept = entry({c: F.coalesce(old(c), new(c)) if c in lenient else old(c) for c in attributes}, old("valid_from"), never)
+    closed = entry({c: old(c) for c in attributes}, old("valid_from"), new(order))
+    opened = entry({c: F.coalesce(new(c), old(c)) if c in lenient else new(c) for c in attributes}, new(order), never)
+    entries = F.when(changed, F.array(closed, opened)).when(known, F.array(kept)).otherwise(F.array(opened))
+    result = both.select(key, F.inline(entries)).withColumns({
+        "is_current": F.col("valid_to").isNull(), "sk": surrogate_key(key),
+    })
+    return versions.filter("not is_current").unionByName(result.select(*versions.columns))
+
+
+def surrogate_key(key: str) -> Column:
+    """Hash of the key and the start of the version."""
+    return F.md5(F.concat_ws("~", F.col(key).cast("string"), F.col("valid_from").cast("string")))
+
+
 def current(versions: DataFrame) -> DataFrame:
     """The open version of every key."""
     return versions.filter(F.col("is_current"))

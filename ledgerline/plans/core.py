@@ -13,28 +13,45 @@ from ledgerline.contract import (
     CUSTOMER_SPARSE_COLUMNS,
     LOADED,
 )
-from ledgerline.operators.history import current, scd2
+from ledgerline.operators.history import current, scd2, scd2_apply
 from ledgerline.operators.periods import pair_periods
 from ledgerline.operators.relational import attach, latest_per_key
 
 
-def dim_customer(customers: DataFrame, order: str = BATCH, strict_nulls: bool = False) -> DataFrame:
-    """Customer versions in batch order; ``dbt_valid_from``/``dbt_valid_to`` hold ``order`` values.
+def snap_customers(customers: DataFrame, order: str = BATCH, strict_nulls: bool = False) -> DataFrame:
+    """Customer versions in batch order.
 
-    A batch that repeats a customer counts once (the last in text order of its
-    attributes), so every customer has exactly one current row.
+    A batch that repeats a customer counts once (the last in text order of its attributes),
+    so every customer has exactly one current version.
     """
-    attributes = [c for c in customers.columns if c not in ("customer_id", order, BATCH, LOADED, "notes")]
-    once = latest_per_key(
-        customers, ["customer_id", order], [F.col(c).desc_nulls_last() for c in attributes]
+    return scd2(
+        _once(customers, order), "customer_id", order, _checked(customers), CUSTOMER_SPARSE_COLUMNS, strict_nulls
     )
-    versions = scd2(
-        once, "customer_id", order,
-        [c for c in CUSTOMER_CHECK_COLUMNS if c in customers.columns],
-        CUSTOMER_SPARSE_COLUMNS, strict_nulls,
+
+
+def snap_customers_update(
+    versions: DataFrame, batch: DataFrame, order: str = BATCH, strict_nulls: bool = False
+) -> DataFrame:
+    """The versions after one more batch."""
+    return scd2_apply(
+        versions, _once(batch, order), "customer_id", order, _checked(batch), CUSTOMER_SPARSE_COLUMNS, strict_nulls
     )
+
+
+def _checked(customers: DataFrame) -> list[str]:
+    return [c for c in CUSTOMER_CHECK_COLUMNS if c in customers.columns]
+
+
+def _once(customers: DataFrame, order: str) -> DataFrame:
+    by_text = [F.col(c).desc_nulls_last() for c in customers.columns if c not in ("customer_id", order, LOADED)]
+    return latest_per_key(customers, ["customer_id", order], by_text)
+
+
+def dim_customer_of(versions: DataFrame) -> DataFrame:
+    """The dimension over stored versions; ``dbt_valid_from``/``dbt_valid_to`` hold batch numbers."""
+    bookkeeping = ("customer_id", "valid_from", "valid_to", "is_current", "sk", "notes", BATCH, LOADED)
     return versions.select(
-        "customer_id", *attributes,
+        "customer_id", *[c for c in versions.columns if c not in bookkeeping],
         F.col("valid_from").alias("dbt_valid_from"),
         F.col("valid_to").alias("dbt_valid_to"),
         "is_current",
@@ -42,6 +59,11 @@ def dim_customer(customers: DataFrame, order: str = BATCH, strict_nulls: bool =
     )
 
 
+def dim_customer(customers: DataFrame, order: str = BATCH, strict_nulls: bool = False) -> DataFrame:
+    """The dimension straight from stage rows."""
+    return dim_customer_of(snap_customers(customers, order, strict_nulls))
+
+
 def current_customers(dim: DataFrame) -> DataFrame:
     """One row per customer: the open version."""
     return current(dim)

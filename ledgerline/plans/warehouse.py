@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +13,28 @@ from ledgerline.operators.late import newer_than
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
 from ledgerline.plans import core, marts
 from ledgerline.plans.stage import stage_all
-from ledgerline.sources.raw import discover, families, load_summary, read_raw
+from ledgerline.sources.raw import RawFile, discover, families, load_summary, read_raw
 from ledgerline.sources.store import Store
 
 
 def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] | None = None) -> DataFrame:
-    """Load the drops into RAW, replacing the batches concerned; returns rows per file."""
+    """Load the drops into RAW, replacing the batches concerned; returns rows per file.
+
+    Loads of different batches do not depend on each other, so several run side by side
+    and small ones do not leave the cluster idle.
+    """
     files = discover(spark, drops, batches)
-    loaded = {}
-    for family, members in families(files).items():
-        for batch_id in sorted({f.batch_id for f in members}):
-            part = read_raw(spark, [f for f in members if f.batch_id == batch_id])
-            store.write_batch(part, "raw", family, batch_id)
-        loaded[family] = store.load("raw", family)
-    return load_summary(spark, loaded, files)
+
+    loads: dict[tuple[str, int], list[RawFile]] = {}
+    for file in files:
+        loads.setdefault((file.family, file.batch_id), []).append(file)
+
+    def load(target: tuple[str, int]) -> None:
+        store.write_batch(read_raw(spark, loads[target]), "raw", *target)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(load, loads))
+    return load_summary(spark, {family: store.load("raw", family) for family in families(files)}, files)
 
 
 def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
@@ -43,7 +52,8 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
         tables[name] = store.materialize(df, "core", name, partition_by)
         return tables[name]
 
-    dim = core_table("dim_customer", core.dim_customer(tables["stg_customers"]))
+    versions = store.materialize(core.snap_customers(tables["stg_customers"]), "snapshots", "snap_customers")
+    dim = core_table("dim_customer", core.dim_customer_of(versions))
     customers = core.current_customers(dim)
     plans = core_table("dim_plan", core.dim_plan(tables["stg_plans"]))
     core_table("dim_date", core.dim_date(store.spark))
@@ -54,7 +64,7 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
     if "stg_payments" in tables:
         core_table("fct_payments", core.fct_payments(tables["stg_payments"], customers), BATCH)
     changes = store.materialize(core.mrr_changes(subscriptions, customers), "core", "mrr_changes", ["batch_id"])
-    tables["fct_mrr_movements"] = core.movements_only(changes)
+    core_table("fct_mrr_movements", core.movements_only(changes), "batch_id")
 
     def mart_table(name: str, df: DataFrame) -> None:
         tables[name] = store.materialize(df, "mart", name)

@@ -17,7 +17,7 @@ from ledgerline import contract
 from ledgerline.contract import BATCH
 from ledgerline.functions.columns import feature_list, utc
 from ledgerline.operators import cleaning, corrections, history, identity, late, matching, quality, rowfilter
-from ledgerline.operators.relational import broadcast_if_small, latest_batch
+from ledgerline.operators.relational import broadcast_if_small, latest_batch, union_aligned
 from ledgerline.plans import core, definitions, kpis, marts, stage, warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_book as book
@@ -282,6 +282,16 @@ def scd2_customers(spark, folder):
     return versions.select("customer_id", "account_tier", "status", "region", "valid_from", "valid_to", "is_current")
 
 
+@query
+def scd2_incremental(spark, folder):
+    """The same versions, kept up batch by batch: all batches before the last, then the last."""
+    rows = book.customer_snapshots(spark, folder)
+    last = rows.agg(F.max(BATCH)).scalar()
+    versions = core.snap_customers(rows.filter(F.col(BATCH) < last), strict_nulls=True)
+    updated = core.snap_customers_update(versions, rows.filter(F.col(BATCH) == last), strict_nulls=True)
+    return updated.select("customer_id", "account_tier", "status", "region", "valid_from", "valid_to", "is_current")
+
+
 def _sparse_snapshots(spark, folder):
     """Snapshots whose tier is delivered by the batches of even number only."""
     return book.customer_snapshots(spark, folder).withColumn(
@@ -480,6 +490,56 @@ def kpi_support_exact(spark, folder):
     return kpis.exact_support(book.support_tickets(spark, folder), book.customers(spark, folder))
 
 
+# The same reports for one region.
+
+@query
+def kpi_region_figures(spark, folder):
+    """Customers, retention and churn of one region in one batch, one row each."""
+    parts = {
+        "active_customers": kpis.active_customers(_mart_mrr(spark, folder), REPORT_BATCH, REPORT_REGION),
+        "nrr_pct": kpis.nrr(_mart_nrr(spark, folder), REPORT_BATCH, REPORT_REGION),
+        "churn_count": kpis.churned_customers(_mart_churn(spark, folder), REPORT_BATCH, REPORT_REGION),
+    }
+    return union_aligned([df.select(F.lit(n).alias("figure"), F.col(n).cast("double").alias("value")) for n, df in parts.items()])
+
+
+@query
+def kpi_mrr_region_pivot_one(spark, folder):
+    return kpis.mrr_by_region(_mart_mrr(spark, folder), [], REPORT_REGION)
+
+
+@query
+def kpi_mrr_by_plan_region(spark, folder):
+    return kpis.mrr_by_plan(_mart_mrr(spark, folder), REPORT_BATCH, REPORT_REGION)
+
+
+@query
+def kpi_movements_region(spark, folder):
+    return kpis.movements(_mart_churn(spark, folder), REPORT_BATCH, REPORT_REGION)
+
+
+@query
+def kpi_usage_region(spark, folder):
+    return kpis.usage(_mart_usage(spark, folder), REPORT_REGION)
+
+
+@query
+def kpi_support_region(spark, folder):
+    return kpis.support(_mart_support(spark, folder), REPORT_REGION)
+
+
+@query
+def kpi_empty_selection(spark, folder):
+    """A batch that does not exist: one row with zero."""
+    return kpis.total_mrr(_mart_mrr(spark, folder), -1)
+
+
+@query
+def mart_nrr_in_order(spark, folder):
+    """The retention mart in its reading order."""
+    return marts.in_order(_mart_nrr(spark, folder), "mart_nrr")
+
+
 # ---- row filter, checks, profiles -------------------------------------------------------
 
 def _managers(spark, folder):

@@ -371,6 +371,8 @@ VERSION = """cast(valid_from as bigint) as valid_from, cast(valid_to as bigint)
 oracle("scd2_customers", "ver", f"""
     select customer_id, account_tier, status, region, {VERSION} from ver""")
 
+ORACLES["scd2_incremental"] = ORACLES["scd2_customers"]
+
 # Tier told in even batches only: a version opens with a new status or with a told tier
 # that differs from the last one told before.
 oracle("scd2_sparse_attribute", "snap", """
@@ -523,6 +525,37 @@ oracle("kpi_support", "m_support", """
            round(cast(sum(cast(avg_score as decimal(28,10))) as double) / count(avg_score), 2) as avg_satisfaction,
            cast(sum(total_tickets) as bigint) as total_tickets
     from m_support group by 1""")
+oracle("kpi_region_figures", "m_mrr m_nrr m_churn", """
+    select 'active_customers' as figure, cast(coalesce(sum(active_customers), 0) as double) as value
+    from m_mrr where batch_id = 3 and region = 'ASIA'
+    union all
+    select 'nrr_pct', coalesce(avg(nrr_pct), 0) from m_nrr where batch_id = 3 and region = 'ASIA'
+    union all
+    select 'churn_count', cast(coalesce(sum(customer_count), 0) as double)
+    from m_churn where batch_id = 3 and region = 'ASIA' and movement_type = 'churn'""")
+oracle("kpi_mrr_region_pivot_one", "m_mrr", """
+    select cast(batch_id as bigint) as batch_id, cast(sum(total_mrr) as double) as "ASIA"
+    from m_mrr where region = 'ASIA' group by 1""")
+oracle("kpi_mrr_by_plan_region", "m_mrr", """
+    select plan_name, cast(sum(total_mrr) as double) as total_mrr
+    from m_mrr where batch_id = 3 and region = 'ASIA' group by 1""")
+oracle("kpi_movements_region", "m_churn", """
+    select movement_type, cast(sum(customer_count) as bigint) as customers, cast(sum(abs_mrr_impact) as double) as mrr_impact
+    from m_churn where batch_id = 3 and region = 'ASIA' group by 1""")
+oracle("kpi_usage_region", "m_usage", """
+    select metric_name, cast(sum(total_quantity) as double) as total_quantity,
+           cast(sum(active_customers) as bigint) as active_customers
+    from m_usage where region = 'ASIA' group by 1""")
+oracle("kpi_support_region", "m_support", """
+    select region,
+           round(cast(sum(cast(avg_hours as decimal(28,10))) as double) / count(avg_hours), 1) as avg_resolution_hours,
+           round(cast(sum(cast(avg_score as decimal(28,10))) as double) / count(avg_score), 2) as avg_satisfaction,
+           cast(sum(total_tickets) as bigint) as total_tickets
+    from m_support where region = 'ASIA' group by 1""")
+oracle("kpi_empty_selection", "m_mrr", """
+    select cast(coalesce(sum(total_mrr), 0) as double) as total_mrr from m_mrr where batch_id = -1""")
+oracle("mart_nrr_in_order", "m_nrr", f"select {NRR} from m_nrr order by batch_id, region nulls last")
+
 oracle("kpi_support_exact", "tick cust", """
     select region, round(cast(sum(hours) as double) / count(hours), 1) as avg_resolution_hours,
            round(cast(sum(score) as double) / count(score), 2) as avg_satisfaction,
