@@ -10,12 +10,22 @@ from ledgerline.operators.relational import join_lookup
 
 
 def trigrams(name: Column) -> Column:
-    """Set of three-letter pieces of every word, padded by two blanks before and one after."""
+    """Set of three-letter pieces of every word, padded by two blanks before and one after.
+
+    A piece is written as one number, 21 bits per character, which is exact for every
+    Unicode character and compares much faster than text.
+    """
     words = F.filter(F.split(F.lower(name), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
     def pieces(word: Column) -> Column:
         padded = F.concat(F.lit("  "), word, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(padded, i, F.lit(3)))
+        def code(position: Column) -> Column:
+            return F.ascii(F.substring(padded, position, F.lit(1))).cast("bigint")
+
+        return F.transform(
+            F.sequence(F.lit(1), F.length(word) + 1),
+            lambda i: F.shiftleft(code(i), 42) + F.shiftleft(code(i + 1), 21) + code(i + 2),
+        )
 
     return F.array_distinct(F.flatten(F.transform(words, pieces)))
 

@@ -683,15 +683,16 @@ def match_partners(spark, folder):
 @query
 def late_usage_stream(spark, folder):
     """Usage as a stream with repeats dropped, then totals per day and metric."""
-    # Two readers: the regular drops and the late file are separate sources.
+    # Two readers: the regular drops and the late file are separate sources. A pattern, as a
+    # stream takes a single file only that way; it fits a folder of that name as well.
     def source():
-        return spark.readStream.schema(book.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
+        return spark.readStream.schema(book.TABLES["events"]).parquet(f"{folder}/events.parque[t]")
 
     both = book.usage_from(source()).unionByName(book.late_part(book.usage_from(source())))
     clean = usage_stream.dedup_stream(both, (*late.USAGE_KEY, "quantity"))
     target, checkpoint = scratch_path(spark, "usage"), scratch_path(spark, "usage-checkpoint")
     usage_stream.run_available(clean, target, checkpoint)
     return (
-        spark.read.parquet(target).groupBy("event_date", "metric_name")
+        spark.read.schema(clean.schema).parquet(target).groupBy("event_date", "metric_name")
         .agg(F.count(F.lit(1)).alias("events"), F.sum("quantity").alias("total_quantity"))
     )
