@@ -9,6 +9,10 @@ from ledgerline.operators.identity import owners
 from ledgerline.operators.relational import join_lookup
 
 
+# Tasks over which the names that share a piece are divided.
+SHARES = 16
+
+
 def trigrams(name: Column) -> Column:
     """Set of three-letter pieces of every word, padded by two blanks before and one after.
 
@@ -59,8 +63,9 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     pieces = names.select("side", "name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     frequency = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     # One array per name, no longer than the name itself.
+    # (Every piece has a frequency. The left join keeps the many pieces on the streamed side.)
     ordered = (
-        join_lookup(pieces, frequency, ["gram"], "inner")
+        join_lookup(pieces, frequency, ["gram"])
         .groupBy("side", "name")
         .agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("ranked"))
         .select("side", "name", F.col("ranked.gram").alias("grams"))
@@ -70,18 +75,23 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     prefixed = ordered.withColumn("head", F.slice("grams", F.lit(1), F.col("n") - needed + 1))
     a = prefixed.filter("side = 0").select(
         F.col("name"), F.col("grams").alias("a"), F.col("n").alias("na"), F.col("head").alias("ha"), F.posexplode("head").alias("ia", "gram")
-    )
+    ).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
     b = prefixed.filter("side = 1").select(
         F.col("name").alias("other"), F.col("grams").alias("b"), F.col("n").alias("nb"), F.col("head").alias("hb"), F.posexplode("head").alias("ib", "gram")
-    )
+    ).withColumn("share", F.pmod(F.xxhash64("other"), F.lit(SHARES)).cast("int"))
     slack = F.lit(1e-9)
     shared_needed = (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - slack
     reachable = (
         (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= shared_needed)
         & (F.element_at(F.array_intersect("ha", "hb"), 1) == F.col("gram"))
     )
+    # Little input gives much work here, so the number of tasks must not follow the size of
+    # the input: the partition count is given. The names that share a piece are dealt out to
+    # several shares, each of which meets all names of the (smaller) left side.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["gram", "share"]
     return (
-        a.join(b, "gram").filter(reachable)
+        a.repartition(tasks, *keys).join(b.repartition(tasks, *keys), keys).filter(reachable)
         .select("name", "other", similarity(F.col("a"), F.col("b")).alias("similarity"))
         .filter(F.col("similarity") >= F.lit(threshold) - slack)
     )
