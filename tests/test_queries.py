@@ -3,7 +3,9 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from ledgerline import registry
+from oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -12,17 +14,18 @@ def duck(tables):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry.QUERIES) == set(ORACLES)
+    assert set(registry.QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_its_sql(spark, tables, duck, name):
     """Same rows as the SQL; and neither pairs of everything nor Python in the plan."""
     df = queries()[name](spark, tables)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert word not in plan
-    assert differences(df.collect(), df.columns, duck, oracle_sql()[name]) == ""
+    assert differences(df.collect(), df.columns, duck, ORACLES[name]) == ""
 
 
 def test_entry(spark):
