@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+from ledgerline.llm import licenses, topk
+from ledgerline.llm.decontam import op7_decontam
+from ledgerline.llm.licenses import op5_licenses
+from ledgerline.llm.packing import op9_packing
+from ledgerline.llm.pii import op10_pii
 from ledgerline.llm.quality import op6_quality
 from ledgerline.llm.simhash import op1_simhash
+from ledgerline.llm.tokencount import op4_tokencount
+from ledgerline.llm.tokenfile import op8_tokenfile
+from ledgerline.llm.topk import op2_topk
 from ledgerline.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_topk": op2_topk,
     "op3_toxicity": op3_toxicity,
+    "op4_tokencount": op4_tokencount,
+    "op5_licenses": op5_licenses,
     "op6_quality": op6_quality,
+    "op7_decontam": op7_decontam,
+    "op8_tokenfile": op8_tokenfile,
+    "op9_packing": op9_packing,
+    "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+# The others need hashes, models, tokenizers or components that SQL does not have; they are
+# tested against brute force, the libraries, or held-out labels.
+ORACLES: dict[str, str] = {
+    "op2_topk": topk.ORACLE,
+    "op5_licenses": licenses.ORACLE,
+}
