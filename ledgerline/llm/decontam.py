@@ -10,7 +10,6 @@ to the next sampled position; the words inside any occurrence are merged to span
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +24,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import in_slices, table, texts, utf8, written
 
 WINDOW = 10
-# Every so manieth position of the sequence is kept in the index.
+# One position of the sequence in so many is kept in the index.
 SAMPLE = 8
 # Text of a shard, and benchmark text that is sent to the executors at a time.
 SHARD_BYTES = 4 << 20
@@ -68,8 +67,8 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     """Order of the suffixes of ``text``, in which every 0 is a separator of its own.
 
     Separators are smaller than words and ordered by position, so a comparison ends at the
-    first of them. Four symbols are compared first; what is still equal is compared by the
-    ranks already known, twice as far each time.
+    first of them. The first symbols are compared as one number; what is still equal is
+    compared by the ranks already known, twice as far each time.
     """
     n = len(text)
     width = max(1, int(letters).bit_length())
@@ -78,7 +77,7 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     open_ = np.ones(n, bool)
     for k in range(step):
         ahead = np.zeros(n, np.int64)
-        ahead[:n - k] = text[k:]
+        ahead[:max(0, n - k)] = text[k:]
         open_ &= ahead != 0
         key = (key << width) | np.where(open_, ahead, 0)
     order = np.argsort(key, kind="stable")
@@ -120,12 +119,9 @@ class WaveletMatrix:
             self.zeros.append(before)
             now = np.concatenate((now[low], now[~low]))
         # Where each symbol's run starts after the last level.
-        self.start = np.concatenate(([0], np.cumsum(np.bincount(now, minlength=1 << self.bits))))
-        seen = np.full(1 << self.bits, 0, np.int64)
-        if len(now):
-            first = np.flatnonzero(np.concatenate(([True], now[1:] != now[:-1])))
-            seen[now[first]] = first
-        self.first = seen
+        self.first = np.zeros(1 << self.bits, np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], now[1:] != now[:-1])))
+        self.first[now[starts]] = starts
 
     def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """How often each symbol stands before the place."""

@@ -48,7 +48,7 @@ DROPPED = ("copyright", "all rights reserved")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SIGN = "\\(c\\)|©"
-_BETWEEN = "[^a-z0-9\n\\x{80}-\\x{10FFFF}]+"
+_BETWEEN = "[^\\p{L}\\p{N}\n]+"
 
 
 def canonical_lines(text: Column) -> Column:

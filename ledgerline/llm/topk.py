@@ -148,9 +148,9 @@ class Block:
             order = np.lexsort((self.ids[at], -scores))[:k]
             return self.ids[at][order].tolist(), scores[order].tolist()
         exact = (self.values[at].astype(object) * query.astype(object)).sum(1) if len(at) else []
-        ranked = sorted(zip((-s for s in exact), self.ids[at].tolist()))[:k]
         bound = (1 << 63) - 1
-        return [i for _, i in ranked], [max(-bound, min(bound, -s)) for s, _ in ranked]
+        ranked = sorted((-max(-bound, min(bound, s)), i) for s, i in zip(exact, self.ids[at].tolist()))[:k]
+        return [i for _, i in ranked], [-s for s, _ in ranked]
 
 
 _INDEX = "components int, shift int, ids binary, values binary, maps binary"
@@ -218,7 +218,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, query_rows: int =
     results. Vectors that are NULL, empty or hold NULL or non-finite components, and rows without
     vec_id, take no part; vectors of another length than the query's are no candidates. A row that
     repeats another exactly counts once; of several vectors under a query's id the smallest asks.
-    Scores beyond a long stop at its range. Queries go in blocks of ``query_rows``, each against
+    Components beyond 62 bits and scores beyond a long stop there, before they are ranked. Queries go in blocks of ``query_rows``, each against
     the whole index; a block's results are written before the next, so no plan or driver memory
     grows with the queries.
     """

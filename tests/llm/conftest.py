@@ -20,7 +20,7 @@ def prose(seed: int, words: int) -> str:
 
 ODD_TEXTS = [
     None, "", " \n\t ", "a", "a b", prose(1, 40), prose(1, 40), prose(1, 40) + ".", "x" * 200_000, "é ß 😀 　 \x00 \x1c" * 20,
-    "+1 (743) 555-3824 a@b.co 1.2.3.4 4111 1111 1111 1111", "9" * 5000, "1." * 3000, "@" * 300, "\n".join(["Released under the MIT Licence."] * 3),
+    "+1 (743) 555-3824, a@b.co, 1.2.3.4, 4111 1111 1111 1111", "9" * 5000, "1." * 3000, "@" * 300, "\n".join(["Released under the MIT Licence."] * 3),
     prose(2, 30_000), "<|endoftext|> <s> [EMAIL]", "... !!! ???",
 ]
 
