@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 
 # Words kept by a Python worker before it starts anew, and ids of theirs.
-KEPT_WORDS, KEPT_IDS = 1_500_000, 12_000_000
+KEPT_WORDS, KEPT_IDS = 800_000, 8_000_000
 KEPT_PIECES = 400_000
 
 # Words of printable ASCII (no apostrophe) and Latin-1 letters: splitting them is plain.
