@@ -59,7 +59,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x if x is not None else "" for x in batch.column(column).to_pylist()]
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that a slice holds few rows more than ``size`` bytes of text.
 
     Working memory of a task then follows ``size`` and the longest text, not the number of

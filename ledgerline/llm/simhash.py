@@ -211,14 +211,22 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     """
     groups = near_duplicates(documents, shingle, radius)
     kept = written(groups.filter("doc_id is null or doc_id = component_id").select("doc_id"), "kept")
-    single = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id is not null")
+    counted = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    nameless = not counted.filter("doc_id is null").isEmpty()
+    repeated = not counted.filter("doc_id is not null and n > 1").isEmpty()
     # A name that no column of the documents has.
     key = "kept_" + "_".join(documents.columns)
-    wanted = single.select(F.col("doc_id").alias(key), (F.col("n") > 1).alias(key + "_n"))
+    wanted = counted.filter("doc_id is not null").select(F.col("doc_id").alias(key), (F.col("n") > 1).alias(key + "_n"))
     own = documents["doc_id"].cast("long")
-    once = documents.join(wanted.filter(~F.col(key + "_n")), own == F.col(key), "left_semi")
-    several = documents.join(wanted.filter(F.col(key + "_n")), own == F.col(key), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(several).unionByName(documents.filter("doc_id is null"))
+
+    def those(ids: DataFrame) -> DataFrame:
+        # Hashing the ids of a partition needs no sort of the texts, and is the plan for any size.
+        return documents.join(ids.hint("shuffle_hash"), own == F.col(key), "left_semi")
+
+    out = those(wanted.filter(~F.col(key + "_n")) if repeated else wanted)
+    if repeated:
+        out = out.unionByName(those(wanted.filter(F.col(key + "_n"))).dropDuplicates(["doc_id"]))
+    return out.unionByName(documents.filter("doc_id is null")) if nameless else out
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:

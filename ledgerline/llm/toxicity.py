@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import arrow, fold, in_slices, table, texts
 
 # The model is fitted on at most so many labelled rows of each class, none longer than that.
-FIT_ROWS = 4000
-FIT_BYTES = 20_000
+FIT_ROWS = 2000
+FIT_BYTES = 10_000
 # A word counts as toxic in toxic texts if it stands there in so many different contexts,
 # and its share of contexts there is so many times the share in clean texts.
 CONTEXTS = 4

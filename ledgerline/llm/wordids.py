@@ -18,8 +18,8 @@ from itertools import chain
 import numpy as np
 
 # Words kept by a Python worker before it starts anew, and ids of theirs.
-KEPT_WORDS, KEPT_IDS = 800_000, 8_000_000
-KEPT_PIECES = 400_000
+KEPT_WORDS, KEPT_IDS = 400_000, 4_000_000
+KEPT_PIECES = 300_000
 
 # Words of printable ASCII (no apostrophe) and Latin-1 letters: splitting them is plain.
 _SIMPLE = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
@@ -57,12 +57,12 @@ class TextEncoder:
         self.model = self.full.model
         self.word_wise = _word_wise(json.loads(self.full.to_str()))
         self.end = end
+        self.pieces: dict[str, list[int]] = {}  # outlives the words, which are soon put together again
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[bytes, int] = {b"": 0}  # the empty word stands for the end id
         self.ids, self.starts, self.sizes = array("I", [self.end]), array("q", [0]), array("q", [1])
-        self.pieces: dict[str, list[int]] = {}
 
     def _learn(self, word: bytes) -> None:
         text = word.decode("utf-8", "replace")
@@ -73,7 +73,7 @@ class TextEncoder:
                 if found is None:
                     shown = piece.encode().decode("latin-1").translate(_SHOWN)
                     if len(self.pieces) >= KEPT_PIECES:
-                        self.pieces = {}
+                        self.pieces.clear()
                     found = self.pieces[piece] = [t.id for t in self.model.tokenize(shown)]
                 ids += found
         else:
