@@ -12,6 +12,9 @@ from dataclasses import dataclass
 # "NA" is a region code and must never be listed here.
 SENTINELS = ("-", "N/A", "n/a", "")
 
+# In names of RAW tables every character but these becomes an underscore, in lower case.
+NOT_IN_NAMES = "[^a-z0-9_]"
+
 # Lineage columns added at load.
 BATCH = "_batch_id"
 LOADED = "_loaded_at"
@@ -37,59 +40,165 @@ class Entity:
         return [name for name, _ in self.columns]
 
 
-def _entity(name: str, key: str, spec: str, sources: tuple[str, ...] = (), latest_only: bool = False) -> Entity:
-    columns = tuple(
-        (part.split(":")[0], part.split(":")[1] if ":" in part else "text") for part in spec.split()
-    )
-    return Entity(name, key, columns, sources or (name,), latest_only)
-
-
-CUSTOMERS = _entity(
-    "customers", "customer_id",
-    "customer_id company_name industry region:upper country city signup_date:date account_owner "
-    "status:lower email phone employee_count:int annual_revenue_usd:money notes account_tier",
+CUSTOMERS = Entity(
+    name="customers",
+    key="customer_id",
+    columns=(
+        ("customer_id", "text"),
+        ("company_name", "text"),
+        ("industry", "text"),
+        ("region", "upper"),
+        ("country", "text"),
+        ("city", "text"),
+        ("signup_date", "date"),
+        ("account_owner", "text"),
+        ("status", "lower"),
+        ("email", "text"),
+        ("phone", "text"),
+        ("employee_count", "int"),
+        ("annual_revenue_usd", "money"),
+        ("notes", "text"),
+        ("account_tier", "text"),
+    ),
+    sources=("customers",),
 )
-SUBSCRIPTIONS = _entity(
-    "subscriptions", "subscription_id",
-    "subscription_id customer_id plan_id status:lower start_date:date end_date:date mrr:money "
-    "billing_cycle auto_renew:flag",
+SUBSCRIPTIONS = Entity(
+    name="subscriptions",
+    key="subscription_id",
+    columns=(
+        ("subscription_id", "text"),
+        ("customer_id", "text"),
+        ("plan_id", "text"),
+        ("status", "lower"),
+        ("start_date", "date"),
+        ("end_date", "date"),
+        ("mrr", "money"),
+        ("billing_cycle", "text"),
+        ("auto_renew", "flag"),
+    ),
+    sources=("subscriptions",),
 )
-INVOICES = _entity(
-    "invoices", "invoice_id",
-    "invoice_id customer_id subscription_id invoice_date:date due_date:date amount:money currency "
-    "status:lower line_items_count:int tax_amount:money total_amount:money period_start:date "
-    "period_end:date created_at:stamp",
+INVOICES = Entity(
+    name="invoices",
+    key="invoice_id",
+    columns=(
+        ("invoice_id", "text"),
+        ("customer_id", "text"),
+        ("subscription_id", "text"),
+        ("invoice_date", "date"),
+        ("due_date", "date"),
+        ("amount", "money"),
+        ("currency", "text"),
+        ("status", "lower"),
+        ("line_items_count", "int"),
+        ("tax_amount", "money"),
+        ("total_amount", "money"),
+        ("period_start", "date"),
+        ("period_end", "date"),
+        ("created_at", "stamp"),
+    ),
+    sources=("invoices",),
 )
-PAYMENTS = _entity(
-    "payments", "payment_id",
-    "payment_id invoice_id customer_id amount:money payment_method:lower payment_date:stamp "
-    "status:lower transaction_ref processor_fee:money net_amount:money",
+PAYMENTS = Entity(
+    name="payments",
+    key="payment_id",
+    columns=(
+        ("payment_id", "text"),
+        ("invoice_id", "text"),
+        ("customer_id", "text"),
+        ("amount", "money"),
+        ("payment_method", "lower"),
+        ("payment_date", "stamp"),
+        ("status", "lower"),
+        ("transaction_ref", "text"),
+        ("processor_fee", "money"),
+        ("net_amount", "money"),
+    ),
+    sources=("payments",),
 )
-PLANS = _entity(
-    "plans", "plan_id",
-    "plan_id plan_name base_price:money billing_model api_limit:int storage_gb:int features "
-    "effective_date:date is_active:flag",
+PLANS = Entity(
+    name="plans",
+    key="plan_id",
+    columns=(
+        ("plan_id", "text"),
+        ("plan_name", "text"),
+        ("base_price", "money"),
+        ("billing_model", "text"),
+        ("api_limit", "int"),
+        ("storage_gb", "int"),
+        ("features", "text"),
+        ("effective_date", "date"),
+        ("is_active", "flag"),
+    ),
+    sources=("plans",),
     latest_only=True,
 )
-USAGE_EVENTS = _entity(
-    "usage_events", "customer_id",
-    "customer_id event_date:date metric_name:lower quantity:number unit",
+USAGE_EVENTS = Entity(
+    name="usage_events",
+    key="customer_id",
+    columns=(
+        ("customer_id", "text"),
+        ("event_date", "date"),
+        ("metric_name", "lower"),
+        ("quantity", "number"),
+        ("unit", "text"),
+    ),
     sources=("usage_events", "late_usage_jan"),
 )
-SUPPORT_TICKETS = _entity(
-    "support_tickets", "ticket_id",
-    "ticket_id customer_id category priority:lower created_at:stamp resolved_at:stamp "
-    "resolution_hours:number satisfaction_score:number agent_name channel:lower description",
+SUPPORT_TICKETS = Entity(
+    name="support_tickets",
+    key="ticket_id",
+    columns=(
+        ("ticket_id", "text"),
+        ("customer_id", "text"),
+        ("category", "text"),
+        ("priority", "lower"),
+        ("created_at", "stamp"),
+        ("resolved_at", "stamp"),
+        ("resolution_hours", "number"),
+        ("satisfaction_score", "number"),
+        ("agent_name", "text"),
+        ("channel", "lower"),
+        ("description", "text"),
+    ),
+    sources=("support_tickets",),
 )
-ADJUSTMENTS = _entity(
-    "adjustments", "adjustment_id",
-    "adjustment_id customer_id invoice_id adjustment_type:lower amount:money reason "
-    "effective_date:us_date created_at:us_stamp approved_by status:lower reverses_adjustment_id",
+ADJUSTMENTS = Entity(
+    name="adjustments",
+    key="adjustment_id",
+    columns=(
+        ("adjustment_id", "text"),
+        ("customer_id", "text"),
+        ("invoice_id", "text"),
+        ("adjustment_type", "lower"),
+        ("amount", "money"),
+        ("reason", "text"),
+        ("effective_date", "us_date"),
+        ("created_at", "us_stamp"),
+        ("approved_by", "text"),
+        ("status", "lower"),
+        ("reverses_adjustment_id", "text"),
+    ),
+    sources=("adjustments",),
 )
-CONTRACT_AMENDMENTS = _entity(
-    "contract_amendments", "amendment_id",
-    "amendment_id customer_id subscription_id amendment_type:lower old_plan_id new_plan_id "
-    "old_mrr:money new_mrr:money effective_date:date created_at:stamp reason approved_by",
+CONTRACT_AMENDMENTS = Entity(
+    name="contract_amendments",
+    key="amendment_id",
+    columns=(
+        ("amendment_id", "text"),
+        ("customer_id", "text"),
+        ("subscription_id", "text"),
+        ("amendment_type", "lower"),
+        ("old_plan_id", "text"),
+        ("new_plan_id", "text"),
+        ("old_mrr", "money"),
+        ("new_mrr", "money"),
+        ("effective_date", "date"),
+        ("created_at", "stamp"),
+        ("reason", "text"),
+        ("approved_by", "text"),
+    ),
+    sources=("contract_amendments",),
 )
 
 ENTITIES = {

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 NUMBER = "decimal(18,4)"
+# Text keeps all its digits; with more than that behind the point it does not parse.
+EXACT, SCALE = "decimal(28,10)", 10
 US_DATE = "MM/dd/yyyy"
 
-_CAST_TO = {"int": "int", "money": MONEY, "number": NUMBER, "date": "date", "stamp": "timestamp_ntz"}
+_CAST_TO = {"int": "int", "money": EXACT, "number": EXACT, "date": "date", "stamp": "timestamp_ntz"}
 
 
 def typed(column: Column, kind: str, strict: bool = True) -> Column:
@@ -30,7 +32,12 @@ def typed(column: Column, kind: str, strict: bool = True) -> Column:
         iso = column.cast(target) if strict else column.try_cast(target)
         return F.coalesce(F.try_to_date(column, US_DATE).cast(target), iso)
     target = _CAST_TO[kind]
-    return column.cast(target) if strict else column.try_cast(target)
+    value = column.cast(target) if strict else column.try_cast(target)
+    if target == EXACT:
+        loses = column.rlike(rf"\.[0-9]{{{SCALE}}}[0-9]*[1-9]")
+        refused = F.raise_error(F.concat(F.lit("too many digits: "), column)).cast(target) if strict else F.lit(None).cast(target)
+        value = F.when(loses, refused).otherwise(value)
+    return value
 
 
 def null_if_in(column: Column, values: tuple[str, ...]) -> Column:

@@ -79,19 +79,17 @@ def attach(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str], h
     return join_lookup(df, wanted, [key]) if hot_keys else df.join(wanted, key, "left")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Mark a lookup for broadcast after counting that it is small; else leave it alone.
+def pivot_filled(
+    df: DataFrame, row: str, column: str, values: Sequence[str], measure: str, rest: str | None = None
+) -> DataFrame:
+    """One row per ``row``, one column per listed value; missing cells 0.
 
-    For lookups that are computed rather than stored: their size is unknown when the join
-    is planned, and shuffling a fact table by a key of few values would pile it up in as
-    few tasks.
+    With ``rest``, a column of that name holds NULL and values not listed, so that the cells of
+    a row add up to its total.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    def cell(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(measure))), F.lit(0)).alias(name)
 
-
-def pivot_filled(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
-    """One row per ``row``, one column per listed value, missing cells 0."""
-    cells = [
-        F.coalesce(F.sum(F.when(F.col(column) == v, F.col(measure))), F.lit(0)).alias(v) for v in values
-    ]
-    return df.groupBy(row).agg(*cells)
+    listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    others = [cell(~listed, rest)] if rest else []
+    return df.groupBy(row).agg(*[cell(F.col(column) == v, v) for v in values], *others)

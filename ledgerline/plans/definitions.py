@@ -194,8 +194,13 @@ def reversal_pairs(adjustments: DataFrame) -> DataFrame:
     ).select(
         F.col(BATCH).alias("batch_id"), "adjustment_id", "reverses_adjustment_id", F.col("amount").alias("reversal_amount")
     )
+    # Only adjustments that something refers to can be originals.
+    referred = reversals.filter(F.col("reverses_adjustment_id").isNotNull()).select(
+        F.col("batch_id").alias(BATCH), F.col("reverses_adjustment_id").alias("adjustment_id")
+    ).distinct()
     originals = latest_per_key(
-        adjustments, [BATCH, "adjustment_id"], [F.col("created_at").asc_nulls_last(), F.col("amount").desc()]
+        adjustments.join(referred, [BATCH, "adjustment_id"], "left_semi"),
+        [BATCH, "adjustment_id"], [F.col("created_at").asc_nulls_last(), F.col("amount").desc()],
     ).select(
         F.col(BATCH).alias("batch_id"), F.col("adjustment_id").alias("reverses_adjustment_id"),
         F.col("amount").alias("original_amount"),

@@ -58,10 +58,14 @@ def churned_customers(mart_churn: DataFrame, batch: int | None, region: str | No
 
 
 def mrr_by_region(mart_mrr: DataFrame, regions: Sequence[str], region: str | None = None) -> DataFrame:
-    """One row per batch, one column per region, 0 where a region has no MRR."""
+    """One row per batch, one column per region, 0 where a region has no MRR.
+
+    Without a region asked for, ``unassigned`` holds what belongs to none of them.
+    """
     shown = [region] if region not in (None, "All") else list(regions)
     rows = apply_filters(mart_mrr, region=region)
-    return pivot_filled(rows, "batch_id", "region", shown, "total_mrr")
+    rest = "unassigned" if region in (None, "All") else None
+    return pivot_filled(rows, "batch_id", "region", shown, "total_mrr", rest)
 
 
 def mrr_by_plan(mart_mrr: DataFrame, batch: int | None, region: str | None = None) -> DataFrame:

@@ -8,18 +8,24 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.contract import BATCH
-from ledgerline.operators.late import newer_than
+from ledgerline.contract import BATCH, ENTITIES
+from ledgerline.operators.corrections import apply_corrections
+from ledgerline.operators.late import dedup_usage
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
 from ledgerline.plans import core, marts
-from ledgerline.plans.stage import stage_all
-from ledgerline.sources.raw import RawFile, discover, families, load_summary, read_raw
+from ledgerline.plans.stage import stage, stage_or_quarantine
+from ledgerline.sources.raw import RawFile, discover, families, load_summary, read_raw, read_rejects
 from ledgerline.sources.store import Store
 
+# How corrections name the entities.
+CORRECTED = {"customers": "customer", "subscriptions": "subscription", "invoices": "invoice", "payments": "payment"}
+
 
 def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] | None = None) -> DataFrame:
     """Load the drops into RAW, replacing the batches concerned; returns rows per file.
 
+    Lines that do not fit their header go to the layer ``rejects`` under the same name.
+
     Loads of different batches do not depend on each other, so several run side by side
     and small ones do not leave the cluster idle.
     """
@@ -31,6 +37,7 @@ def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] |
 
     def load(target: tuple[str, int]) -> None:
         store.write_batch(read_raw(spark, loads[target]), "raw", *target)
+        store.write_batch(read_rejects(spark, loads[target]), "rejects", *target)
 
     with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(load, loads))
@@ -40,13 +47,27 @@ def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] |
 def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
     """Stage views, core and mart datasets from RAW; returns every table by its name.
 
+    Corrections, if delivered, are applied to the staged entities they name; of repeated usage
+    rows the newest counts. Without ``strict``, rows that do not parse and customers without
+    id are kept in the layer ``rejects`` with the reason instead of stopping the build.
+
     Small dimensions are written first, so facts join a stored, statistics-bearing table;
     each fact is read back from storage by the marts that need it instead of being
     computed again.
     """
     tables: dict[str, DataFrame] = {}
-    for name, df in stage_all(raw, strict).items():
-        tables[f"stg_{name}"] = store.materialize(df, "stage", name)
+    for name, entity in ENTITIES.items():
+        if not any(s in raw for s in entity.sources):
+            continue
+        if strict:
+            rows = stage(entity, raw)
+        else:
+            rows, refused = stage_or_quarantine(entity, raw)
+            store.materialize(refused, "rejects", f"stg_{name}")
+        if name in CORRECTED and "corrections" in raw:
+            fields = [c for c in entity.column_names if c != entity.key]
+            rows = apply_corrections(rows, entity.key, raw["corrections"], CORRECTED[name], fields)
+        tables[f"stg_{name}"] = store.materialize(rows, "stage", name)
 
     def core_table(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
         tables[name] = store.materialize(df, "core", name, partition_by)
@@ -73,7 +94,7 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
     mart_table("mart_churn", marts.mart_churn(tables["fct_mrr_movements"]))
     mart_table("mart_nrr", marts.mart_nrr(changes))
     if "stg_usage_events" in tables:
-        mart_table("mart_usage", marts.mart_usage(tables["stg_usage_events"], customers))
+        mart_table("mart_usage", marts.mart_usage(dedup_usage(tables["stg_usage_events"]), customers))
     if "stg_support_tickets" in tables:
         mart_table("mart_support", marts.mart_support(tables["stg_support_tickets"], customers))
     return tables
@@ -86,14 +107,22 @@ def check(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def append_new_batches(store: Store, name: str, fact: DataFrame) -> list[int]:
-    """Add to a stored fact only the batches it does not have yet; returns their numbers.
+    """Bring a stored fact up to date, batch by batch; returns the numbers of those written.
 
-    Each batch is written into its own folder, so a run that fails half-way can simply be
-    repeated.
+    Written are the batches that are not stored, whatever their number, and those whose rows
+    differ from the stored ones: skipped, late and restated batches are all picked up. Rows
+    are compared by their number and the sum of their hashes. Each batch is written into its
+    own folder, so a run that fails half-way can simply be repeated.
     """
-    todo = newer_than(fact, store.load("core", name)) if store.exists("core", name) else fact
+    def content(df: DataFrame) -> DataFrame:
+        row = F.xxhash64(*[F.col(c).cast("string") for c in sorted(fact.columns) if c != BATCH])
+        return df.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("sum"))
+
+    now = content(fact)
+    if store.exists("core", name):
+        now = now.join(content(store.load("core", name).select(*fact.columns)), [BATCH, "n", "sum"], "left_anti")
     # A list of batch numbers, not data.
-    new = sorted(r[0] for r in todo.select(BATCH).distinct().collect())
+    new = sorted(r[0] for r in now.filter(F.col(BATCH).isNotNull()).select(BATCH).collect())
     for batch_id in new:
-        store.write_batch(todo.filter(F.col(BATCH) == batch_id), "core", name, batch_id)
+        store.write_batch(fact.filter(F.col(BATCH) == batch_id), "core", name, batch_id)
     return new

@@ -17,7 +17,7 @@ from ledgerline import contract
 from ledgerline.contract import BATCH
 from ledgerline.functions.columns import feature_list, utc
 from ledgerline.operators import cleaning, corrections, history, identity, late, matching, quality, rowfilter
-from ledgerline.operators.relational import broadcast_if_small, latest_batch, union_aligned
+from ledgerline.operators.relational import latest_batch, union_aligned
 from ledgerline.plans import core, definitions, kpis, marts, stage, warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_book as book
@@ -64,13 +64,8 @@ def _usage(spark, folder):
     return late.union_late(book.usage_on_time(spark, folder), book.usage_late(spark, folder))
 
 
-def _plans(spark, folder):
-    """Plans are computed from the orders here, so their size has to be looked at."""
-    return broadcast_if_small(book.plans(spark, folder))
-
-
 def _facts(spark, folder):
-    return core.fct_subscriptions(book.subscriptions(spark, folder), book.customers(spark, folder), _plans(spark, folder))
+    return core.fct_subscriptions(book.subscriptions(spark, folder), book.customers(spark, folder), book.plans(spark, folder))
 
 
 def _changes(spark, folder, close_last=False):
@@ -78,7 +73,7 @@ def _changes(spark, folder, close_last=False):
 
 
 def _mart_mrr(spark, folder):
-    return marts.mart_mrr_from_stage(book.subscriptions(spark, folder), book.customers(spark, folder), _plans(spark, folder))
+    return marts.mart_mrr_from_stage(book.subscriptions(spark, folder), book.customers(spark, folder), book.plans(spark, folder))
 
 
 def _mart_churn(spark, folder):
@@ -561,7 +556,7 @@ def row_filter_unmapped(spark, folder):
 
 
 def _warehouse_tables(spark, folder):
-    subscriptions, customers, plans = (f(spark, folder) for f in (book.subscriptions, book.customers, _plans))
+    subscriptions, customers, plans = (f(spark, folder) for f in (book.subscriptions, book.customers, book.plans))
     snapshots = book.customer_snapshots(spark, folder)
     dim = core.dim_customer(snapshots, strict_nulls=True)
     changes = core.mrr_changes(subscriptions, customers)
@@ -661,7 +656,7 @@ def mrr_with_overage(spark, folder):
 
 @query
 def paid_customers(spark, folder):
-    return definitions.paid_customers(book.subscriptions(spark, folder), _plans(spark, folder))
+    return definitions.paid_customers(book.subscriptions(spark, folder), book.plans(spark, folder))
 
 
 @query
@@ -682,17 +677,55 @@ def match_partners(spark, folder):
 
 @query
 def late_usage_stream(spark, folder):
-    """Usage as a stream with repeats dropped, then totals per day and metric."""
-    # Two readers: the regular drops and the late file are separate sources. A pattern, as a
-    # stream takes a single file only that way; it fits a folder of that name as well.
-    def source():
-        return spark.readStream.schema(book.TABLES["events"]).parquet(f"{folder}/events.parque[t]")
-
-    both = book.usage_from(source()).unionByName(book.late_part(book.usage_from(source())))
-    clean = usage_stream.dedup_stream(both, (*late.USAGE_KEY, "quantity"))
-    target, checkpoint = scratch_path(spark, "usage"), scratch_path(spark, "usage-checkpoint")
-    usage_stream.run_available(clean, target, checkpoint)
+    """Usage as a stream, twice: the regular drops, then late rows, some four months old."""
+    usage = book.usage_on_time(spark, folder)
+    landing, target, checkpoint = (scratch_path(spark, f"usage-{part}") for part in ("landing", "table", "checkpoint"))
+    late_rows = book.late_part(usage)
+    older = late_rows.withColumn("event_date", F.date_sub("event_date", 120))
+    for drop in (usage, late_rows.unionByName(older)):
+        drop.write.mode("append").parquet(landing)
+        usage_stream.run_dedup(spark.readStream.schema(usage.schema).parquet(landing), target, checkpoint)
     return (
-        spark.read.schema(clean.schema).parquet(target).groupBy("event_date", "metric_name")
+        spark.read.schema(usage.schema).parquet(target).groupBy("event_date", "metric_name")
         .agg(F.count(F.lit(1)).alias("events"), F.sum("quantity").alias("total_quantity"))
     )
+
+
+@query
+def incremental_restated(spark, folder):
+    """Invoices after a load without batch 2 and with other amounts in batch 1, brought up to date."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    fact = book.invoices(spark, folder).select("invoice_id", "customer_id", "amount", BATCH)
+    first = fact.filter(F.col(BATCH) != 2).withColumn("amount", F.when(F.col(BATCH) == 1, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"))
+    warehouse.append_new_batches(store, "invoices", first)
+    written = warehouse.append_new_batches(store, "invoices", fact)
+    return store.load("core", "invoices").groupBy(BATCH).agg(
+        F.count(F.lit(1)).alias("invoices"), F.sum("amount").alias("amount"),
+    ).withColumn("written", F.col(BATCH).isin(*written) if written else F.lit(False))
+
+
+@query
+def landing_rejects(spark, folder):
+    """Lines of ragged drops by what became of them: every line is a row or a reject."""
+    drops, store = scratch_path(spark, "drops"), Store(spark, scratch_path(spark, "warehouse"))
+    # Written as one column whose name is the header: a third of the lines is short of a
+    # field, a fifth has two more than the header. Compressed, as large drops are.
+    lines = book.table(spark, folder, "customer").select(F.concat_ws(
+        ",", F.col("c_custkey").cast("string"), F.concat(F.lit("'"), F.col("c_name"), F.lit("'")),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")), F.when(F.col("c_custkey") % 5 == 0, F.lit("x,y,z")),
+    ).alias("customer_id,company_name,industry"))
+    (
+        lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("compression", "gzip")
+        .csv(f"{drops}/batch_1/customers.csv")
+    )
+    warehouse.land(spark, store, drops)
+    rows = store.load("raw", "customers").groupBy(F.lit("row").alias("outcome"), F.col("industry").isNull().alias("short")).agg(F.count(F.lit(1)).alias("lines"))
+    rejects = store.load("rejects", "customers").groupBy(F.col("_reject_reason").alias("outcome"), F.lit(False).alias("short")).agg(F.count(F.lit(1)).alias("lines"))
+    return rows.unionByName(rejects)
+
+
+@query
+def quality_offending_values(spark, folder):
+    """Values outside the accepted ones in the customer snapshots, with their rows."""
+    checks = [c for c in quality.STANDARD_CHECKS if c.table == "stg_customers"]
+    return quality.offending_values(book.customer_snapshots(spark, folder), checks)

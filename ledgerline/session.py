@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,9 +33,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names no folder (tests, a laptop) a local one is made.
+    A session in one process (``local[...]``) may go without that setting and gets a folder
+    that goes with it. Any other is refused: its executors would each write to a disk of
+    their own, and rows would be missing.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

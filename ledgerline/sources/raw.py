@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -14,16 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.contract import BATCH, FILENAME, LOADED
+from ledgerline.contract import BATCH, FILENAME, LOADED, NOT_IN_NAMES
 from ledgerline.operators.cleaning import null_sentinels
 from ledgerline.operators.relational import union_aligned
 
 BATCH_FOLDER = r"batch_(\d+)"
+# A CSV, plain or in a compression Spark reads anywhere.
+CSV_NAME = r"(.*)\.csv(\.gz|\.bz2|\.deflate)?"
+# The line as it stands in the file, where it does not fit the header; why it was refused.
+LINE, REASON = "_line", "_reject_reason"
 
 
 def _safe(stem: str) -> str:
-    """Lower case; whatever is no ASCII letter, digit or underscore becomes an underscore."""
-    return re.sub(r"\W", "_", stem.lower(), flags=re.ASCII)
+    return re.sub(NOT_IN_NAMES, "_", stem.lower())
+
+
+def _stem(filename: str) -> str:
+    match = re.fullmatch(CSV_NAME, filename)
+    return match.group(1) if match else filename.rsplit(".", 1)[0]
 
 
 @dataclass(frozen=True)
@@ -37,7 +46,7 @@ class RawFile:
     @property
     def family(self) -> str:
         """Which RAW dataset the file belongs to."""
-        return _safe(self.name.rsplit(".", 1)[0])
+        return _safe(_stem(self.name))
 
     @property
     def table(self) -> str:
@@ -46,14 +55,16 @@ class RawFile:
 
 def raw_table_name(batch: str, filename: str) -> str:
     """``batch_2`` and ``Late Usage.csv`` give ``batch_2_late_usage``."""
-    return f"{batch}_{_safe(filename.rsplit('.', 1)[0])}"
+    return f"{batch}_{_safe(_stem(filename))}"
 
 
 def discover(spark: SparkSession, root: str, batches: Sequence[int] | None = None) -> list[RawFile]:
     """CSV files of the batch folders under ``root``, by batch and name.
 
-    A folder that is missing or holds no CSV contributes nothing. Works on any file
-    system Spark can read; only names are listed.
+    A folder that is missing or holds no CSV contributes nothing. A folder named like a CSV
+    holds its parts; one that is no CSV, and no marker (``_SUCCESS``, hidden files), raises: its
+    rows would be missing without a word. Works on any file system Spark can read; only names
+    are listed.
     """
     jvm = spark.sparkContext._jvm
     top = jvm.org.apache.hadoop.fs.Path(root)
@@ -70,33 +81,45 @@ def discover(spark: SparkSession, root: str, batches: Sequence[int] | None = Non
             continue
         for entry in fs.listStatus(folder.getPath()):
             name = entry.getPath().getName()
-            if name.endswith(".csv"):
-                parts = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
-                paths = sorted(p.getPath().toString() for p in parts if p.getPath().getName().endswith(".csv"))
-                found.append(RawFile(batch_id, name, tuple(paths)))
+            if not re.fullmatch(CSV_NAME, name):
+                continue
+            parts = [p.getPath() for p in (fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry])]
+            parts = [p for p in parts if not p.getName().startswith(("_", "."))]
+            strange = [p.toString() for p in parts if not re.fullmatch(CSV_NAME, p.getName())]
+            if strange:
+                raise ValueError(f"parts that are no CSV: {strange[:5]}")
+            found.append(RawFile(batch_id, name, tuple(sorted(p.toString() for p in parts))))
     return sorted(found, key=lambda f: (f.batch_id, f.name))
 
 
 def _reader(spark: SparkSession, multi_line: bool):
     # RFC 4180 quoting: a quote inside a quoted value is doubled.
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # Every field is parsed whatever a query asks for: only so a line can be seen not to fit.
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).option("columnPruning", False)
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """First line of every file, split into column names; an empty file has none.
+    """First record of every file, split into column names; an empty file has none.
 
-    Only these lines are read, by a few threads of the driver, without a Spark job per file.
+    Only the header is read (over several lines where a quoted name spans them), by a few
+    threads of the driver, without a Spark job per file.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
     def first_line(path: str) -> tuple[str, ...]:
         location = jvm.org.apache.hadoop.fs.Path(path)
         stream = location.getFileSystem(conf).open(location)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(location)
         try:
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+            reader = jvm.java.io.BufferedReader(
+                jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+            )
+            header = reader.readLine()
+            while header and header.count('"') % 2 and (more := reader.readLine()) is not None:
+                header += "\n" + more
         finally:
             stream.close()
-        return tuple(next(csv.reader([line.lstrip("\ufeff")]))) if line else ()
+        return tuple(next(csv.reader(io.StringIO(header.lstrip("\ufeff"), newline="")))) if header else ()
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         return dict(zip(paths, pool.map(first_line, paths)))
@@ -117,7 +140,34 @@ def paths_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str
 def read_raw(
     spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | None = None
 ) -> DataFrame:
-    """All rows of one file family, sentinels as NULL, with batch, load time and file name.
+    """The rows of one file family, without those :func:`read_rejects` returns."""
+    rows = _read(spark, files, loaded_at, multi_line)
+    return null_sentinels(rows.filter(~_refused(rows)).drop(LINE, "_fields"))
+
+
+def read_rejects(
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | None = None
+) -> DataFrame:
+    """Lines with more fields than their header, as they stand, with lineage and the reason.
+
+    Rows and rejects add up to the lines of the files. A shorter line is a row whose last
+    columns are NULL.
+    """
+    rows = _read(spark, files, loaded_at, multi_line)
+    return rows.filter(_refused(rows)).select(LINE, F.lit("more fields than the header").alias(REASON), BATCH, LOADED, FILENAME)
+
+
+def _refused(rows: DataFrame):
+    """More fields than the header: separators outside quoted values are counted in lines that do not fit."""
+    bare = F.regexp_replace(LINE, '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.coalesce(fields > F.col("_fields"), F.lit(False))
+
+
+def _read(
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None, multi_line: bool | None
+) -> DataFrame:
+    """All lines of one file family with batch, load time and file name, and what does not fit.
 
     Files are grouped by their header, one scan per distinct header, and the scans are
     united by column name: a batch with other columns can never shift values, and the
@@ -136,14 +186,18 @@ def read_raw(
 
     scans = []
     for (header, spanning), members in groups.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        rows = _reader(spark, spanning).schema(schema).option("enforceSchema", False).csv(members)
-        scans.append(rows.select(*[F.col(f"`{c}`") for c in header], F.col("_metadata.file_path").alias("_path")))
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, LINE)])
+        rows = _reader(spark, spanning).schema(schema).option("columnNameOfCorruptRecord", LINE).csv(members)
+        # A reader may not be asked for unfit lines alone, so the count of fields looks at a column too.
+        fields = F.lit(len(header)) + F.least(F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))), F.lit(0))
+        scans.append(rows.select(
+            *[F.col(f"`{c}`") for c in header], LINE, fields.alias("_fields"), F.col("_metadata.file_path").alias("_path")
+        ))
     if not scans:
-        empty = f"{BATCH} int, {LOADED} timestamp_ntz, {FILENAME} string"
+        empty = f"{LINE} string, _fields int, {BATCH} int, {LOADED} timestamp_ntz, {FILENAME} string"
         return spark.createDataFrame([], empty)
     in_drop = f"^.*/{BATCH_FOLDER}/([^/]+)"
-    return null_sentinels(union_aligned(scans)).withColumns({
+    return union_aligned(scans).withColumns({
         BATCH: F.regexp_extract("_path", in_drop, 1).cast("int"),
         LOADED: F.lit(stamp).cast("timestamp_ntz"),
         # The path comes URI-encoded, where a plus is a plus.

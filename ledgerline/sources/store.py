@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.contract import BATCH
 from ledgerline.operators.rowfilter import restrict_rows
 
-LAYERS = ("raw", "stage", "snapshots", "core", "mart")
+LAYERS = ("raw", "rejects", "stage", "snapshots", "core", "mart")
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,4 @@
-"""Usage rows as a stream: drop repeats, keep late ones, load incrementally."""
+"""Usage rows as a stream: drop repeats, keep late ones however late, load incrementally."""
 
 from __future__ import annotations
 
@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.late import USAGE_KEY
-
-# A late file arrives months after its events; state is kept at least that long.
-LATENESS = "90 days"
+from ledgerline.operators.late import USAGE_KEY, dedup_usage
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# How long a window of a windowed report stays open for late rows.
+LATENESS = "90 days"
 
 
 def with_event_time(usage: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -22,20 +21,39 @@ def with_event_time(usage: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return usage.withColumn("event_ts", F.col("event_date").cast("timestamp")).withWatermark("event_ts", lateness)
 
 
-def dedup_stream(
-    usage: DataFrame, key: Sequence[str] = USAGE_KEY, lateness: str = LATENESS, spread: int = 16
-) -> DataFrame:
-    """The first row of every key.
+def run_dedup(
+    usage: DataFrame, path: str, checkpoint: str, key: Sequence[str] = USAGE_KEY, day: str = "event_date"
+) -> StreamingQuery:
+    """Merge what is there into the table at ``path`` (stored by day), and stop.
 
-    Event time is part of the key, so state older than the watermark is dropped; rows older
-    than it cannot be told from repeats and are not kept. A stream has no map-side
-    combining, so repeats are dropped twice: first within ``spread`` shares of the input,
-    which divides a key that is repeated very often over that many tasks, then across them.
-    Which share a row falls into has no influence on the result.
+    One row per key, the same as :func:`ledgerline.operators.late.dedup_usage` gives for all
+    rows ever read: no watermark, so no row is too late. No state is held either; the stored
+    table is the state. A micro-batch touches only the days it brings: their stored rows
+    and the new ones are reduced together, written aside, and put in place of those days. All
+    of it can be repeated, so a batch that failed half-way is simply run again.
     """
-    timed = with_event_time(usage, lateness).withColumn("_share", F.spark_partition_id() % spread)
-    full_key = [*key, "event_ts"]
-    return timed.dropDuplicates([*full_key, "_share"]).dropDuplicates(full_key).drop("event_ts", "_share")
+    schema = usage.schema
+
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        both = batch
+        if target.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(target):
+            stored = session.read.schema(schema).parquet(path)
+            days = batch.select(F.col(day).alias("_day")).distinct()
+            both = batch.unionByName(stored.join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi"))
+        aside = f"{checkpoint.rstrip('/')}-aside/{number}"
+        dedup_usage(both, key).write.mode("overwrite").parquet(aside)
+        (
+            session.read.schema(schema).parquet(aside).hint("rebalance", day)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+        )
+
+    query = (
+        usage.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
 
 
 def windowed_usage(usage: DataFrame, width: str = "30 days", lateness: str = LATENESS) -> DataFrame:

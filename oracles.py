@@ -136,10 +136,11 @@ PARTS = {
     "changes_open": """
         select customer_id, batch_id, max(past) as previous_mrr, max(present) as current_mrr,
                coalesce(max(present), 0) - coalesce(max(past), 0) as mrr_change,
-               case when count(past) = 0 then 'new'
-                    when count(present) = 0 then 'churn'
-                    else (['contraction', 'retained', 'expansion'])[2 + cast(sign(max(present) - max(past)) as int)]
-               end as movement_type
+               case when max(past) is null then 'new'
+                    when max(present) is null then 'churn'
+                    when max(present) > max(past) then 'expansion'
+                    when max(present) < max(past) then 'contraction'
+                    else 'retained' end as movement_type
         from (select customer_id, batch as batch_id, total_mrr as present, null as past from bmrr
               union all
               select customer_id, batch + 1, null, total_mrr from bmrr)
@@ -163,9 +164,9 @@ PARTS = {
         select batch + 1 as batch_id, region, sum(mrr) as starting from fsub where status = 'active' group by 1, 2""",
     "moved": """
         select batch_id, region,
-               sum(mrr_change) filter (movement_type = 'expansion') as grown,
-               -sum(mrr_change) filter (movement_type = 'contraction') as shrunk,
-               -sum(mrr_change) filter (movement_type = 'churn') as lost
+               sum(case when movement_type = 'expansion' then mrr_change end) as grown,
+               sum(case when movement_type = 'contraction' then abs(mrr_change) end) as shrunk,
+               sum(case when movement_type = 'churn' then abs(mrr_change) end) as lost
         from changes_all where movement_type <> 'retained' group by 1, 2""",
     "m_nrr_open": """
         select batch_id, region, coalesce(starting, 0) as starting_mrr, coalesce(grown, 0) as expansion_mrr,
@@ -268,8 +269,8 @@ oracle("stage_invoices", "inv", f"""
            cast(subscription_id as varchar) as subscription_id, cast(invoice_date as varchar) as invoice_date,
            cast(due_date as varchar) as due_date, cast(amount as double) as amount, currency, status,
            cast(line_items_count as bigint) as line_items_count,
-           cast(cast(tax_amount as decimal(18,2)) as double) as tax_amount,
-           cast(cast(total_amount as decimal(18,2)) as double) as total_amount,
+           cast(tax_amount as double) as tax_amount,
+           cast(total_amount as double) as total_amount,
            cast(period_start as varchar) as period_start, cast(period_end as varchar) as period_end,
            cast(created_at as varchar) as created_at, {B}
     from inv""")
@@ -277,8 +278,8 @@ oracle("stage_invoices", "inv", f"""
 oracle("stage_payments", "pay", f"""
     select payment_id, cast(invoice_id as varchar) as invoice_id, cast(customer_id as varchar) as customer_id,
            cast(amount as double) as amount, payment_method, cast(payment_date as varchar) as payment_date, status,
-           transaction_ref, cast(cast(processor_fee as decimal(18,2)) as double) as processor_fee,
-           cast(cast(amount - processor_fee as decimal(18,2)) as double) as net_amount, {B}
+           transaction_ref, cast(processor_fee as double) as processor_fee,
+           cast(amount - processor_fee as double) as net_amount, {B}
     from pay""")
 
 oracle("stage_plans", "plan", """
@@ -510,7 +511,8 @@ oracle("kpi_mrr_region_pivot", "m_mrr", """
            cast(sum(case when region = 'AMERICA' then total_mrr else 0 end) as double) as "AMERICA",
            cast(sum(case when region = 'ASIA' then total_mrr else 0 end) as double) as "ASIA",
            cast(sum(case when region = 'EUROPE' then total_mrr else 0 end) as double) as "EUROPE",
-           cast(sum(case when region = 'MIDDLE EAST' then total_mrr else 0 end) as double) as "MIDDLE EAST"
+           cast(sum(case when region = 'MIDDLE EAST' then total_mrr else 0 end) as double) as "MIDDLE EAST",
+           cast(sum(case when region is null then total_mrr else 0 end) as double) as unassigned
     from m_mrr group by 1""")
 oracle("kpi_mrr_by_plan", "m_mrr", """
     select plan_name, cast(sum(total_mrr) as double) as total_mrr from m_mrr where batch_id = 3 group by 1""")
@@ -701,9 +703,9 @@ oracle("nrr_by_effective_date", "changes amend", """
         select batch_id, region, coalesce(sum(previous_mrr), 0) as starting from changes group by 1, 2),
     shifted as (
         select coalesce(effective, c.batch_id) as batch_id, region,
-               sum(mrr_change) filter (movement_type = 'expansion') as grown,
-               -sum(mrr_change) filter (movement_type = 'contraction') as shrunk,
-               -sum(mrr_change) filter (movement_type = 'churn') as lost
+               sum(case when movement_type = 'expansion' then mrr_change end) as grown,
+               sum(case when movement_type = 'contraction' then abs(mrr_change) end) as shrunk,
+               sum(case when movement_type = 'churn' then abs(mrr_change) end) as lost
         from changes c left join newest n on n.customer_id = c.customer_id and n.batch_id = c.batch_id
         group by 1, 2)
     select cast(batch_id as bigint) as batch_id, region, cast(coalesce(starting, 0) as double) as starting_mrr,
@@ -777,7 +779,28 @@ oracle("match_partners", "cust", f"""
     from file left join best using (partner_id) where not has_email""")
 
 oracle("late_usage_stream", "usage_all", """
+    , every as (
+        select * exclude (is_late) from usage_all
+        union all
+        select * replace (event_date - 120 as event_date, 3 as batch) from usage_on_time where batch = 1),
+    kept as (
+        select * from every
+        qualify row_number() over (partition by customer_id, event_date, metric_name order by batch desc, quantity desc) = 1)
     select cast(event_date as varchar) as event_date, metric_name, count(*) as events,
            cast(sum(quantity) as double) as total_quantity
-    from (select distinct customer_id, event_date, metric_name, quantity from usage_all)
-    group by 1, 2""")
+    from kept group by 1, 2""")
+
+oracle("incremental_restated", "", """
+    select cast(year(o_orderdate) - 1994 as bigint) as _batch_id, count(*) as invoices,
+           cast(sum(cast(o_totalprice as decimal(18,2))) as double) as amount, year(o_orderdate) - 1994 in (1, 2) as written
+    from orders group by year(o_orderdate)""")
+
+oracle("landing_rejects", "", """
+    select case when c_custkey % 5 = 0 then 'more fields than the header' else 'row' end as outcome,
+           c_custkey % 3 = 0 and c_custkey % 5 <> 0 as short, count(*) as lines
+    from customer group by 1, 2""")
+
+oracle("quality_offending_values", "snap", """
+    select 'region' as "column", region as value, count(*) as rows from snap where region not in ('NA', 'EMEA', 'APAC') group by region
+    union all
+    select 'status', status, count(*) from snap where status not in ('active', 'churned', 'suspended', 'trial') group by status""")

@@ -127,3 +127,12 @@ def test_union_keeps_duplicates_and_fills_missing_columns(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "k string, v int")
     assert rows(latest_per_key(df, ["k"], [F.col("v").desc()])) == [("a", 3), ("b", 2)]
+
+
+def test_digits_are_kept_or_refused(spark):
+    """No digit is rounded away: text with too many does not parse."""
+    df = spark.createDataFrame([("12.345",), ("0.123456",), ("1.00000000010",), ("1.00000000001",)], "t string")
+    got = [r[0] for r in df.select(columns.typed(F.col("t"), "money", strict=False)).collect()]
+    assert [None if v is None else str(v.normalize()) for v in got] == ["12.345", "0.123456", "1.0000000001", None]
+    with pytest.raises(Exception, match="too many digits"):
+        df.select(columns.typed(F.col("t"), "number")).collect()

@@ -1,5 +1,6 @@
 """CSV drops: discovery, differing headers, sentinels, quoting, idempotent reload."""
 
+import gzip
 from datetime import datetime
 
 import pytest
@@ -87,3 +88,36 @@ def test_reloading_a_batch_replaces_it_even_by_nothing(spark, tmp_path):
     assert rows(store.load("raw", "t"), "v", BATCH) == [("a", 1), ("b", 1), ("c", 2)]
     store.write_batch(df.filter("false"), "raw", "t", 1)
     assert rows(store.load("raw", "t"), "v", BATCH) == [("c", 2)]
+
+
+def test_lines_that_do_not_fit_the_header(spark, tmp_path):
+    """Short lines are rows, longer ones rejects; together they are the input."""
+    write(tmp_path / "batch_1", "t.csv", "a,b", "3,4,5", "6", '7,"x,y"', '8,"x,y",9', ",")
+    files = raw.discover(spark, str(tmp_path))
+    assert rows(raw.read_raw(spark, files), "a", "b") == [("6", None), ("7", "x,y"), (None, None)]
+    rejects = raw.read_rejects(spark, files)
+    assert rows(rejects, "_line", "_reject_reason", BATCH, "_filename") == [
+        ('3,4,5', "more fields than the header", 1, "t.csv"), ('8,"x,y",9', "more fields than the header", 1, "t.csv"),
+    ]
+    assert rejects.count() == 2 and raw.read_raw(spark, files).count() == 3
+
+
+def test_compressed_parts_and_files(spark, tmp_path):
+    folder = tmp_path / "batch_1" / "y.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-0.csv.gz").write_bytes(gzip.compress(b"k,v\n1,a\n"))
+    (folder / "part-1.csv").write_bytes(b"k,v\n2,b\n")
+    (tmp_path / "batch_1" / "Z File.csv.gz").write_bytes(gzip.compress(b"k\n5\n"))
+    found = raw.discover(spark, str(tmp_path))
+    assert [(f.name, f.family, len(f.paths)) for f in found] == [("Z File.csv.gz", "z_file", 1), ("y.csv", "y", 2)]
+    assert rows(raw.read_raw(spark, found[1:]), "k", "v") == [("1", "a"), ("2", "b")]
+    assert rows(raw.read_raw(spark, found[:1]), "k", "_filename") == [("5", "Z File.csv.gz")]
+    (folder / "part-2.parquet").write_bytes(b"?")
+    with pytest.raises(ValueError, match="no CSV"):
+        raw.discover(spark, str(tmp_path))
+
+
+def test_header_over_two_lines(spark, tmp_path):
+    write(tmp_path / "batch_1", "t.csv", 'a,"b', 'c"', "1,2")
+    df = raw.read_raw(spark, raw.discover(spark, str(tmp_path)))
+    assert [tuple(r)[:2] for r in df.collect()] == [("1", "2")]

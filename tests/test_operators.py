@@ -9,8 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerline.contract import BATCH
-from ledgerline.operators import corrections, late, matching, quality, rowfilter
-from ledgerline.operators.relational import broadcast_if_small
+from ledgerline.operators import corrections, late, matching, quality, relational, rowfilter
 
 D = Decimal
 
@@ -175,7 +174,13 @@ def test_partners(spark):
     ]
 
 
-def test_broadcast_only_after_a_look_at_the_size(spark):
-    df = spark.range(100)
-    assert "ResolvedHint" in broadcast_if_small(df, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(df, 99)._jdf.queryExecution().analyzed().toString()
+def test_pivot_cells_add_up(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, None, 3), (1, "z", 4), (2, "a", 1)], "k int, c string, m int")
+    assert rows(relational.pivot_filled(df, "k", "c", ["a", "b"], "m", "rest")) == [(1, 2, 0, 7), (2, 1, 0, 0)]
+    assert relational.pivot_filled(df, "k", "c", ["a"], "m").columns == ["k", "a"]
+
+
+def test_offending_values(spark):
+    df = spark.createDataFrame([("x",), ("x",), ("ok",), (None,)], "c string")
+    found = quality.offending_values(df, [quality.Check("t", "c", "accepted_values", ("ok",)), quality.Check("t", "c", "not_null")])
+    assert ("c", "x", 2) in rows(found)

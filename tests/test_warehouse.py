@@ -104,6 +104,35 @@ def test_incremental_append_adds_only_new_batches(spark, built, tmp_path):
     assert rows(store.load("core", "inc"), "invoice_id", BATCH) == [("INV-1", 1), ("INV-2", 2)]
 
 
+def test_skipped_and_restated_batches_are_picked_up(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    fact = spark.createDataFrame([("a", 1, 1), ("b", 2, 2), ("c", 3, 3), ("d", None, 3)], f"k string, v int, {BATCH} int")
+    assert warehouse.append_new_batches(store, "f", fact.filter(F.col(BATCH) != 2)) == [1, 3]
+    restated = fact.withColumn("v", F.when(F.col("k") == "a", 9).otherwise(F.col("v")))
+    assert warehouse.append_new_batches(store, "f", restated) == [1, 2]
+    assert warehouse.append_new_batches(store, "f", restated) == []
+    assert rows(store.load("core", "f"), "k", "v", BATCH) == [("a", 9, 1), ("b", 2, 2), ("c", 3, 3), ("d", None, 3)]
+
+
+def test_corrections_repeats_and_rejects_pass_the_build(spark, tmp_path):
+    drops = dict(DROPS)
+    drops[3, "corrections"] = "correction_id,entity_type,entity_id,field_corrected,old_value,new_value,corrected_at\nCOR-1,invoice,INV-1,status,paid,void,2024-03-01\nCOR-2,invoice,INV-2,amount,999,1,2024-03-01"
+    drops[3, "usage_events"] = "customer_id,event_date,metric_name,quantity,unit\nCUST-001,2024-01-03,api_requests,12,requests"
+    drops[2, "payments"] = "payment_id,invoice_id,customer_id,amount,payment_method,payment_date,status\nPAY-2,INV-2,CUST-001,abc,card,2024-02-29T08:00:00Z,completed"
+    for (batch, name), text in drops.items():
+        folder = tmp_path / "drops" / f"batch_{batch}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}.csv").write_text(text + "\n")
+    store = Store(spark, str(tmp_path / "warehouse"))
+    warehouse.land(spark, store, str(tmp_path / "drops"))
+    t = warehouse.build(store, {name: store.load("raw", name) for name in {n for _, n in drops}}, strict=False)
+    assert rows(t["fct_invoices"], "invoice_id", "status", "amount") == [("INV-1", "void", D(100)), ("INV-2", "open", D(150))]
+    assert rows(t["mart_usage"], "total_quantity") == [(D(17),)]
+    assert rows(store.load("rejects", "stg_payments"), "payment_id", "_reject_reason") == [("PAY-2", "bad amount")]
+    assert rows(store.load("rejects", "stg_customers"), "company_name") == [("Lost",)]
+    assert t["fct_payments"].count() == 1
+
+
 def usage_file(spark, folder, *data):
     df = spark.createDataFrame(list(data), f"customer_id string, event_date string, metric_name string, quantity decimal(18,4), {BATCH} int")
     df.withColumn("event_date", F.col("event_date").cast("date")).coalesce(1).write.mode("append").parquet(folder)
@@ -115,7 +144,7 @@ def test_stream_drops_repeats_across_runs_and_keeps_late_rows(spark, tmp_path):
     schema = usage_file(spark, source, ("c", "2024-01-05", "api", D(1), 1), ("c", "2024-01-05", "api", D(1), 1), ("c", "2024-03-01", "api", D(2), 1))
 
     def run():
-        stream.run_available(stream.dedup_stream(spark.readStream.schema(schema).parquet(source)), sink, checkpoint)
+        stream.run_dedup(spark.readStream.schema(schema).parquet(source), sink, checkpoint)
         return rows(spark.read.parquet(sink), "customer_id", "event_date", "quantity")
 
     assert len(run()) == 2
@@ -123,6 +152,12 @@ def test_stream_drops_repeats_across_runs_and_keeps_late_rows(spark, tmp_path):
     usage_file(spark, source, ("c", "2024-01-05", "api", D(1), 3), ("d", "2024-01-06", "api", D(9), 3))
     assert [r[0] for r in run()] == ["c", "c", "d"]
     assert len(run()) == 3
+    # A year late, and without a day; both are kept, and nothing else moves.
+    usage_file(spark, source, ("e", "2023-01-05", "api", D(7), 4), ("f", None, "api", D(8), 4))
+    assert [r[0] for r in run()] == ["c", "c", "d", "e", "f"]
+    # A newer batch restates a row.
+    usage_file(spark, source, ("d", "2024-01-06", "api", D(5), 5))
+    assert [r[2] for r in run() if r[0] == "d"] == [D(5)]
 
 
 def test_windowed_usage(spark):
