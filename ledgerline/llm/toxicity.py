@@ -24,9 +24,10 @@ from ledgerline.llm.common import arrow, fold, in_slices, table, texts
 # The model is fitted on at most so many labelled rows of each class, none longer than that.
 FIT_ROWS = 2000
 FIT_BYTES = 10_000
-# A word counts as toxic in toxic texts if it stands there in so many different contexts,
-# and its share of contexts there is so many times the share in clean texts.
-CONTEXTS = 4
+# A word counts as toxic in toxic texts if it stands there in so many different contexts, at
+# least and per toxic text (by chance a word of near copies gathers more of them the more texts
+# there are), and its share of contexts there is so many times the share in clean texts.
+CONTEXTS, CONTEXTS_PER_TEXT = 4, 0.01
 RATIO = 12.0
 FOLDS = 5
 
@@ -104,9 +105,11 @@ def fit_chains(chains: np.ndarray, tags: np.ndarray, mask: np.ndarray, size: int
     return theta, trans
 
 
-def fit(sample: list[tuple[str, int]]) -> ToxicModel:
+def fit(sample: list[tuple[str, int]], prior: float | None = None) -> ToxicModel:
     """Model from (text, label) rows; equal texts count once.
 
+    ``prior`` is the share of toxic texts where scores are wanted, if the sample's is another.
+
     Token labels come from the rows: in a toxic text, a word is toxic if it stands in many
     different contexts of toxic texts and hardly any of clean ones. Copies of a text repeat
     its contexts, so they add nothing. Without rows of both classes every score is 0.5 or,
@@ -120,7 +123,8 @@ def fit(sample: list[tuple[str, int]]) -> ToxicModel:
             spread[label].setdefault(word, set()).add(hash((before, after)))
     count = [Counter({w: len(s) for w, s in part.items()}) for part in spread]
     total = [sum(c.values()) + 1 for c in count]
-    odds = {w: (p + 0.5) / total[1] / ((count[0][w] + 0.5) / total[0]) for w, p in count[1].items() if p >= CONTEXTS}
+    least = max(CONTEXTS, CONTEXTS_PER_TEXT * sum(label for _, label in rows))
+    odds = {w: (p + 0.5) / total[1] / ((count[0][w] + 0.5) / total[0]) for w, p in count[1].items() if p >= least}
     toxic = {w for w, ratio in odds.items() if ratio >= RATIO}
     # Listed: the toxic words, and as many of those next in line, as counter-examples.
     near = sorted((w for w in odds if w not in toxic), key=lambda w: (-odds[w], w))[: len(toxic) + 50]
@@ -157,6 +161,8 @@ def fit(sample: list[tuple[str, int]]) -> ToxicModel:
             g = np.array([((y - p) * x).sum() - 1e-2 * slope, (y - p).sum() - 1e-2 * offset])
             step = np.linalg.solve(h, g)
             slope, offset = slope + np.clip(step[0], -1, 1), offset + np.clip(step[1], -1, 1)
+        if prior and prior < 1:
+            offset += np.log(prior / (1 - prior)) - np.log(y.mean() / (1 - y.mean()))
     return ToxicModel(model.weights, model.other, model.transitions, float(slope), float(offset))
 
 
@@ -244,15 +250,20 @@ def calibrated(chance: float, model: ToxicModel) -> float:
     return float(1 / (1 + np.exp(-(model.slope * _logit(chance) + model.offset))))
 
 
+def training_labels(labels: DataFrame, label: str, folds: int, held: int) -> DataFrame:
+    """doc_id, y of the labelled documents outside the held-out fold; of several labels the highest."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(
+        "doc_id is not null and y in (0, 1)"
+    ).groupBy("doc_id").agg(F.max("y").alias("y")).filter(fold("doc_id", folds) != held)
+
+
 def training_sample(documents: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int = FIT_ROWS) -> list[tuple[str, int]]:
     """At most ``rows`` labelled texts of each class outside the held-out fold.
 
     Which rows, is decided by a hash of the id alone. Two bounded sets of ids meet the texts
     (a broadcast of at most 2 * ``rows`` ids); texts over FIT_BYTES are left out of the fit.
     """
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(
-        "doc_id is not null and y in (0, 1)"
-    ).groupBy("doc_id").agg(F.max("y").alias("y")).filter(fold("doc_id", folds) != held)
+    marked = training_labels(labels, label, folds, held)
     mixed = F.xxhash64("doc_id", F.lit(7))
     chosen = marked.filter("y = 1").orderBy(mixed, "doc_id").limit(rows).unionByName(
         marked.filter("y = 0").orderBy(mixed, "doc_id").limit(rows)
@@ -267,7 +278,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, folds:
 
 def toxic_model(documents: DataFrame, labels: DataFrame) -> ToxicModel:
     """Model from the labelled rows outside the held-out fold."""
-    return fit(training_sample(documents, labels, "toxic", FOLDS, 0))
+    prior = training_labels(labels, "toxic", FOLDS, 0).agg(F.avg("y")).first()[0]
+    return fit(training_sample(documents, labels, "toxic", FOLDS, 0), prior)
 
 
 def toxicity(documents: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
