@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.contract import BATCH, CUSTOMERS, ENTITIES, Entity
+from ledgerline.contract import BATCH, CUSTOMERS, Entity
 from ledgerline.functions.columns import canonical_customer_id
 from ledgerline.operators.cleaning import clean, clean_or_quarantine
 from ledgerline.operators.identity import resolve_ids, unresolved_ids
@@ -66,12 +66,3 @@ def stage_or_quarantine(entity: Entity, raw: Mapping[str, DataFrame]) -> tuple[D
         return clean_or_quarantine(rows, entity)
     good, bad = clean_or_quarantine(identified_customers(rows), entity)
     return good, bad.unionByName(unidentified_customers(rows), allowMissingColumns=True)
-
-
-def stage_all(raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
-    """Every entity that has at least one RAW family."""
-    return {
-        name: stage(entity, raw, strict)
-        for name, entity in ENTITIES.items()
-        if any(s in raw for s in entity.sources)
-    }
