@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.identity import owners
 from ledgerline.operators.relational import join_lookup
+from ledgerline.session import scratch_path
 
-
-# Tasks over which the names that share a piece are divided.
-SHARES = 16
+# Names of one side that meet in a task: pieces held by more names than this are split.
+NAMES_PER_SHARE = 1024
 
 
 def trigrams(name: Column) -> Column:
@@ -49,51 +49,107 @@ def _names(df: DataFrame, column: str, side: int) -> DataFrame:
     )
 
 
-def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: float) -> DataFrame:
-    """All pairs of distinct names with similarity >= ``threshold``: name, other, similarity.
-
-    Exact, without comparing everything with everything: if pieces are ordered from rare
-    to common, two names that similar must share one of their first
-    ``n - ceil(threshold * n) + 1`` pieces. Only those pieces are joined, so a piece that
-    occurs in most names hardly ever takes part. A pair is kept at its first common
-    piece only, hence no later de-duplication. Before any set is compared, a pair has to
-    pass a test of numbers: the pieces left from the common one on must be enough.
+def _ranked_names(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
+    """side, id, name, grams (rare to common), n: the names of both sides, stored once.
+
+    Everything after works on short rows with the id; the names and their whole arrays are
+    fetched again only for pairs that pass.
     """
     names = _names(left, column, 0).unionByName(_names(right, column, 1))
-    pieces = names.select("side", "name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    pieces = names.select("side", "name", F.explode("grams").alias("gram"))
     frequency = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     # One array per name, no longer than the name itself.
     # (Every piece has a frequency. The left join keeps the many pieces on the streamed side.)
-    ordered = (
+    ranked = (
         join_lookup(pieces, frequency, ["gram"])
         .groupBy("side", "name")
         .agg(F.sort_array(F.collect_list(F.struct("uses", "gram"))).alias("ranked"))
-        .select("side", "name", F.col("ranked.gram").alias("grams"))
+        .select("side", F.monotonically_increasing_id().alias("id"), "name", F.col("ranked.gram").alias("grams"))
         .withColumn("n", F.size("grams"))
     )
+    path = scratch_path(left.sparkSession, "names")
+    ranked.write.parquet(path)
+    return left.sparkSession.read.schema(ranked.schema).parquet(path)
+
+
+def _keys(names: DataFrame, threshold: float, pieces: int) -> DataFrame:
+    """One row per combination of ``pieces`` (1 or 2) rare pieces of a name: what it is joined by.
+
+    ``last`` is the position of the last piece of the combination in the name.
+    """
     needed = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
-    prefixed = ordered.withColumn("head", F.slice("grams", F.lit(1), F.col("n") - needed + 1))
-    a = prefixed.filter("side = 0").select(
-        F.col("name"), F.col("grams").alias("a"), F.col("n").alias("na"), F.col("head").alias("ha"), F.posexplode("head").alias("ia", "gram")
-    ).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-    b = prefixed.filter("side = 1").select(
-        F.col("name").alias("other"), F.col("grams").alias("b"), F.col("n").alias("nb"), F.col("head").alias("hb"), F.posexplode("head").alias("ib", "gram")
-    ).withColumn("share", F.pmod(F.xxhash64("other"), F.lit(SHARES)).cast("int"))
-    slack = F.lit(1e-9)
-    shared_needed = (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - slack
-    reachable = (
-        (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= shared_needed)
-        & (F.element_at(F.array_intersect("ha", "hb"), 1) == F.col("gram"))
+    heads = names.withColumn("head", F.slice("grams", F.lit(1), F.col("n") - needed + pieces)).select("side", "id", "n", "head")
+    ends = heads.select("*", F.posexplode("head").alias("last", "gram"))
+    if pieces == 1:
+        return ends.withColumn("first", F.lit(0).cast("bigint"))
+    return ends.filter("last > 0").select("*", F.explode(F.slice("head", F.lit(1), F.col("last"))).alias("first"))
+
+
+def _in_shares(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The keys of the left and of the right side, those of frequent combinations in shares.
+
+    A combination held by many names makes a grid: its left names are dealt to rows, its right
+    names to columns, and each name goes to every cell of its row or column. The grid follows
+    the measured counts, so a cell is of bounded size however frequent a combination is.
+    """
+    counted = keys.groupBy("first", "gram").agg(
+        F.ceil(F.count_if(F.col("side") == 0) / NAMES_PER_SHARE).alias("rows"),
+        F.ceil(F.count_if(F.col("side") == 1) / NAMES_PER_SHARE).alias("columns"),
     )
-    # Little input gives much work here, so the number of tasks must not follow the size of
-    # the input: the partition count is given. The names that share a piece are dealt out to
-    # several shares, each of which meets all names of the (smaller) left side.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["gram", "share"]
+    frequent = counted.filter("rows > 0 and columns > 0 and rows + columns > 2")
+    dealt = join_lookup(keys, frequent, ["first", "gram"])
+    rows, columns = F.coalesce("rows", F.lit(1)), F.coalesce("columns", F.lit(1))
+
+    def own(shares: Column) -> Column:
+        return F.pmod(F.xxhash64("id"), shares)
+
+    def every(shares: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1))
+
+    left = dealt.filter("side = 0").select("*", own(rows).alias("row"), every(columns).alias("column"))
+    right = dealt.filter("side = 1").select("*", own(columns).alias("column"), every(rows).alias("row"))
+    return left.drop("side", "rows", "columns"), right.drop("side", "rows", "columns")
+
+
+def candidate_names(names: DataFrame, threshold: float) -> DataFrame:
+    """left_id, right_id of :func:`_ranked_names` that can reach ``threshold``, each pair once.
+
+    Exact, without comparing everything with everything: with pieces ordered from rare to
+    common, two names that similar share ``p`` of their first ``n - ceil(threshold * n) + p``
+    pieces. For a threshold above one half every name with pieces has to share two, so names
+    are joined by two rare pieces at once, and a piece that occurs in most names hardly ever
+    takes part. A pair is kept at its first common combination only, and only if enough pieces
+    are left behind it. (A name gives as many combinations as its rare pieces have pairs,
+    which suits names, not long texts.)
+    """
+    together = 2 if threshold > 0.5 else 1
+    left, right = _in_shares(_keys(names, threshold, together))
+    keys = ["first", "gram", "row", "column"]
+    a = left.select(*keys, F.col("id").alias("left_id"), F.col("n").alias("na"), F.col("head").alias("ha"), F.col("last").alias("ia"))
+    b = right.select(*keys, F.col("id").alias("right_id"), F.col("n").alias("nb"), F.col("head").alias("hb"), F.col("last").alias("ib"))
+    shared_needed = (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - F.lit(1e-9)
+    common = F.array_intersect("ha", "hb")
+    start = F.element_at(common, together) == F.col("gram")
+    if together == 2:
+        start = start & (F.element_at(common, 1) == F.col("first"))
+    left_behind = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) - 1
+    return a.join(b, keys).filter((left_behind + together >= shared_needed) & start).select("left_id", "right_id")
+
+
+def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: float) -> DataFrame:
+    """All pairs of distinct names with similarity >= ``threshold``: name, other, similarity."""
+    names = _ranked_names(left, right, column)
+    sides = [
+        names.filter(F.col("side") == i).select(F.col("id").alias(f"{s}_id"), F.col("name").alias(f"{s}_name"), F.col("grams").alias(f"{s}_grams"))
+        for i, s in enumerate(("left", "right"))
+    ]
+    pairs = join_lookup(join_lookup(candidate_names(names, threshold), sides[0], ["left_id"]), sides[1], ["right_id"])
     return (
-        a.repartition(tasks, *keys).join(b.repartition(tasks, *keys), keys).filter(reachable)
-        .select("name", "other", similarity(F.col("a"), F.col("b")).alias("similarity"))
-        .filter(F.col("similarity") >= F.lit(threshold) - slack)
+        pairs.select(
+            F.col("left_name").alias("name"), F.col("right_name").alias("other"),
+            similarity(F.col("left_grams"), F.col("right_grams")).alias("similarity"),
+        )
+        .filter(F.col("similarity") >= F.lit(threshold) - F.lit(1e-9))
     )
 
 
@@ -113,16 +169,14 @@ def match_partners(partners: DataFrame, customers: DataFrame, threshold: float =
         emailed.filter(F.col("customer_id").isNull()).select("partner_id", "company_name")
         .unionByName(partners.filter(F.col("email").isNull()).select("partner_id", "company_name"))
     )
-    pairs = similar_names(rest, customers, "company_name", threshold)
+    # Only the most similar names count; all of them, as a tie decides nothing.
+    rank = F.rank().over(Window.partitionBy("name").orderBy(F.col("similarity").desc()))
+    closest = similar_names(rest, customers, "company_name", threshold).withColumn("_rank", rank).filter("_rank = 1")
     # A company name may belong to several customers; smallest and largest id tell.
-    holders = customers.groupBy("company_name").agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"))
-    scored = (
-        pairs.join(holders, F.col("other") == F.col("company_name"))
-        .groupBy("name", "similarity").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    )
-    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.col("similarity").desc()))
+    holders = customers.groupBy(F.col("company_name").alias("other")).agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"))
     best = (
-        scored.withColumn("_rank", rank).filter("_rank = 1")
+        join_lookup(closest, holders, ["other"])
+        .groupBy("name", "similarity").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         .filter("low = high")
         .select(F.col("name").alias("company_name"), F.col("low").alias("customer_id"), "similarity")
     )

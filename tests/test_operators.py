@@ -162,6 +162,22 @@ def test_similar_names_equal_brute_force(spark, threshold):
     assert got == brute_force(left, right, threshold)
 
 
+def test_similar_names_with_a_piece_in_every_name(spark, monkeypatch):
+    """Combinations held by many names are dealt to a grid of shares; no pair is lost or doubled."""
+    monkeypatch.setattr(matching, "NAMES_PER_SHARE", 4)
+    left, right = ([f"Grand Union Trading {side}{i:02d}" for i in range(n)] for side, n in (("a", 30), ("b", 50)))
+    names = matching._ranked_names(
+        spark.createDataFrame([(n,) for n in left], "n string"), spark.createDataFrame([(n,) for n in right], "n string"), "n")
+    a, b = matching._in_shares(matching._keys(names, 0.6, 2))
+    assert a.agg(F.max("row"), F.max("column")).first() == (7, 12)
+    assert b.groupBy("first", "gram", "row", "column").count().agg(F.max("count")).first()[0] < 30
+    found = matching.candidate_names(names, 0.6)
+    assert found.count() == found.distinct().count()
+    df = matching.similar_names(
+        spark.createDataFrame([(n,) for n in left], "n string"), spark.createDataFrame([(n,) for n in right], "n string"), "n", 0.6)
+    assert {(r["name"], r["other"]): r["similarity"] for r in df.collect()} == brute_force(left, right, 0.6)
+
+
 def test_partners(spark):
     known = spark.createDataFrame(
         [("C1", "a@x", "Acme Corp"), ("C2", "b@x", "Globex Inc"), ("C3", "b@x", "Hooli"), ("C4", "d@x", "Twin Ltd"), ("C5", "e@x", "Twin Ltd")],
