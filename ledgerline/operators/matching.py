@@ -91,13 +91,14 @@ def _in_shares(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     A combination held by many names makes a grid: its left names are dealt to rows, its right
     names to columns, and each name goes to every cell of its row or column. The grid follows
     the measured counts, so a cell is of bounded size however frequent a combination is.
+    A frequent combination that only one side has joins nothing and is left out.
     """
     counted = keys.groupBy("first", "gram").agg(
         F.ceil(F.count_if(F.col("side") == 0) / NAMES_PER_SHARE).alias("rows"),
         F.ceil(F.count_if(F.col("side") == 1) / NAMES_PER_SHARE).alias("columns"),
     )
-    frequent = counted.filter("rows > 0 and columns > 0 and rows + columns > 2")
-    dealt = join_lookup(keys, frequent, ["first", "gram"])
+    frequent = counted.filter("greatest(rows, columns) > 1")
+    dealt = join_lookup(keys, frequent, ["first", "gram"]).filter("rows is null or least(rows, columns) > 0")
     rows, columns = F.coalesce("rows", F.lit(1)), F.coalesce("columns", F.lit(1))
 
     def own(shares: Column) -> Column:
