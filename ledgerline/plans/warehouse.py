@@ -44,16 +44,12 @@ def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] |
     return load_summary(spark, {family: store.load("raw", family) for family in families(files)}, files)
 
 
-def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
-    """Stage views, core and mart datasets from RAW; returns every table by its name.
-
-    Corrections, if delivered, are applied to the staged entities they name; of repeated usage
-    rows the newest counts. Without ``strict``, rows that do not parse and customers without
-    id are kept in the layer ``rejects`` with the reason instead of stopping the build.
+def staged(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
+    """Stage views of every delivered entity, as ``stg_<entity>``.
 
-    Small dimensions are written first, so facts join a stored, statistics-bearing table;
-    each fact is read back from storage by the marts that need it instead of being
-    computed again.
+    Corrections, if delivered, are applied to the entities they name. Without ``strict``, rows
+    that do not parse and customers without id are kept in the layer ``rejects`` with the reason
+    instead of stopping the build.
     """
     tables: dict[str, DataFrame] = {}
     for name, entity in ENTITIES.items():
@@ -68,6 +64,17 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
             fields = [c for c in entity.column_names if c != entity.key]
             rows = apply_corrections(rows, entity.key, raw["corrections"], CORRECTED[name], fields)
         tables[f"stg_{name}"] = store.materialize(rows, "stage", name)
+    return tables
+
+
+def build_from_stage(store: Store, stage_tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Core and mart datasets from staged entities; returns every table by its name.
+
+    Of repeated usage rows the newest counts. Small dimensions are written first, so facts
+    join a stored, statistics-bearing table; each fact is read back from storage by the marts
+    that need it instead of being computed again. Marts of batches are stored by batch.
+    """
+    tables = dict(stage_tables)
 
     def core_table(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
         tables[name] = store.materialize(df, "core", name, partition_by)
@@ -87,12 +94,12 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
     changes = store.materialize(core.mrr_changes(subscriptions, customers), "core", "mrr_changes", ["batch_id"])
     core_table("fct_mrr_movements", core.movements_only(changes), "batch_id")
 
-    def mart_table(name: str, df: DataFrame) -> None:
-        tables[name] = store.materialize(df, "mart", name)
+    def mart_table(name: str, df: DataFrame, *partition_by: str) -> None:
+        tables[name] = store.materialize(df, "mart", name, partition_by)
 
-    mart_table("mart_mrr", marts.mart_mrr(fct))
-    mart_table("mart_churn", marts.mart_churn(tables["fct_mrr_movements"]))
-    mart_table("mart_nrr", marts.mart_nrr(changes))
+    mart_table("mart_mrr", marts.mart_mrr(fct), "batch_id")
+    mart_table("mart_churn", marts.mart_churn(tables["fct_mrr_movements"]), "batch_id")
+    mart_table("mart_nrr", marts.mart_nrr(changes), "batch_id")
     if "stg_usage_events" in tables:
         mart_table("mart_usage", marts.mart_usage(dedup_usage(tables["stg_usage_events"]), customers))
     if "stg_support_tickets" in tables:
@@ -100,6 +107,11 @@ def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> di
     return tables
 
 
+def build(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
+    """The whole way from RAW: :func:`staged`, then :func:`build_from_stage`."""
+    return build_from_stage(store, staged(store, raw, strict))
+
+
 def check(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The check report over every built table."""
     known = {c.table for c in STANDARD_CHECKS}

@@ -7,6 +7,7 @@ plain types (whole numbers, doubles, text, booleans) so that any engine can prod
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,6 +159,76 @@ def full_build(spark, folder):
     return tables["mart_nrr"]
 
 
+def _deliver_everything(spark, folder, drops) -> int:
+    """Text drops of all nine entities, late usage and corrections; returns the newest batch.
+
+    The second customer drop has no ids and knows no email for negative balances; it suspends
+    the customers of the building segment.
+    """
+    first = book.customers(spark, folder).withColumn("status", F.lit("active"))
+    again = first.withColumns({
+        "email": F.when(F.col("annual_revenue_usd") >= 0, F.col("email")),
+        "status": F.when(F.col("industry") == "BUILDING", "suspended").otherwise(F.col("status")),
+    })
+    yearly = {
+        "subscriptions": book.subscriptions, "invoices": book.invoices, "payments": book.payments,
+        "support_tickets": book.support_tickets, "adjustments": book.adjustments,
+        "contract_amendments": book.contract_amendments,
+    }
+    # Batch numbers, one per year.
+    years = {n: sorted(r[0] for r in f(spark, folder).select(BATCH).distinct().collect()) for n, f in yearly.items()}
+    last = max(max(y, default=3) for y in years.values())
+    given = [("customers", 1, first.withColumn(BATCH, F.lit(1))), ("customers", 2, again.withColumn(BATCH, F.lit(2)))]
+    given += [("plans", last, book.plans(spark, folder).withColumn(BATCH, F.lit(last)))]
+    given += [(n, y, f(spark, folder)) for n, f in yearly.items() for y in years[n]]
+    given += [("usage_events", b, book.usage_on_time(spark, folder)) for b in (1, 2, 3)]
+    given += [("late_usage_jan", 3, book.usage_late(spark, folder))]
+
+    def write(family: str, batch: int, df: DataFrame) -> None:
+        text = book.as_raw(df, contract.ENTITIES.get(family, contract.USAGE_EVENTS), family).drop("_loaded_at", "_filename")
+        absent = ["customer_id"] if (family, batch) == ("customers", 2) else []
+        _drop(text.filter(F.col(BATCH) == batch).drop(BATCH, *absent), drops, batch, family)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(lambda drop: write(*drop), given))
+    fixes = book.corrections(spark, folder)
+    _drop(fixes.select(*[F.col(c).cast("string").alias(c) for c in fixes.columns]), drops, 3, "corrections")
+    return last
+
+
+# What is summed of a built table; the others are only counted.
+MEASURES = {
+    "stg_subscriptions": "mrr", "stg_invoices": "amount", "stg_payments": "amount", "stg_plans": "base_price",
+    "stg_usage_events": "quantity", "stg_adjustments": "amount", "stg_contract_amendments": "new_mrr",
+    "dim_plan": "base_price", "fct_subscriptions": "mrr", "fct_invoices": "line_items_count",
+    "fct_payments": "net_amount", "fct_mrr_movements": "mrr_change", "mart_mrr": "total_mrr",
+    "mart_churn": "mrr_impact", "mart_nrr": "starting_mrr", "mart_usage": "total_quantity",
+    "mart_support": "total_tickets",
+}
+
+
+@query
+def full_build_tables(spark, folder):
+    """Rows and totals of every table built from drops of all nine entities.
+
+    Landed in two goes, with batch 3 sent a second time; corrections, the id-less customer
+    drop, repeated late usage and rejects all take part.
+    """
+    drops, store = scratch_path(spark, "drops"), Store(spark, scratch_path(spark, "warehouse"))
+    last = _deliver_everything(spark, folder, drops)
+    warehouse.land(spark, store, drops, [1, 2, 3])
+    warehouse.land(spark, store, drops, range(3, last + 1))
+    families = [s for e in contract.ENTITIES.values() for s in e.sources] + ["corrections"]
+    tables = warehouse.build(store, {f: store.load("raw", f) for f in families}, strict=False)
+    shown = {**tables, **{f"rejects_{n}": store.load("rejects", f"stg_{n}") for n in contract.ENTITIES}}
+    shown["fct_invoices void"] = tables["fct_invoices"].filter(F.col("status") == "void")
+    return union_aligned([
+        df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(MEASURES[n]).cast("double"), F.lit(0.0)).alias("total") if n in MEASURES else F.lit(0.0).alias("total"))
+        .select(F.lit(n).alias("table"), "rows", "total")
+        for n, df in shown.items()
+    ])
+
+
 @query
 def null_sentinels(spark, folder):
     """Sentinel text in every column becomes NULL; other text, also padded, stays."""
@@ -555,30 +626,64 @@ def row_filter_unmapped(spark, folder):
     return rowfilter.restrict_rows(_mart_mrr(spark, folder), "analyst", _managers(spark, folder))
 
 
-def _warehouse_tables(spark, folder):
-    subscriptions, customers, plans = (f(spark, folder) for f in (book.subscriptions, book.customers, book.plans))
-    snapshots = book.customer_snapshots(spark, folder)
-    dim = core.dim_customer(snapshots, strict_nulls=True)
-    changes = core.mrr_changes(subscriptions, customers)
-    movements = core.movements_only(changes)
-    usage, tickets = _usage(spark, folder), book.support_tickets(spark, folder)
-    invoices, payments = book.invoices(spark, folder), book.payments(spark, folder)
-    fct = core.fct_subscriptions(subscriptions, customers, plans)
-    return {
-        "stg_customers": snapshots, "stg_subscriptions": subscriptions, "stg_invoices": invoices,
-        "stg_payments": payments, "stg_plans": plans, "dim_customer": dim, "dim_plan": core.dim_plan(plans),
-        "dim_date": core.dim_date_covering(invoices, "invoice_date"), "fct_subscriptions": fct,
-        "fct_invoices": core.fct_invoices(invoices, customers), "fct_payments": core.fct_payments(payments, customers),
-        "fct_mrr_movements": movements, "mart_mrr": marts.mart_mrr(fct), "mart_churn": marts.mart_churn(movements),
-        "mart_nrr": marts.mart_nrr(changes), "mart_usage": marts.mart_usage(usage, customers),
-        "mart_support": marts.mart_support(tickets, customers),
+def _stage_tables(spark, folder, *names):
+    """The staged entities by the names the build knows them by."""
+    tables = {
+        "stg_customers": book.customer_snapshots, "stg_subscriptions": book.subscriptions, "stg_invoices": book.invoices,
+        "stg_payments": book.payments, "stg_plans": book.plans, "stg_usage_events": _usage,
+        "stg_support_tickets": book.support_tickets,
     }
+    return {n: f(spark, folder) for n, f in tables.items() if not names or n in names}
+
+
+def _stored_marts(spark, folder):
+    """A store with all five marts."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    needed = ("stg_customers", "stg_subscriptions", "stg_plans", "stg_usage_events", "stg_support_tickets")
+    warehouse.build_from_stage(store, _stage_tables(spark, folder, *needed))
+    return store
+
+
+@query
+def row_filter_marts(spark, folder):
+    """Rows of all five stored marts as one regional manager reads them."""
+    store, managers = _stored_marts(spark, folder), _managers(spark, folder)
+    return union_aligned([
+        store.mart(n, managers, "manager_asia").groupBy("region").agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(n))
+        for n in marts.MART_ORDER
+    ])
+
+
+@query
+def row_filter_session_user(spark, folder):
+    """The MRR mart as the user of this session, who manages no region, sees it."""
+    return rowfilter.restrict_rows(_mart_mrr(spark, folder), None, _managers(spark, folder))
+
+
+@query
+def kpi_stored(spark, folder):
+    """The figures of one batch, for all regions and for one, read from stored marts."""
+    store = _stored_marts(spark, folder)
+    mart = {n: store.load("mart", n) for n in marts.MART_ORDER}
+    parts = []
+    for shown in (None, REPORT_REGION):
+        figures = {
+            "total_mrr": kpis.total_mrr(mart["mart_mrr"], REPORT_BATCH, shown),
+            "active_customers": kpis.active_customers(mart["mart_mrr"], REPORT_BATCH, shown),
+            "nrr_pct": kpis.nrr(mart["mart_nrr"], REPORT_BATCH, shown),
+            "churn_count": kpis.churned_customers(mart["mart_churn"], REPORT_BATCH, shown),
+            "total_quantity": kpis.usage(mart["mart_usage"], shown).agg(F.sum("total_quantity").alias("total_quantity")),
+            "total_tickets": kpis.support(mart["mart_support"], shown).agg(F.sum("total_tickets").alias("total_tickets")),
+        }
+        parts += [df.select(F.lit(n).alias("figure"), F.lit(shown or "All").alias("region"), F.col(n).cast("double").alias("value")) for n, df in figures.items()]
+    return union_aligned(parts)
 
 
 @query
 def quality_report(spark, folder):
-    """All standard checks over stage, core and mart."""
-    return quality.quality_report(_warehouse_tables(spark, folder))
+    """All standard checks over stage and the stored core and mart tables."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    return warehouse.check(warehouse.build_from_stage(store, _stage_tables(spark, folder)))
 
 
 @query
@@ -691,6 +796,12 @@ def late_usage_stream(spark, folder):
     )
 
 
+@query
+def usage_windows(spark, folder):
+    """Usage per window of thirty days."""
+    return usage_stream.windowed_usage(book.usage_on_time(spark, folder))
+
+
 @query
 def incremental_restated(spark, folder):
     """Invoices after a load without batch 2 and with other amounts in batch 1, brought up to date."""

@@ -61,6 +61,9 @@ PARTS = {
         select *, false as is_late from usage_on_time
         union all
         select * replace (3 as batch), true from usage_on_time where batch = 1""",
+    "usage_once": """
+        select * exclude (is_late) from usage_all
+        qualify row_number() over (partition by customer_id, event_date, metric_name order by batch desc, quantity desc) = 1""",
     "ship": """
         select l_orderkey, min(l_shipdate) as resolved_at, max(l_discount) as discount from lineitem group by 1""",
     "tick": """
@@ -181,6 +184,10 @@ PARTS = {
                count(distinct customer_id) as active_customers, sum(quantity) as total_quantity,
                cast(sum(quantity) as double) / count(quantity) as avg_quantity
         from usage_all left join cust using (customer_id) group by 1, 2, 3""",
+    # The build knows the customers of the snapshots and counts a repeated usage row once.
+    "m_usage_stored": """
+        select cast(date_trunc('month', event_date) as date) as month, region, metric_name, sum(quantity) as total_quantity
+        from usage_once left join (select distinct customer_id, region from snap) using (customer_id) group by 1, 2, 3""",
     "m_support": """
         select cast(date_trunc('month', created_at) as date) as month, region, priority, channel,
                count(distinct ticket_id) as total_tickets, count(distinct customer_id) as customers_with_tickets,
@@ -192,7 +199,7 @@ PARTS = {
 
 # Which parts a part is made of.
 NEEDS = {
-    "usage_all": ["usage_on_time"], "tick": ["ship"], "corr_newest": ["corr"], "drop2": ["drops"], "owner": ["drops"],
+    "usage_all": ["usage_on_time"], "usage_once": ["usage_all"], "m_usage_stored": ["usage_once", "snap"], "tick": ["ship"], "corr_newest": ["corr"], "drop2": ["drops"], "owner": ["drops"],
     "snap": ["cust"], "snap_linked": ["snap"], "ver": ["snap_linked"], "bmrr": ["subs"],
     "changes_open": ["bmrr"], "changes_all": ["changes_open", "cust"], "changes": ["changes_all", "subs"],
     "fsub": ["subs", "cust", "plan"], "m_mrr": ["fsub"], "m_churn": ["changes"], "start_mrr": ["fsub"],
@@ -472,6 +479,37 @@ NRR = """cast(batch_id as bigint) as batch_id, region, cast(starting_mrr as doub
            cast(churned_mrr as double) as churned_mrr, nrr_pct"""
 oracle("mart_nrr", "m_nrr", f"select {NRR} from m_nrr")
 oracle("full_build", "m_nrr", f"select {NRR.replace('region,', 'upper(region) as region,')} from m_nrr")
+oracle("full_build_tables", "drops subs inv pay plan usage_all usage_once tick adj amend corr_newest changes m_mrr m_churn m_nrr m_usage m_support", """
+    , fixed as (
+        select case when inv.status = 'paid' and s.entity_id is not null then 'void' else inv.status end as status,
+               coalesce(cast(n.new_value as bigint), 1) as lines
+        from inv
+        left join corr_newest s on s.entity_id = invoice_id and s.field = 'status'
+        left join corr_newest n on n.entity_id = invoice_id and n.field = 'line_items_count'),
+    nameless as (select count(*) as n from drops where c_acctbal < 0)
+    select "table", cast(rows as bigint) as rows, cast(coalesce(total, 0) as double) as total from (
+        select 'stg_customers' as "table", 2 * count(*) - (select n from nameless) as rows, 0 as total from drops
+        union all select 'dim_customer', count(*) + count(case when industry = 'BUILDING' and c_acctbal >= 0 then 1 end), 0 from drops
+        union all select 'rejects_customers', n, 0 from nameless
+        union all select 'rejects_' || unnest(['subscriptions', 'invoices', 'payments', 'plans', 'usage_events', 'support_tickets', 'adjustments', 'contract_amendments']), 0, 0
+        union all select unnest(['stg_subscriptions', 'fct_subscriptions']), count(*), sum(mrr) from subs
+        union all select 'stg_invoices', count(*), sum(amount) from inv
+        union all select 'fct_invoices', count(*), sum(lines) from fixed
+        union all select 'fct_invoices void', count(*), 0 from fixed where status = 'void'
+        union all select 'stg_payments', count(*), sum(amount) from pay
+        union all select 'fct_payments', count(*), cast(sum(amount - processor_fee) as double) from pay
+        union all select unnest(['stg_plans', 'dim_plan']), count(*), sum(base_price) from plan
+        union all select 'stg_usage_events', count(*), sum(quantity) from usage_all
+        union all select 'stg_support_tickets', count(*), 0 from tick
+        union all select 'stg_adjustments', count(*), sum(amount) from adj
+        union all select 'stg_contract_amendments', count(*), sum(new_mrr) from amend
+        union all select 'dim_date', 366, 0
+        union all select 'fct_mrr_movements', count(*), sum(mrr_change) from changes where movement_type <> 'retained'
+        union all select 'mart_mrr', count(*), sum(total_mrr) from m_mrr
+        union all select 'mart_churn', count(*), sum(mrr_impact) from m_churn
+        union all select 'mart_nrr', count(*), sum(starting_mrr) from m_nrr
+        union all select 'mart_usage', (select count(*) from m_usage), sum(quantity) from usage_once
+        union all select 'mart_support', count(*), sum(total_tickets) from m_support)""")
 oracle("mart_nrr_from_movements", "m_nrr_open", f"""
     select {NRR} from m_nrr_open semi join moved using (batch_id, region)""")
 
@@ -573,6 +611,27 @@ oracle("row_filter_mapped", "m_mrr", MART_MRR + """
 oracle("row_filter_unmapped", "m_mrr", MART_MRR)
 
 
+oracle("row_filter_session_user", "m_mrr", MART_MRR)
+oracle("row_filter_marts", "m_mrr m_churn m_nrr m_usage_stored m_support", "\nunion all\n".join(f"""
+    select '{mart}' as mart, region, count(*) as rows from {part} where region = 'ASIA' group by region""" for mart, part in (
+        ("mart_mrr", "m_mrr"), ("mart_churn", "m_churn"), ("mart_nrr", "m_nrr"), ("mart_usage", "m_usage_stored"), ("mart_support", "m_support"))))
+oracle("kpi_stored", "m_mrr m_churn m_nrr m_usage_stored m_support", "\nunion all\n".join(f"""
+    select 'total_mrr' as figure, '{name}' as region, cast(coalesce(sum(total_mrr), 0) as double) as value from m_mrr where batch_id = 3 and {which}
+    union all
+    select 'active_customers', '{name}', cast(coalesce(sum(active_customers), 0) as double) from m_mrr where batch_id = 3 and {which}
+    union all
+    select 'nrr_pct', '{name}', coalesce(cast(sum(cast(nrr_pct as decimal(18,2))) as double) / count(nrr_pct), 0)
+    from m_nrr where batch_id = 3 and {which}
+    union all
+    select 'churn_count', '{name}', cast(coalesce(sum(customer_count), 0) as double)
+    from m_churn where batch_id = 3 and movement_type = 'churn' and {which}
+    union all
+    select 'total_quantity', '{name}', cast(sum(total_quantity) as double) from m_usage_stored where {which}
+    union all
+    select 'total_tickets', '{name}', cast(sum(total_tickets) as double) from m_support where {which}""" for name, which in (
+        ("All", "true"), ("ASIA", "region = 'ASIA'"))))
+
+
 def _report() -> str:
     """One SELECT per check, over the parts that stand for the tables."""
     regions = "('NA', 'EMEA', 'APAC')"
@@ -804,3 +863,8 @@ oracle("quality_offending_values", "snap", """
     select 'region' as "column", region as value, count(*) as rows from snap where region not in ('NA', 'EMEA', 'APAC') group by region
     union all
     select 'status', status, count(*) from snap where status not in ('active', 'churned', 'suspended', 'trial') group by status""")
+
+oracle("usage_windows", "usage_on_time", """
+    select cast(date '1970-01-01' + cast(datediff('day', date '1970-01-01', event_date) // 30 * 30 as int) as varchar) as window_start,
+           metric_name, count(*) as events, cast(sum(quantity) as double) as total_quantity
+    from usage_on_time group by 1, 2""")
