@@ -14,7 +14,7 @@ from ledgerline.operators.late import dedup_usage
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
 from ledgerline.plans import core, marts
 from ledgerline.plans.stage import stage, stage_or_quarantine
-from ledgerline.sources.raw import RawFile, discover, families, load_summary, read_raw, read_rejects
+from ledgerline.sources.raw import RawFile, discover, families, load_summary, paths_with_line_breaks, read_raw, read_rejects
 from ledgerline.sources.store import Store
 
 # How corrections name the entities.
@@ -35,9 +35,12 @@ def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] |
     for file in files:
         loads.setdefault((file.family, file.batch_id), []).append(file)
 
+    paths = [p for f in files for p in f.paths]
+    spanning = paths_with_line_breaks(spark, paths) if paths else set()
+
     def load(target: tuple[str, int]) -> None:
-        store.write_batch(read_raw(spark, loads[target]), "raw", *target)
-        store.write_batch(read_rejects(spark, loads[target]), "rejects", *target)
+        store.write_batch(read_raw(spark, loads[target], multi_line=spanning), "raw", *target)
+        store.write_batch(read_rejects(spark, loads[target], multi_line=spanning), "rejects", *target)
 
     with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(load, loads))
@@ -72,38 +75,51 @@ def build_from_stage(store: Store, stage_tables: Mapping[str, DataFrame]) -> dic
 
     Of repeated usage rows the newest counts. Small dimensions are written first, so facts
     join a stored, statistics-bearing table; each fact is read back from storage by the marts
-    that need it instead of being computed again. Marts of batches are stored by batch.
+    that need it instead of being computed again. What does not depend on each other is
+    written side by side. Marts of batches are stored by batch.
     """
     tables = dict(stage_tables)
 
-    def core_table(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        tables[name] = store.materialize(df, "core", name, partition_by)
+    def write(layer: str, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
+        tables[name] = store.materialize(df, layer, name, partition_by)
         return tables[name]
 
-    versions = store.materialize(core.snap_customers(tables["stg_customers"]), "snapshots", "snap_customers")
-    dim = core_table("dim_customer", core.dim_customer_of(versions))
-    customers = core.current_customers(dim)
-    plans = core_table("dim_plan", core.dim_plan(tables["stg_plans"]))
-    core_table("dim_date", core.dim_date(store.spark))
+    def customer_versions() -> DataFrame:
+        versions = store.materialize(core.snap_customers(tables["stg_customers"]), "snapshots", "snap_customers")
+        return core.current_customers(write("core", "dim_customer", core.dim_customer_of(versions)))
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        dimensions = [
+            pool.submit(customer_versions),
+            pool.submit(write, "core", "dim_plan", core.dim_plan(tables["stg_plans"])),
+            pool.submit(write, "core", "dim_date", core.dim_date(store.spark)),
+        ]
+        customers, plans, _ = (d.result() for d in dimensions)
     subscriptions = tables["stg_subscriptions"]
-    fct = core_table("fct_subscriptions", core.fct_subscriptions(subscriptions, customers, plans), BATCH)
-    if "stg_invoices" in tables:
-        core_table("fct_invoices", core.fct_invoices(tables["stg_invoices"], customers), BATCH)
-    if "stg_payments" in tables:
-        core_table("fct_payments", core.fct_payments(tables["stg_payments"], customers), BATCH)
-    changes = store.materialize(core.mrr_changes(subscriptions, customers), "core", "mrr_changes", ["batch_id"])
-    core_table("fct_mrr_movements", core.movements_only(changes), "batch_id")
-
-    def mart_table(name: str, df: DataFrame, *partition_by: str) -> None:
-        tables[name] = store.materialize(df, "mart", name, partition_by)
-
-    mart_table("mart_mrr", marts.mart_mrr(fct), "batch_id")
-    mart_table("mart_churn", marts.mart_churn(tables["fct_mrr_movements"]), "batch_id")
-    mart_table("mart_nrr", marts.mart_nrr(changes), "batch_id")
-    if "stg_usage_events" in tables:
-        mart_table("mart_usage", marts.mart_usage(dedup_usage(tables["stg_usage_events"]), customers))
-    if "stg_support_tickets" in tables:
-        mart_table("mart_support", marts.mart_support(tables["stg_support_tickets"], customers))
+
+    def revenue() -> None:
+        fct = write("core", "fct_subscriptions", core.fct_subscriptions(subscriptions, customers, plans), BATCH)
+        write("mart", "mart_mrr", marts.mart_mrr(fct), "batch_id")
+
+    def retention() -> None:
+        changes = store.materialize(core.mrr_changes(subscriptions, customers), "core", "mrr_changes", ["batch_id"])
+        moved = write("core", "fct_mrr_movements", core.movements_only(changes), "batch_id")
+        write("mart", "mart_churn", marts.mart_churn(moved), "batch_id")
+        write("mart", "mart_nrr", marts.mart_nrr(changes), "batch_id")
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        steps = [pool.submit(revenue), pool.submit(retention)]
+        if "stg_invoices" in tables:
+            steps.append(pool.submit(write, "core", "fct_invoices", core.fct_invoices(tables["stg_invoices"], customers), BATCH))
+        if "stg_payments" in tables:
+            steps.append(pool.submit(write, "core", "fct_payments", core.fct_payments(tables["stg_payments"], customers), BATCH))
+        if "stg_usage_events" in tables:
+            usage = dedup_usage(tables["stg_usage_events"])
+            steps.append(pool.submit(write, "mart", "mart_usage", marts.mart_usage(usage, customers)))
+        if "stg_support_tickets" in tables:
+            steps.append(pool.submit(write, "mart", "mart_support", marts.mart_support(tables["stg_support_tickets"], customers)))
+        for step in steps:
+            step.result()
     return tables
 
 

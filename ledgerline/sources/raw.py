@@ -138,7 +138,7 @@ def paths_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str
 
 
 def read_raw(
-    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | None = None
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | set[str] | None = None
 ) -> DataFrame:
     """The rows of one file family, without those :func:`read_rejects` returns."""
     rows = _read(spark, files, loaded_at, multi_line)
@@ -146,7 +146,7 @@ def read_raw(
 
 
 def read_rejects(
-    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | None = None
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | set[str] | None = None
 ) -> DataFrame:
     """Lines with more fields than their header, as they stand, with lineage and the reason.
 
@@ -165,22 +165,24 @@ def _refused(rows: DataFrame):
 
 
 def _read(
-    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None, multi_line: bool | None
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None, multi_line: bool | set[str] | None
 ) -> DataFrame:
     """All lines of one file family with batch, load time and file name, and what does not fit.
 
     Files are grouped by their header, one scan per distinct header, and the scans are
     united by column name: a batch with other columns can never shift values, and the
     plan does not grow with the number of batches. ``multi_line=None`` finds out which
-    files need whole-file parsing.
+    files need whole-file parsing; a set is what :func:`paths_with_line_breaks` found before.
     """
     paths = [p for f in files for p in f.paths]
     stamp = (loaded_at or datetime.now(timezone.utc)).replace(tzinfo=None).isoformat(sep=" ")
-    broken = {_plain_path(p) for p in paths_with_line_breaks(spark, paths)} if paths and multi_line is None else set()
+    if multi_line is None:
+        multi_line = paths_with_line_breaks(spark, paths) if paths else set()
+    broken = {_plain_path(p) for p in multi_line} if isinstance(multi_line, set) else None
 
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for path, header in _headers(spark, paths).items():
-        spanning = _plain_path(path) in broken if multi_line is None else multi_line
+        spanning = multi_line if broken is None else _plain_path(path) in broken
         if header:
             groups.setdefault((header, spanning), []).append(path)
 
