@@ -5,6 +5,7 @@ from compare import connect, differences
 
 from __spark_entry__ import entry, queries
 from ledgerline import registry
+from ledgerline.plans import kpis
 from oracles import ORACLES
 
 
@@ -40,3 +41,14 @@ def test_status_filter_and_columns_reach_the_scan(spark, tables):
     plan = plan_of(spark, tables, "batch_mrr")
     assert "EqualNullSafe(o_orderstatus,O)" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_stored_indicators_read_one_batch_of_the_mart(spark, tables):
+    mart = registry._stored_marts(spark, tables).load("mart", "mart_mrr")
+    plan = kpis.total_mrr(mart, 3, "ASIA")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "EqualTo(region,ASIA)" in plan
+    assert "o_orderdate" not in plan
+
+
+def test_support_mart_does_not_expand_its_rows(spark, tables):
+    assert "Expand" not in plan_of(spark, tables, "mart_support")
