@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm import license_catalogue
 from ledgerline.llm.common import table, written
 from ledgerline.operators.relational import join_lookup
 
 # Fixed values: (name, text) of short public licences and notices. Texts as published; the
-# canonical form drops copyright lines, so names and years in them do not matter.
-KNOWN = (
+# canonical form drops copyright lines, so names and years in them do not matter. The catalogue
+# of all other texts and notices is put before them below.
+_SHORT = (
     ("MIT", """MIT License
 
 Copyright (c) <year> <copyright holders>
@@ -49,6 +53,29 @@ DROPPED = ("copyright", "all rights reserved")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SIGN = "\\(c\\)|©"
 _BETWEEN = "[^\\p{L}\\p{N}\n]+"
+_CASES, _WORDLESS = str.maketrans(_UPPER, _LOWER), re.compile(r"(?:[^\w\n]|_)+")
+
+
+def _plain(text: str) -> str:
+    """The canonical form outside Spark; it only tells which entries of the catalogue repeat another."""
+    now = _WORDLESS.sub(" ", re.sub(_SIGN, " copyright ", text.translate(_CASES)))
+    for old, new in SPELLINGS:
+        if old in now:
+            now = re.sub(f"(^|[ \n]){old}([ \n]|$)", rf"\g<1>{new}\g<2>", now)
+    lines = (line.strip() for line in now.split("\n"))
+    return " ".join(x for x in lines if x and not x.startswith("copyright ") and x not in DROPPED)
+
+
+def _catalogue() -> tuple[tuple[str, str], ...]:
+    """One entry per licence and canonical form; those above come last and stay as they are."""
+    rows = [*_SHORT, *license_catalogue.texts(), *((f"{name} notice", text) for name, text in license_catalogue.notices())]
+    distinct: dict[tuple[str, str], tuple[str, str]] = {}
+    for name, text in rows:
+        distinct.setdefault((name, _plain(text)), (name, text))
+    return (*[row for row in distinct.values() if row not in _SHORT], *_SHORT)
+
+
+KNOWN = _catalogue()
 
 
 def canonical_lines(text: Column) -> Column:
