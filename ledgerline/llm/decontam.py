@@ -13,10 +13,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,7 +252,11 @@ def _wanted(block: DataFrame, window: int) -> Phrases:
 
 def _found(documents: DataFrame, key: str, block: DataFrame, window: int) -> DataFrame:
     """key, n_words, spans, items of every row, for one block of the benchmark; no shuffle."""
-    shared = documents.sparkSession.sparkContext.broadcast(_wanted(block, window))
+    return _searched(documents, key, documents.sparkSession.sparkContext.broadcast(_wanted(block, window)))
+
+
+def _searched(documents: DataFrame, key: str, shared: Broadcast) -> DataFrame:
+    """The same for phrases that are sent to the executors already."""
     schema = f"{key} long, n_words long, spans array<struct<start: long, end: long>>, items array<long>"
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -322,27 +328,71 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*parts, text[at:]])
 
 
+def _removed_by_blocks(documents: DataFrame, blocks: list[DataFrame], window: int, count: str | None) -> DataFrame:
+    """Removal for a benchmark of several blocks, of which one at a time is in memory.
+
+    A round searches the texts for every block, merges the spans of all blocks and cuts once;
+    the next round has the changed texts only. Every round shortens its texts, so they end.
+    """
+    context = documents.sparkSession.sparkContext
+    # A name that no column of the documents has.
+    key = "row_" + "_".join(documents.columns)
+    numbered = written(documents.select(F.monotonically_increasing_id().alias(key), "*"), "numbered")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [_merged([(s["start"], s["end"]) for s in x]) for x in batch.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array([cut(t, x) for t, x in zip(texts(batch), spans)], pa.string())], names=["row", "text"]
+            )
+
+    now, rounds = numbered.select(F.col(key).alias("row"), F.col("text").cast("string").alias("text")), []
+    while True:
+        hits = []
+        for block in blocks:
+            shared = context.broadcast(_wanted(block, window))
+            hits.append(written(_searched(now, "row", shared).filter(F.size("spans") > 0).select("row", "spans"), "hits"))
+            shared.destroy()
+        spans = reduce(DataFrame.unionByName, hits).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        now = written(now.join(spans, "row").mapInArrow(run, "row long, text string"), "cut")
+        if now.isEmpty():
+            break
+        rounds.append(now.withColumn("round", F.lit(len(rounds))))
+    if not rounds:
+        return numbered.select(*documents.columns)
+    last = reduce(DataFrame.unionByName, rounds).groupBy(F.col("row").alias(key + "_cut")).agg(F.max_by("text", "round").alias(key + "_text"))
+    new = {"text": F.col(key + "_text")} | ({count: F.length(key + "_text")} if count else {})
+    return numbered.join(last, F.col(key) == F.col(key + "_cut"), "left").select(*[
+        F.when(F.col(key + "_cut").isNotNull(), new[f.name].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+        if f.name in new else F.col(f"`{f.name}`") for f in documents.schema.fields
+    ])
+
+
 def remove_passages(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES) -> DataFrame:
     """All rows with all columns; text without the benchmark passages, n_chars (if there) its length.
 
-    What is left around a cut could spell a window anew; such text is searched again until
-    nothing is found. Rows without an occurrence keep their text to the letter.
+    The words inside any occurrence of any window go at once, so the result does not depend on
+    the blocks of the benchmark. What is left around a cut could spell a window anew; such text
+    is searched again until nothing is found. Rows without an occurrence keep their text to the
+    letter.
     """
-    shared = [documents.sparkSession.sparkContext.broadcast(_wanted(b, window)) for b in benchmark_blocks(benchmark, limit)]
+    blocks = benchmark_blocks(benchmark, limit)
     count = next((f.name for f in documents.schema.fields if f.name == "n_chars" and isinstance(f.dataType, (T.LongType, T.IntegerType))), None)
+    if len(blocks) > 1:
+        return _removed_by_blocks(documents, blocks, window, count)
+    shared = documents.sparkSession.sparkContext.broadcast(_wanted(blocks[0], window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, size=SHARD_BYTES):
             now = texts(batch)
             changed: set[int] = set()
-            for one in shared:
-                todo = list(range(len(now)))
-                while todo:
-                    found = search([now[i].encode() for i in todo], one.value)
-                    todo = [i for i, f in zip(todo, found) if f.spans]
-                    for i, f in zip(list(todo), [f for f in found if f.spans]):
-                        now[i] = cut(now[i], f.spans)
-                    changed.update(todo)
+            todo = list(range(len(now)))
+            while todo:
+                found = search([now[i].encode() for i in todo], shared.value)
+                todo = [i for i, f in zip(todo, found) if f.spans]
+                for i, f in zip(list(todo), [f for f in found if f.spans]):
+                    now[i] = cut(now[i], f.spans)
+                changed.update(todo)
             if changed:
                 names, columns = batch.schema.names, list(batch.columns)
                 at = names.index("text")

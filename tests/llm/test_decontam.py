@@ -87,6 +87,27 @@ def test_removal(spark, tables):
     assert not any(f.hit for f in decontam.search([r.text.encode() for r in rows], decontam.phrases([(r.item_id, r.text.encode()) for r in benchmark.collect()])))
 
 
+def test_removal_does_not_depend_on_blocks(spark, odd):
+    """Items that share words in different blocks, and windows that a cut by another block spells."""
+    rows, items = [], []
+    for n in range(12):
+        w = [f"w{n}x{i}" for i in range(60)]
+        items += [(4 * n, " ".join(w[:30] + w[40:45])), (4 * n + 1, " ".join(w[:36])), (4 * n + 2, " ".join(w[48:58]))]
+        rows += [
+            (4 * n, "before " + ", ".join(w[:36]) + " after", 0), (4 * n + 1, " ".join(["a", *w[48:53], *w[:36], *w[53:58], "z"]), 0),
+            (4 * n + 2, " ".join(["kept", *w[:9], "words", *w[48:57]]), -1), (4 * n + 3, None, -1),
+        ]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, n_chars int").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontam.benchmark_blocks(benchmark, 1000)) > 4
+    one, more = (decontam.remove_passages(documents, benchmark, limit=x) for x in (1 << 20, 1000))
+    found = {r.doc_id: (r.text, r.n_chars) for r in more.collect()}
+    assert found == {r.doc_id: (r.text, r.n_chars) for r in one.collect()} and more.schema.simpleString() == documents.schema.simpleString()
+    for doc, text, chars in rows:
+        assert found[doc] == ([("before  after", 13), ("a  z", 4), (text, chars), (None, -1)][doc % 4])
+    assert sorted(map(repr, decontam.remove_passages(odd, benchmark, limit=1000).collect())) == sorted(map(repr, odd.collect()))
+
+
 def test_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "A"), (2, None), (None, "x y"), (3, ""), (3, "quick brown fox"), (3, "quick brown fox")], "item_id long, text string")
     found = decontam.find_passages(odd, items).collect()
