@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import arrow, in_slices, table, utf8, written
 from ledgerline.llm.components import components
@@ -181,51 +182,77 @@ def link_classes(classes: DataFrame, radius: int = RADIUS, tree: int = TREE) ->
     return units.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, schema)
 
 
+def _grouped(documents: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """doc_id, fingerprint, own_group, component_id of every row; groups are named by a fingerprint.
+
+    Classes are nodes by their fingerprint, as one doc_id may stand in several of them.
+    """
+    marks = written(fingerprints(documents, shingle), "fingerprints")
+    classes = written(
+        marks.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+        .withColumn("node", F.col("fingerprint")), "classes"
+    )
+    found = components(link_classes(classes, radius))
+    named = join_lookup(classes, found, ["node"]).select("fingerprint", "first", F.coalesce("component", "node").alias("own_group"))
+    lowest = named.groupBy("own_group").agg(F.min("first").alias("component_id"))
+    named = join_lookup(named, lowest, ["own_group"]).select("fingerprint", "own_group", "component_id")
+    own = [F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("own_group", "component_id")]
+    return join_lookup(marks, named, ["fingerprint"]).select("doc_id", "fingerprint", *own)
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (long), component_id of every row of ``documents``.
 
     Two documents are linked if their fingerprints differ in at most ``radius`` bits;
     component_id is the smallest doc_id reachable. Equal fingerprints (copies, repeated
     rows, and all texts without words, whose fingerprint is 0) are one class, so copies cost
-    one row. NULL text is empty text. A row without doc_id gets its fingerprint and no
-    component, and links nothing. Only doc_id and text are read; an empty table gives no rows.
+    one row. Different texts under one doc_id are linked by their fingerprints only. NULL text
+    is empty text. A row without doc_id gets its fingerprint and no component, and links
+    nothing. Only doc_id and text are read; an empty table gives no rows.
     """
-    marks = written(fingerprints(documents, shingle), "fingerprints")
-    classes = written(
-        marks.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "classes"
-    )
-    found = components(link_classes(classes, radius))
-    named = join_lookup(classes, found, ["node"]).select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")
-    )
-    return join_lookup(marks, named, ["fingerprint"]).select(
-        "doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    )
+    return _grouped(documents, shingle, radius).select("doc_id", "fingerprint", "component_id")
+
+
+def _with_fingerprint(documents: DataFrame, name: str, shingle: int) -> DataFrame:
+    """All columns, and the fingerprint of the text; no shuffle."""
+    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            marks = np.array([fingerprint(t, shingle) for t in utf8(batch)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names=[*batch.schema.names, name])
+
+    return documents.mapInArrow(run, schema)
 
 
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The row with the smallest doc_id of every group of near-duplicates, with all its columns.
 
-    Rows without doc_id cannot be told apart and stay. Of several rows with the kept doc_id
-    one stays; such repeats are looked for by id first, so that texts are shuffled only for them.
+    Rows without doc_id cannot be told apart and stay. Different texts under one doc_id are
+    judged apart, by their fingerprints; of several rows of a group with the kept doc_id one
+    stays. Ids on several rows are looked for first, so that texts are shuffled only for them.
     """
-    groups = near_duplicates(documents, shingle, radius)
-    kept = written(groups.filter("doc_id is null or doc_id = component_id").select("doc_id"), "kept")
-    counted = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    nameless = not counted.filter("doc_id is null").isEmpty()
-    repeated = not counted.filter("doc_id is not null and n > 1").isEmpty()
+    groups = written(_grouped(documents, shingle, radius), "groups")
+    nameless = not groups.filter("doc_id is null").isEmpty()
+    kept = written(
+        groups.filter("doc_id is not null").groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays")).filter("stays").select("doc_id", "n"), "kept"
+    )
+    repeated = not kept.filter("n > 1").isEmpty()
     # A name that no column of the documents has.
     key = "kept_" + "_".join(documents.columns)
-    wanted = counted.filter("doc_id is not null").select(F.col("doc_id").alias(key), (F.col("n") > 1).alias(key + "_n"))
     own = documents["doc_id"].cast("long")
 
     def those(ids: DataFrame) -> DataFrame:
         # Hashing the ids of a partition needs no sort of the texts, and is the plan for any size.
-        return documents.join(ids.hint("shuffle_hash"), own == F.col(key), "left_semi")
+        return documents.join(ids.select(F.col("doc_id").alias(key)).hint("shuffle_hash"), own == F.col(key), "left_semi")
 
-    out = those(wanted.filter(~F.col(key + "_n")) if repeated else wanted)
+    out = those(kept.filter("n = 1") if repeated else kept)
     if repeated:
-        out = out.unionByName(those(wanted.filter(F.col(key + "_n"))).dropDuplicates(["doc_id"]))
+        chosen = groups.filter("doc_id = component_id").groupBy("own_group").agg(F.min("doc_id").alias(key + "_id"), F.min("fingerprint").alias(key + "_print"))
+        several = _with_fingerprint(those(kept.filter("n > 1")), key, shingle)
+        same = (several["doc_id"].cast("long") == chosen[key + "_id"]) & (several[key] == chosen[key + "_print"])
+        out = out.unionByName(several.join(chosen, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key))
     return out.unionByName(documents.filter("doc_id is null")) if nameless else out
 
 

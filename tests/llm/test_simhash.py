@@ -110,3 +110,14 @@ def test_odd_rows(odd, none):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == odd.columns and ids.count(5) == 1 and ids.count(None) == 2 and not {1, 2, 6} & set(ids)
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
+
+
+def test_texts_under_one_id_are_judged_apart(spark):
+    """Unlike texts with one id both stay; a near-duplicate of an earlier document goes, whatever else has its id."""
+    mix = random.Random(3)
+    a, b, c, d, e = (" ".join("".join(mix.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(5))
+    rows = [(5, a), (5, b), (7, b), (9, c), (9, d), (2, d), (2, d), (8, e), (4, a), (11, a)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(4, a), (5, b), (9, c), (2, d), (8, e)])
+    clash = simhash.keep_one(spark.createDataFrame([(5, a), (5, b), (5, a), (6, a), (6, b)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in clash) == sorted([(5, a), (5, b)])
