@@ -11,8 +11,8 @@ number of pieces.
 A chunk of text maps a state to a state and a count. Where a word boundary or a character
 outside the vocabulary occurs, the machine is in one known state whatever it came from; a
 chunk's map is thus its text up to the first boundary, a constant, and its text after the last
-one. Maps compose associatively, and the chunks of a text are composed by a parallel prefix
-scan.
+one. Maps compose associatively, and the chunks of a text are composed pairwise to one
+map as they come.
 """
 
 from __future__ import annotations
@@ -185,13 +185,23 @@ def compose(machine: Transducer, left: ChunkMap, right: ChunkMap) -> ChunkMap:
     return ChunkMap(left.head, left.count + sum(_pieces(machine, s) for s in whole[:-1]), whole[-1])
 
 
-def scan(machine: Transducer, maps: list[ChunkMap]) -> list[ChunkMap]:
-    """Maps of all prefixes of the chunks: a parallel prefix scan by doubling distances."""
-    done, step = list(maps), 1
-    while step < len(done):
-        done = done[:step] + [compose(machine, done[i - step], done[i]) for i in range(step, len(done))]
-        step *= 2
-    return done
+def total(machine: Transducer, maps: Iterator[ChunkMap]) -> ChunkMap:
+    """Map of all chunks together, composed as they come.
+
+    Neighbours over equally many chunks become one at once, so no text is held in two maps,
+    and a text without a boundary is copied once for every doubling of its length.
+    """
+    open_: list[tuple[int, ChunkMap]] = []
+    for one in maps:
+        size = 1
+        while open_ and open_[-1][0] == size:
+            one = compose(machine, open_.pop()[1], one)
+            size *= 2
+        open_.append((size, one))
+    whole = open_.pop()[1]
+    while open_:
+        whole = compose(machine, open_.pop()[1], whole)
+    return whole
 
 
 def count_tokens(machine: Transducer, text: str, chunk: int = CHUNK) -> int:
@@ -199,7 +209,7 @@ def count_tokens(machine: Transducer, text: str, chunk: int = CHUNK) -> int:
     if not text:
         return 0
     text = " " + text.replace(SPACE, " ")  # the tokenizer puts a space in front
-    whole = scan(machine, [chunk_map(machine, text[i:i + chunk]) for i in range(0, len(text), chunk)])[-1]
+    whole = total(machine, (chunk_map(machine, text[i:i + chunk]) for i in range(0, len(text), chunk)))
     return _pieces(machine, whole.head) + whole.count + (_pieces(machine, whole.tail) if whole.tail is not None else 0)
 
 

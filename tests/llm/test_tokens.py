@@ -1,6 +1,7 @@
 """Token counts, token files and packing against the tokenizer libraries."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -27,6 +28,18 @@ def machine():
     return tokencount.Transducer(PIECES)
 
 
+def test_memory_of_a_text_without_boundaries(machine):
+    """Chunk maps of a text without blanks hold it a few times at most, however many chunks it has."""
+    text = "".join(random.Random(4).choices("abcdefghij", k=200_000))
+    wanted = tokencount.count_tokens(machine, text)
+    tracemalloc.start()
+    try:
+        assert tokencount.count_tokens(machine, text, 500) == wanted
+        assert tracemalloc.get_traced_memory()[1] < 12 * len(text)
+    finally:
+        tracemalloc.stop()
+
+
 def ids_of(text, end):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
 
