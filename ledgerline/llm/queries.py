@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import licenses, topk
+from ledgerline.llm import licenses, topk, urlrules
 from ledgerline.llm.decontam import op7_decontam
 from ledgerline.llm.licenses import op5_licenses
 from ledgerline.llm.packing import op9_packing
@@ -13,6 +13,7 @@ from ledgerline.llm.tokencount import op4_tokencount
 from ledgerline.llm.tokenfile import op8_tokenfile
 from ledgerline.llm.topk import op2_topk
 from ledgerline.llm.toxicity import op3_toxicity
+from ledgerline.llm.urlrules import op12_urlrules
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_tokenfile": op8_tokenfile,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op12_urlrules": op12_urlrules,
 }
 
 # The others need hashes, models, tokenizers or components that SQL does not have; they are
@@ -32,4 +34,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_topk": topk.ORACLE,
     "op5_licenses": licenses.ORACLE,
+    "op12_urlrules": urlrules.ORACLE,
 }
