@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import licenses, topk, urlrules
+from ledgerline.llm import lexical, licenses, topk, urlrules
 from ledgerline.llm.decontam import op7_decontam
+from ledgerline.llm.lexical import op13_lexical
 from ledgerline.llm.licenses import op5_licenses
 from ledgerline.llm.packing import op9_packing
 from ledgerline.llm.pii import op10_pii
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
     "op12_urlrules": op12_urlrules,
+    "op13_lexical": op13_lexical,
 }
 
 # The others need hashes, models, tokenizers or components that SQL does not have; they are
@@ -35,4 +37,5 @@ ORACLES: dict[str, str] = {
     "op2_topk": topk.ORACLE,
     "op5_licenses": licenses.ORACLE,
     "op12_urlrules": urlrules.ORACLE,
+    "op13_lexical": lexical.ORACLE,
 }
