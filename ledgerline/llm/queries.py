@@ -10,6 +10,7 @@ from ledgerline.llm.packing import op9_packing
 from ledgerline.llm.pii import op10_pii
 from ledgerline.llm.quality import op6_quality
 from ledgerline.llm.simhash import op1_simhash
+from ledgerline.llm.spelling import op11_spelling
 from ledgerline.llm.tokencount import op4_tokencount
 from ledgerline.llm.tokenfile import op8_tokenfile
 from ledgerline.llm.topk import op2_topk
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_tokenfile": op8_tokenfile,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op11_spelling": op11_spelling,
     "op12_urlrules": op12_urlrules,
     "op13_lexical": op13_lexical,
 }
