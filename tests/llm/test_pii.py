@@ -1,5 +1,6 @@
 """Patterns against the plain regular expressions; the field against all readings."""
 
+import hashlib
 import re
 from itertools import product
 
@@ -94,9 +95,26 @@ def test_query(spark, tables):
     assert {r.doc_id: [tuple(s) for s in r.base] for r in found} == {i: plain(t) for i, t in texts.items()}
     for r in found:
         assert set(r.base) <= set(r.spans) and all(0 <= s.start < s.end <= len(texts[r.doc_id]) for s in r.spans)
-    listed = {r.doc_id: r.spans for r in pii.op10_pii(spark, tables).collect()}
-    some = next(r for r in found if len(r.base) > 1)
-    assert listed[some.doc_id] == ",".join(f"{pii.KINDS[s.kind]}:{s.start}:{s.end}" for s in some.spans)
+
+
+def listed(spans):
+    return ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+
+
+def test_every_column_of_the_query(spark, tables, odd, tmp_path):
+    """Counts and digest from the plain patterns, spans from the operator, on given and on odd texts."""
+    for folder, documents in ((tables, table(spark, tables, "documents")), (str(tmp_path), odd)):
+        if documents is odd:
+            odd.write.parquet(f"{folder}/documents.parquet")
+        base = {r.doc_id: plain(r.text or "") for r in documents.collect() if r.doc_id is not None}
+        spans = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.personal_data(documents).collect()}
+        found = {r.doc_id: r for r in pii.op10_pii(spark, folder).collect()}
+        assert base.keys() <= found.keys() and (documents is not odd or {kind for x in base.values() for kind, _, _ in x} == {0, 1, 2, 3})
+        for i, expected in base.items():
+            r = found[i]
+            counts = tuple(sum(s[0] == k for s in expected) for k in range(4))
+            assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == counts
+            assert r.base_sha256 == hashlib.sha256(listed(expected).encode()).hexdigest() and r.spans == listed(spans[i])
 
 
 def test_masking(spark, odd, none):
