@@ -89,6 +89,20 @@ def test_word_ids_equal_the_library_s(texts):
     assert [p.tolist() for p in parts] == [ids_of(t, 7) for t in texts]
 
 
+def test_word_ids_with_small_caches_and_short_stretches(monkeypatch):
+    """Half of the pieces are dropped again and again, and texts are split at every few blanks."""
+    monkeypatch.setattr(wordids, "KEPT_PIECES", 30)
+    monkeypatch.setattr(wordids, "STRETCH", 7)
+    own, mix = wordids.TextEncoder(WORDS, 7), random.Random(3)
+    for _ in range(60):
+        batch = [" ".join(mix.choice([*ODD_STRINGS, "the", "of", "don't", "l'été", "3.14!", "x" * mix.randint(1, 9)]) for _ in range(mix.randint(0, 12))) for _ in range(4)]
+        ids, sizes = own.encode([t.encode() for t in batch])
+        assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [ids_of(t, 7) for t in batch]
+    monkeypatch.setattr(wordids, "KEPT_IDS", 10)
+    ids, sizes = own.encode([b"the long and the short"])
+    assert ids.tolist() == ids_of("the long and the short", 7)
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = tokenfile.tokenizer_path("byte_bpe_50k.json")
     own, other = wordids.TextEncoder(path, 3), Tokenizer.from_file(path)
