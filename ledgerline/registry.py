@@ -796,6 +796,31 @@ def late_usage_stream(spark, folder):
     )
 
 
+@query
+def usage_stream_windows(spark, folder):
+    """Windows closed by a stateful stream in two runs, and the rows it set aside, by reason and day.
+
+    The second run brings rows sent again, rows four months old, and a closing row.
+    """
+    usage = book.usage_on_time(spark, folder)
+    landing, target, checkpoint = (scratch_path(spark, f"usage-{part}") for part in ("landing", "table", "checkpoint"))
+    again = book.late_part(usage)
+    older = again.withColumn("event_date", F.date_sub("event_date", 120))
+    for drop in (usage, again.unionByName(older).unionByName(usage_stream.closing_row(usage, "2100-01-01"))):
+        drop.write.mode("append").parquet(landing)
+        # Usage has no id here, so a row sent again is one that is equal in the quantity too.
+        usage_stream.run_windows(
+            spark.readStream.schema(usage.schema).parquet(landing), target, checkpoint, (*late.USAGE_KEY, "quantity"), "5 days", "7 days"
+        )
+    aside = spark.read.parquet(f"{target}/aside").groupBy(F.col("reason").alias("part"), F.col("event_date").alias("day"), "metric_name").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("quantity").alias("total_quantity")
+    )
+    windows = spark.read.parquet(f"{target}/windows").select(
+        F.lit("window").alias("part"), F.col("window_start").alias("day"), "metric_name", "events", "total_quantity"
+    )
+    return windows.unionByName(aside)
+
+
 @query
 def usage_windows(spark, folder):
     """Usage per window of thirty days."""

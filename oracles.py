@@ -864,6 +864,35 @@ oracle("quality_offending_values", "snap", """
     union all
     select 'status', status, count(*) from snap where status not in ('active', 'churned', 'suspended', 'trial') group by status""")
 
+oracle("usage_stream_windows", "usage_on_time", """
+    , again as (select * from usage_on_time where batch = 1),
+    older as (select * replace (event_date - 120 as event_date) from again),
+    -- behind the watermark of the second run: seven days before the newest row of the first
+    second as (
+        select *, event_date <= (select max(event_date) from usage_on_time) - 7 as behind
+        from (select * from again union all select * from older)),
+    first_ones as (
+        select *, row_number() over (partition by customer_id, event_date, metric_name, quantity) = 1 as counts from usage_on_time),
+    keys as (select distinct customer_id, event_date, metric_name, quantity from usage_on_time),
+    known as (
+        select s.*, k.event_date is not null as known from second s left join keys k
+          on k.customer_id is not distinct from s.customer_id and k.event_date is not distinct from s.event_date
+         and k.metric_name is not distinct from s.metric_name and k.quantity is not distinct from s.quantity),
+    fresh as (
+        select *, row_number() over (partition by customer_id, event_date, metric_name, quantity) = 1 as counts
+        from known where not known and not behind),
+    placed as (
+        select case when counts then 'window' else 'repeat' end as part, event_date, metric_name, quantity from first_ones
+        union all
+        select case when counts then 'window' else 'repeat' end, event_date, metric_name, quantity from fresh
+        union all
+        select case when known then 'repeat' else 'late' end, event_date, metric_name, quantity from known where known or behind)
+    select part, cast(case when part = 'window'
+                      then date '1970-01-01' + cast(datediff('day', date '1970-01-01', event_date) // 5 * 5 as int)
+                      else event_date end as varchar) as day,
+           metric_name, count(*) as events, cast(sum(quantity) as double) as total_quantity
+    from placed group by 1, 2, 3""")
+
 oracle("usage_windows", "usage_on_time", """
     select cast(date '1970-01-01' + cast(datediff('day', date '1970-01-01', event_date) // 30 * 30 as int) as varchar) as window_start,
            metric_name, count(*) as events, cast(sum(quantity) as double) as total_quantity

@@ -160,6 +160,37 @@ def test_stream_drops_repeats_across_runs_and_keeps_late_rows(spark, tmp_path):
     assert [r[2] for r in run() if r[0] == "d"] == [D(5)]
 
 
+def test_windows_as_a_stream_account_for_every_row(spark, tmp_path):
+    """State lives across runs; rows behind the watermark and repeats stand aside, none is lost."""
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = usage_file(
+        spark, source, ("a", "2024-01-01", "api", D(1), 1), ("a", "2024-06-01", "api", D(2), 1),
+        ("b", "2024-06-01", "api", D(2), 1), (None, "2024-06-02", "api", D(4), 1), ("a", "2024-01-01", "api", D(1), 1),
+    )
+
+    def run():
+        query = stream.run_windows(spark.readStream.schema(schema).parquet(source), path, checkpoint)
+        dropped = max((s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]), default=0)
+        windows = rows(spark.read.parquet(f"{path}/windows"), F.col("window_start").cast("string"), "metric_name", "events", "total_quantity")
+        return windows, rows(spark.read.parquet(f"{path}/aside"), "reason", "customer_id", "quantity"), dropped
+
+    # The newest row closes what lies ninety days behind it.
+    assert run() == ([("2023-12-19", "api", 1, D(1))], [("repeat", "a", D(1))], 0)
+    # Behind the watermark: a new row and a repeat. In reach: a new row, two repeats (one without customer).
+    usage_file(
+        spark, source, ("a", "2024-01-02", "api", D(7), 2), ("a", "2024-01-01", "api", D(1), 2), ("a", "2024-05-01", "api", D(5), 2),
+        ("b", "2024-06-01", "api", D(3), 2), (None, "2024-06-02", "api", D(9), 2),
+    )
+    windows, aside, dropped = run()
+    assert windows == [("2023-12-19", "api", 1, D(1))] and dropped == 2
+    assert aside == [("late", "a", D(7)), ("repeat", "a", D(1)), ("repeat", "a", D(1)), ("repeat", "b", D(3)), ("repeat", None, D(9))]
+    assert run()[:2] == (windows, aside)  # nothing new: nothing changes
+    stream.closing_row(spark.read.schema(schema).parquet(source), "2030-01-01").write.mode("append").parquet(source)
+    windows, aside, _ = run()
+    assert windows == [("2023-12-19", "api", 1, D(1)), ("2024-04-17", "api", 1, D(5)), ("2024-05-17", "api", 3, D(8))]
+    assert sum(w[2] for w in windows) + len(aside) == 10
+
+
 def test_windowed_usage(spark):
     df = spark.createDataFrame([("a", "2024-01-01", "api", D(1)), ("a", "2024-01-01", "api", D(2)), ("a", "2024-01-02", "api", D(4))],
                                "customer_id string, event_date string, metric_name string, quantity decimal(18,4)")
