@@ -2,8 +2,8 @@
 
 For a tokenizer that folds white space and drops it (normaliser: composition, white space,
 lower case; split into letters, single digits and other signs), the pieces of that split do not
-influence each other. Texts of plain letters then become rows of piece numbers, and ids are
-gathered from the pieces' ids. Of other texts the words between ASCII white space are encoded
+influence each other. Texts of plain letters are taken word by word; distinct words are split,
+and ids are gathered from their pieces' ids. Of other texts the words between ASCII white space are encoded
 as they are; any other tokenizer encodes whole texts.
 """
 
@@ -15,13 +15,15 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 # Pieces (and ids of theirs) a Python worker keeps; beyond that the half used less is dropped.
 KEPT_PIECES, KEPT_IDS = 500_000, 4_000_000
-# Characters of a text split at a time, at a blank.
-STRETCH = 1 << 20
+# Characters of a text cut off at a time, at a blank, and bytes of texts whose words are gathered together.
+STRETCH = 1 << 22
 
 # Printable ASCII, its blanks, and Latin-1 letters with the two signs between them: splitting is plain.
 _PLAIN = re.compile("[\t\n\r -~À-ÿ]*")
@@ -108,8 +110,8 @@ class TextEncoder:
         self.sizes = array("q", np.concatenate(([1], sizes)).astype(np.int64).tobytes())
         self.uses = np.concatenate(([0], self.uses[kept] // 2))
 
-    def _pieces(self, content: bytes) -> Iterator[list[str]]:
-        """Pieces of a text, a stretch at a time."""
+    def _words(self, content: bytes) -> Iterator[list[str]]:
+        """Words of a text that are encoded alone, a stretch of it at a time."""
         text = content.decode("utf-8", "replace")
         if not self.word_wise or "<|" in text:
             # A special token's string inside a text is matched as it is written, so such a text stays whole.
@@ -119,39 +121,61 @@ class TextEncoder:
             while at < len(text):
                 cut = _BLANK.search(text, at + STRETCH) if len(text) - at > STRETCH else None
                 end = cut.start() if cut else len(text)
-                yield _SPLIT.findall(text[at:end].lower())
+                yield text[at:end].lower().split()
                 at = end
         else:
-            found: list[str] = []
-            for word in content.split():
-                part = word.decode("utf-8", "replace")
-                found += _SPLIT.findall(part.lower()) if _PLAIN.fullmatch(part) else [_RAW + part]
-            yield found
+            words = [w.decode("utf-8", "replace") for w in content.split()]
+            yield [w.lower() if _PLAIN.fullmatch(w) else _RAW + w for w in words]
 
-    def encode(self, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other (uint32), and per text how many (end id included)."""
-        if not batch:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def _gather(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has; every distinct word is split once."""
         if len(self.starts) > KEPT_PIECES or len(self.ids) > KEPT_IDS:
             self._forget()
-        row, parts, counts = self.rows.__getitem__, [], []
-        for content in batch:
-            total = 1
-            for pieces in self._pieces(content):
-                parts.append(np.fromiter(map(row, pieces), np.int32, len(pieces)))
-                total += len(pieces)
-            parts.append(np.zeros(1, np.int32))
-            counts.append(total)
-        at = np.concatenate(parts)
-        used = np.bincount(at, minlength=len(self.starts))
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        pieces = [[w] if w.isalpha() or not w or w[0] == _RAW else _SPLIT.findall(w) for w in distinct]
+        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
+        used = np.bincount(rows, minlength=len(self.starts))
         used[: len(self.uses)] += self.uses
         self.uses = used
-        sizes = np.array(self.sizes)[at]
-        ends = np.cumsum(sizes)
-        from_ = np.array(self.starts)[at] - (ends - sizes)
-        ids = np.array(self.ids)[np.repeat(from_, sizes) + np.arange(ends[-1])].astype(np.uint32, copy=False)
-        counted = np.array(counts)
-        return ids, np.add.reduceat(sizes, np.cumsum(counted) - counted)
+        ids, sizes = _ragged(np.array(self.ids), np.array(self.starts)[rows], np.array(self.sizes)[rows])
+        each = np.add.reduceat(sizes, np.cumsum(counts) - counts)
+        at = coded.indices.to_numpy()
+        return _ragged(ids, (np.cumsum(each) - each)[at], each[at])
+
+    def encode(self, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other (uint32), and per text how many (end id included)."""
+        sizes = np.zeros(len(batch), np.int64)
+        parts, words, owners, length = [np.zeros(0, np.uint32)], [], [], 0
+
+        def flush() -> None:
+            nonlocal length
+            if words:
+                ids, each = self._gather(words)
+                parts.append(ids)
+                texts, counts = zip(*owners)
+                np.add.at(sizes, list(texts), np.add.reduceat(each, np.cumsum(counts) - counts))
+            words.clear()
+            owners.clear()
+            length = 0
+
+        for number, content in enumerate(batch):
+            for found in chain(self._words(content), ([""],)):
+                if found:
+                    words += found
+                    owners.append((number, len(found)))
+            length += len(content)
+            if length >= STRETCH:
+                flush()
+        flush()
+        return np.concatenate(parts).astype(np.uint32, copy=False), sizes
+
+
+def _ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``values`` from ``starts``, one after the other, and their sizes."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
 @lru_cache(maxsize=2)
