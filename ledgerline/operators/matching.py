@@ -1,7 +1,15 @@
-"""Match a file without customer ids: exact email first, then similar company names."""
+"""Match a file without customer ids: exact email first, then similar company names.
+
+Similar names are found in one of two ways: :func:`similar_names` is exact, its candidates grow
+faster than the names where most names are alike; :func:`similar_names_by_bands` finds most pairs by
+locality-sensitive hashing, and its candidates stay near in proportion to the names.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +19,8 @@ from ledgerline.session import scratch_path
 
 # Names of one side that meet in a task: pieces held by more names than this are split.
 NAMES_PER_SHARE = 1024
+# Chance of a band in common that pairs of the weighted likeness LIKENESS shall have.
+RECALL, LIKENESS = 0.999, 0.7
 
 
 def trigrams(name: Column) -> Column:
@@ -67,9 +77,14 @@ def _ranked_names(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
         .select("side", F.monotonically_increasing_id().alias("id"), "name", F.col("ranked.gram").alias("grams"))
         .withColumn("n", F.size("grams"))
     )
-    path = scratch_path(left.sparkSession, "names")
-    ranked.write.parquet(path)
-    return left.sparkSession.read.schema(ranked.schema).parquet(path)
+    return _stored(ranked, "names")
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the scratch folder and read again, for what is used several times."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _keys(names: DataFrame, threshold: float, pieces: int) -> DataFrame:
@@ -154,12 +169,91 @@ def similar_names(left: DataFrame, right: DataFrame, column: str, threshold: flo
     )
 
 
-def match_partners(partners: DataFrame, customers: DataFrame, threshold: float = 0.8) -> DataFrame:
+def band_shape(names: int) -> tuple[int, int]:
+    """(bands, rows a band) for so many names.
+
+    Rows follow the logarithm of the names, so that names sharing some pieces by chance meet in
+    a band the more rarely the more there are; bands make up for the rows.
+    """
+    rows = max(2, 1 + round(math.log10(max(names, 1))))
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - LIKENESS ** rows)), rows
+
+
+def plain_name(name: Column) -> Column:
+    """Lower case, one blank between words, no other signs."""
+    return F.trim(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", " "))
+
+
+def edit_similarity(a: Column, b: Column) -> Column:
+    """Share of the longer plain name that stands without edits."""
+    a, b = plain_name(a), plain_name(b)
+    return 1 - F.try_divide(F.levenshtein(a, b).cast("double"), F.greatest(F.length(a), F.length(b)).cast("double"))
+
+
+def _band_keys(names: DataFrame) -> DataFrame:
+    """side, id, first (number of the band), gram (its key) for names (side, id, grams).
+
+    Weighted MinHash: a draw takes of a name's pieces the smallest -ln(u) / w, where u comes from a hash
+    of the piece and the draw, and w is the logarithm of the piece's rarity. Two names draw alike
+    with a chance of their shared weight over their whole weight, so pieces that most names have
+    hardly count. A band's key is a hash of its draws.
+    """
+    spark = names.sparkSession
+    total = names.count()  # one number
+    bands, rows = band_shape(total)
+    pieces = names.select("side", "id", F.explode("grams").alias("gram"))
+    rarity = pieces.groupBy("gram").agg(F.log(F.lit(total + 1.0) / F.count(F.lit(1))).alias("weight"))
+    # Much work on few bytes: over all cores, however small the names are.
+    spread = join_lookup(pieces, rarity, ["gram"]).repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "side", "id")
+    weighted = spread.groupBy("side", "id").agg(F.collect_list(F.struct("gram", "weight")).alias("pieces"))
+
+    def draw(number: Column) -> Column:
+        def value(piece: Column) -> Column:
+            u = (F.shiftrightunsigned(F.xxhash64(piece["gram"], number), 11) + 1).cast("double") / float(1 << 53)
+            return -F.log(u) / piece["weight"]
+
+        return F.array_min(F.transform("pieces", value))
+
+    def key(band: Column) -> Column:
+        return F.xxhash64(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: draw(band * rows + i)))
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)
+    return weighted.select("side", "id", F.posexplode(keys).alias("first", "gram"))
+
+
+def banded_names(names: DataFrame) -> DataFrame:
+    """left_id, right_id of names (side, id, grams) with a band in common, each pair once."""
+    left, right = _in_shares(_stored(_band_keys(names), "bands"))
+    keys = ["first", "gram", "row", "column"]
+    pairs = left.select(*keys, F.col("id").alias("left_id")).join(right.select(*keys, F.col("id").alias("right_id")), keys)
+    return pairs.select("left_id", "right_id").distinct()
+
+
+def similar_names_by_bands(left: DataFrame, right: DataFrame, column: str, threshold: float) -> DataFrame:
+    """Most pairs of distinct names whose :func:`edit_similarity` reaches ``threshold``: name, other, similarity.
+
+    Near pairs can be missed, none that does not reach the threshold is returned.
+    """
+    both = _names(left, column, 0).unionByName(_names(right, column, 1))
+    names = _stored(both.withColumn("id", F.monotonically_increasing_id()), "names")
+    sides = [names.filter(F.col("side") == i).select(F.col("id").alias(f"{s}_id"), F.col("name").alias(s)) for i, s in enumerate(("name", "other"))]
+    pairs = banded_names(names).withColumnsRenamed({"left_id": "name_id", "right_id": "other_id"})
+    named = join_lookup(join_lookup(pairs, sides[0], ["name_id"]), sides[1], ["other_id"])
+    return named.select("name", "other", edit_similarity(F.col("name"), F.col("other")).alias("similarity")).filter(
+        F.col("similarity") >= F.lit(threshold) - F.lit(1e-9)
+    )
+
+
+def match_partners(
+    partners: DataFrame, customers: DataFrame, threshold: float = 0.8,
+    similar: Callable[[DataFrame, DataFrame, str, float], DataFrame] = similar_names,
+) -> DataFrame:
     """partner_id, customer_id, method, similarity for every partner row.
 
     method: ``email`` (sole owner of the address), ``name`` (the one most similar company
     name at or above the threshold), else ``quarantine`` without customer: no match is
-    applied below the threshold or when several customers fit equally well.
+    applied below the threshold or when several customers fit equally well. ``similar`` finds
+    the pairs of names and defines what similar is.
     """
     by_email = owners(customers, "email", "customer_id").filter(~F.col("_ambiguous")).drop("_ambiguous")
     emailed = join_lookup(partners.filter(F.col("email").isNotNull()), by_email, ["email"])
@@ -172,7 +266,7 @@ def match_partners(partners: DataFrame, customers: DataFrame, threshold: float =
     )
     # Only the most similar names count; all of them, as a tie decides nothing.
     rank = F.rank().over(Window.partitionBy("name").orderBy(F.col("similarity").desc()))
-    closest = similar_names(rest, customers, "company_name", threshold).withColumn("_rank", rank).filter("_rank = 1")
+    closest = similar(rest, customers, "company_name", threshold).withColumn("_rank", rank).filter("_rank = 1")
     # A company name may belong to several customers; smallest and largest id tell.
     holders = customers.groupBy(F.col("company_name").alias("other")).agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"))
     best = (

@@ -780,6 +780,12 @@ def match_partners(spark, folder):
     return matching.match_partners(book.partners(spark, folder), book.customers(spark, folder))
 
 
+@query
+def match_partners_by_bands(spark, folder):
+    """The same file matched by MinHash bands and edit distance."""
+    return matching.match_partners(book.partners(spark, folder), book.customers(spark, folder), 0.8, matching.similar_names_by_bands)
+
+
 @query
 def late_usage_stream(spark, folder):
     """Usage as a stream, twice: the regular drops, then late rows, some four months old."""

@@ -837,6 +837,25 @@ oracle("match_partners", "cust", f"""
     select partner_id, customer_id, case when customer_id is null then 'quarantine' else 'name' end, similarity
     from file left join best using (partner_id) where not has_email""")
 
+oracle("match_partners_by_bands", "cust", """
+    , file as (
+        select c_custkey as partner_id, 'CUSTOMERS ' || substr(c_name, 10) as company_name, c_acctbal >= 0 as has_email
+        from customer),
+    names as (select partner_id, trim(regexp_replace(lower(company_name), '[^a-z0-9]+', ' ', 'g')) as a from file where not has_email),
+    known as (select customer_id, trim(regexp_replace(lower(company_name), '[^a-z0-9]+', ' ', 'g')) as b from cust),
+    pairs as (
+        select partner_id, customer_id, 1 - cast(levenshtein(a, b) as double) / greatest(length(a), length(b)) as similarity
+        from names, known),
+    best as (
+        select * from (
+            select *, rank() over (partition by partner_id order by similarity desc) as place from pairs where similarity >= 0.8 - 1e-9)
+        where place = 1
+        qualify count(*) over (partition by partner_id) = 1)
+    select partner_id, partner_id as customer_id, 'email' as method, cast(1 as double) as similarity from file where has_email
+    union all
+    select partner_id, customer_id, case when customer_id is null then 'quarantine' else 'name' end, similarity
+    from file left join best using (partner_id) where not has_email""")
+
 oracle("late_usage_stream", "usage_all", """
     , every as (
         select * exclude (is_late) from usage_all

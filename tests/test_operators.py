@@ -1,5 +1,6 @@
 """Checks, profiles, row filter, late data, corrections, partner matching."""
 
+import random
 from datetime import date
 from decimal import Decimal
 from itertools import product
@@ -178,6 +179,36 @@ def test_similar_names_with_a_piece_in_every_name(spark, monkeypatch):
     assert {(r["name"], r["other"]): r["similarity"] for r in df.collect()} == brute_force(left, right, 0.6)
 
 
+def test_bands_find_most_similar_names(spark):
+    """Names with one letter changed, among names that share most words: recall against the exact join."""
+    mix = random.Random(11)
+    parts = ["Northern", "Trading", "Holding", "Company", "Industrial", "Services", "International", "Partners"]
+    names = [f"{' '.join(mix.sample(parts, 3))} {''.join(mix.choices('bcdfgklmnprst', k=9))}" for _ in range(400)]
+
+    def misspelt(name):
+        at = mix.randrange(len(name))
+        return name[:at] + mix.choice("aeiou") + name[at + 1:]
+
+    left = spark.createDataFrame([(misspelt(n),) for n in names], "n string")
+    right = spark.createDataFrame([(n,) for n in names], "n string")
+    exact = {(r["name"], r["other"]) for r in matching.similar_names(left, right, "n", 0.8).collect()}
+    found = {(r["name"], r["other"]): r["similarity"] for r in matching.similar_names_by_bands(left, right, "n", 0.8).collect()}
+    assert len(exact) > 250 and len(exact & found.keys()) >= 0.9 * len(exact)
+    assert min(found.values()) >= 0.8 and len(found) < 4000  # of 160,000 pairs
+
+
+def test_band_shape_follows_the_number_of_names():
+    assert [matching.band_shape(n)[1] for n in (0, 1, 1000, 10_000, 10**9)] == [2, 2, 4, 5, 10]
+    for n in (1, 10**4, 10**8):
+        bands, rows = matching.band_shape(n)
+        assert 1 - (1 - matching.LIKENESS ** rows) ** bands >= matching.RECALL
+
+
+def test_edit_similarity(spark):
+    df = spark.createDataFrame([("Acme, Corp.", "ACME corp"), ("abcd", "abxd"), ("", "!"), ("a", None)], "a string, b string")
+    assert [r[0] for r in df.select(matching.edit_similarity(F.col("a"), F.col("b"))).collect()] == [1.0, 0.75, None, None]
+
+
 def test_partners(spark):
     known = spark.createDataFrame(
         [("C1", "a@x", "Acme Corp"), ("C2", "b@x", "Globex Inc"), ("C3", "b@x", "Hooli"), ("C4", "d@x", "Twin Ltd"), ("C5", "e@x", "Twin Ltd")],
