@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.identity import owners
 from ledgerline.operators.relational import join_lookup
-from ledgerline.session import scratch_path
+from ledgerline.session import stored
 
 # Names of one side that meet in a task: pieces held by more names than this are split.
 NAMES_PER_SHARE = 1024
@@ -77,14 +77,7 @@ def _ranked_names(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
         .select("side", F.monotonically_increasing_id().alias("id"), "name", F.col("ranked.gram").alias("grams"))
         .withColumn("n", F.size("grams"))
     )
-    return _stored(ranked, "names")
-
-
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the scratch folder and read again, for what is used several times."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(ranked, "names")
 
 
 def _keys(names: DataFrame, threshold: float, pieces: int) -> DataFrame:
@@ -223,7 +216,7 @@ def _band_keys(names: DataFrame) -> DataFrame:
 
 def banded_names(names: DataFrame) -> DataFrame:
     """left_id, right_id of names (side, id, grams) with a band in common, each pair once."""
-    left, right = _in_shares(_stored(_band_keys(names), "bands"))
+    left, right = _in_shares(stored(_band_keys(names), "bands"))
     keys = ["first", "gram", "row", "column"]
     pairs = left.select(*keys, F.col("id").alias("left_id")).join(right.select(*keys, F.col("id").alias("right_id")), keys)
     return pairs.select("left_id", "right_id").distinct()
@@ -235,7 +228,7 @@ def similar_names_by_bands(left: DataFrame, right: DataFrame, column: str, thres
     Near pairs can be missed, none that does not reach the threshold is returned.
     """
     both = _names(left, column, 0).unionByName(_names(right, column, 1))
-    names = _stored(both.withColumn("id", F.monotonically_increasing_id()), "names")
+    names = stored(both.withColumn("id", F.monotonically_increasing_id()), "names")
     sides = [names.filter(F.col("side") == i).select(F.col("id").alias(f"{s}_id"), F.col("name").alias(s)) for i, s in enumerate(("name", "other"))]
     pairs = banded_names(names).withColumnsRenamed({"left_id": "name_id", "right_id": "other_id"})
     named = join_lookup(join_lookup(pairs, sides[0], ["name_id"]), sides[1], ["other_id"])

@@ -163,6 +163,11 @@ def mrr_changes(subscriptions: DataFrame, customers: DataFrame, close_last: bool
     pairs = pair_periods(batch_mrr(subscriptions), "customer_id", BATCH, "total_mrr")
     if not close_last:
         pairs = pairs.filter(F.col(BATCH) <= subscriptions.agg(F.max(BATCH)).scalar())
+    return classified(attach(pairs, customers, "customer_id", ["region"]), "seen_before")
+
+
+def classified(pairs: DataFrame, *more: str) -> DataFrame:
+    """Kind of change and difference of paired periods (customer_id, region, batch, previous, current, ...)."""
     zero = F.lit(0)
     kind = (
         F.when(~F.col("had_previous"), "new")
@@ -171,14 +176,14 @@ def mrr_changes(subscriptions: DataFrame, customers: DataFrame, close_last: bool
         .when(F.col("current") < F.col("previous"), "contraction")
         .otherwise("retained")
     )
-    return attach(pairs, customers, "customer_id", ["region"]).select(
+    return pairs.select(
         "customer_id", "region",
         F.col(BATCH).alias("batch_id"),
         F.col("previous").alias("previous_mrr"),
         F.col("current").alias("current_mrr"),
         (F.coalesce("current", zero) - F.coalesce("previous", zero)).alias("mrr_change"),
         kind.alias("movement_type"),
-        "seen_before",
+        *more,
     )
 
 

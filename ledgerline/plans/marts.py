@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.contract import BATCH
 from ledgerline.functions.columns import mean, month_of, ratio, sum_when
 from ledgerline.operators.relational import attach
+from ledgerline.session import stored
 
 MART_ORDER = {
     "mart_mrr": ["batch_id", "region", "plan_name"],
@@ -23,6 +26,31 @@ def in_order(mart: DataFrame, name: str) -> DataFrame:
     return mart.orderBy(*[F.col(c).asc_nulls_last() for c in MART_ORDER[name]])
 
 
+def ranked(rows: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
+    """The rows with their place (from 1) in an order, as data.
+
+    The rows are laid out in ranges of the order, each range counts its rows, and places start
+    behind the counts of the ranges before: no window over everything, no task with all rows. Rows
+    equal in the order are placed in any order among themselves.
+    """
+    by = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    laid = stored(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumns(
+        {"_range": F.spark_partition_id(), "_line": F.monotonically_increasing_id()}
+    ), "ranges")
+    counts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = counts.select("_range", before.alias("_base"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy("_line"))
+    return laid.withColumn("_within", within).join(bases, "_range").select(
+        *rows.columns, (F.col("_base") + F.col("_within")).cast("bigint").alias(name)
+    )
+
+
+def ranked_mart(mart: DataFrame, name: str) -> DataFrame:
+    """The mart with a column ``rank``: its place in its reading order, missing values last."""
+    return ranked(mart, MART_ORDER[name])
+
+
 def mart_mrr(fct_subscriptions: DataFrame) -> DataFrame:
     """Batch × region × plan of active subscriptions, from the stored fact table."""
     return (

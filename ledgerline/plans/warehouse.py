@@ -12,7 +12,7 @@ from ledgerline.contract import BATCH, ENTITIES
 from ledgerline.operators.corrections import apply_corrections
 from ledgerline.operators.late import dedup_usage
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
-from ledgerline.plans import core, marts
+from ledgerline.plans import core, maintained, marts
 from ledgerline.plans.stage import stage, stage_or_quarantine
 from ledgerline.sources.raw import RawFile, discover, families, load_summary, paths_with_line_breaks, read_raw, read_rejects
 from ledgerline.sources.store import Store
@@ -138,19 +138,13 @@ def append_new_batches(store: Store, name: str, fact: DataFrame) -> list[int]:
     """Bring a stored fact up to date, batch by batch; returns the numbers of those written.
 
     Written are the batches that are not stored, whatever their number, and those whose rows
-    differ from the stored ones: skipped, late and restated batches are all picked up. Rows
-    are compared by their number and the sum of their hashes. Each batch is written into its
-    own folder, so a run that fails half-way can simply be repeated.
+    differ from the stored ones: skipped, late and restated batches are all picked up. What is
+    stored is known from the ledger kept at write time and not read again. Batches are replaced
+    whole, so a run that fails half-way can simply be repeated. Rows without a batch
+    number cannot be placed: they replace the layer ``rejects`` of that name.
     """
-    def content(df: DataFrame) -> DataFrame:
-        row = F.xxhash64(*[F.col(c).cast("string") for c in sorted(fact.columns) if c != BATCH])
-        return df.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("sum"))
-
-    now = content(fact)
-    if store.exists("core", name):
-        now = now.join(content(store.load("core", name).select(*fact.columns)), [BATCH, "n", "sum"], "left_anti")
-    # A list of batch numbers, not data.
-    new = sorted(r[0] for r in now.filter(F.col(BATCH).isNotNull()).select(BATCH).collect())
-    for batch_id in new:
-        store.write_batch(fact.filter(F.col(BATCH) == batch_id), "core", name, batch_id)
+    new = maintained.changed_batches(store, name, fact)
+    store.replace_batches(fact, "core", name, new)
+    maintained.note_batches(store, name, fact, new)
+    store.materialize(fact.filter(F.col(BATCH).isNull()), "rejects", name)
     return new

@@ -19,10 +19,11 @@ from ledgerline.contract import BATCH
 from ledgerline.functions.columns import feature_list, utc
 from ledgerline.operators import cleaning, corrections, history, identity, late, matching, quality, rowfilter
 from ledgerline.operators.relational import latest_batch, union_aligned
-from ledgerline.plans import core, definitions, kpis, marts, stage, warehouse
+from ledgerline.plans import core, definitions, kpis, maintained, marts, stage, warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_book as book
 from ledgerline.sources import raw as raw_source
+from ledgerline.sources import tables as stored_tables
 from ledgerline.sources.store import Store
 from ledgerline.streaming import usage as usage_stream
 
@@ -846,6 +847,92 @@ def incremental_restated(spark, folder):
     ).withColumn("written", F.col(BATCH).isin(*written) if written else F.lit(False))
 
 
+def _maintained_store(spark, folder):
+    """A store whose marts were built from other amounts in batch 2 and without batch 4, then brought up to date."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    rows, customers, plans = book.subscriptions(spark, folder), book.customers(spark, folder), book.plans(spark, folder)
+    other = rows.filter(F.col(BATCH) != 4).withColumn("mrr", F.when(F.col(BATCH) == 2, F.col("mrr") + 1).otherwise(F.col("mrr")).cast("decimal(18,2)"))
+    maintained.update_marts(store, other, customers, plans)
+    return store, maintained.update_marts(store, rows, customers, plans)
+
+
+@query
+def marts_maintained(spark, folder):
+    """The marts by batch after an update from the changed batches; ``written`` where the update wrote them."""
+    store, written = _maintained_store(spark, folder)
+    return maintained.totals(store).withColumn("written", F.expr(
+        " or ".join(f"mart = '{m}' and batch_id in ({', '.join(map(str, b))})" for m, b in written.items())
+    ))
+
+
+@query
+def kpi_active_customers_bitmaps(spark, folder):
+    """Customers with an active subscription, each counted once: by batch, by region, and over all, from the stored mart."""
+    store, _ = _maintained_store(spark, folder)
+    held = store.load("mart", "mart_mrr_customers").withColumnRenamed(BATCH, "batch_id")
+    return union_aligned([
+        maintained.distinct_customers(held, "batch_id"), maintained.distinct_customers(held, "region"),
+        maintained.distinct_customers(held, "batch_id", "region"), maintained.distinct_customers(held),
+    ]).select("batch_id", "region", "active_customers")
+
+
+def _colocated_store(spark, folder, *facts):
+    """Customers and the named facts in buckets by customer."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    stored_tables.colocate(store, book.customers(spark, folder).select("customer_id", "region"), "dim_customer", "customer_id")
+    for name, source in facts:
+        stored_tables.colocate(store, source(spark, folder), name, "customer_id", partition_by=[BATCH])
+    return store
+
+
+@query
+def fct_invoices_colocated(spark, folder):
+    """Invoices with region, fact and dimension joined bucket by bucket."""
+    store = _colocated_store(spark, folder, ("invoices", book.invoices))
+    rows = stored_tables.attach_colocated(store, "invoices", "dim_customer", "customer_id", ["region"])
+    return rows.select("invoice_id", "customer_id", "region", "amount", "status", BATCH)
+
+
+@query
+def mrr_movements_colocated(spark, folder):
+    """Movements up to the newest batch from subscriptions stored in buckets by customer."""
+    store = _colocated_store(spark, folder, ("subscriptions", book.subscriptions))
+    newest = union_aligned(stored_tables.colocated(store, "subscriptions")).agg(F.max(BATCH)).scalar()
+    changes = stored_tables.by_part(
+        store, "subscriptions", "dim_customer", "customer_id", lambda rows, customers: core.mrr_changes(rows, customers, close_last=True)
+    )
+    return core.movements_only(changes.filter(F.col("batch_id") <= newest))
+
+
+@query
+def published_reload(spark, folder):
+    """Invoices per batch as a reader sees them before and after batches 2 and 3 are loaded again."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    rows = book.invoices(spark, folder).select("invoice_id", "amount", BATCH)
+    batches = sorted(r[0] for r in rows.select(BATCH).distinct().collect())
+    again = rows.filter(F.col(BATCH) == 2).withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+
+    def seen(when):
+        table = spark.table(stored_tables.table_name(store, "invoices"))
+        return table.groupBy(BATCH).agg(F.count(F.lit(1)).alias("invoices"), F.sum("amount").alias("amount")).withColumn("seen", F.lit(when))
+
+    stored_tables.publish(store, rows, "invoices", batches)
+    before = scratch_path(spark, "before")
+    seen("before").write.parquet(before)
+    stored_tables.publish(store, again, "invoices", [2, 3])
+    return spark.read.parquet(before).unionByName(seen("after"))
+
+
+@query
+def marts_ranked(spark, folder):
+    """The MRR and the retention mart with their reading order as data."""
+    shown = {"mart_mrr": (_mart_mrr(spark, folder), F.col("plan_name")), "mart_nrr": (_mart_nrr(spark, folder), F.lit(None).cast("string"))}
+    return union_aligned([
+        marts.ranked_mart(mart, name).select(F.lit(name).alias("mart"), "batch_id", "region", last.alias("plan_name"), "rank")
+        for name, (mart, last) in shown.items()
+    ])
+
+
 @query
 def landing_rejects(spark, folder):
     """Lines of ragged drops by what became of them: every line is a row or a reject."""

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.contract import BATCH
 from ledgerline.operators.rowfilter import restrict_rows
 
-LAYERS = ("raw", "rejects", "stage", "snapshots", "core", "mart")
+LAYERS = ("raw", "rejects", "stage", "snapshots", "core", "mart", "ledger")
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,23 @@ class Store:
         target = f"{self.path(layer, name)}/{BATCH}={batch_id}"
         df.filter(df[BATCH] == batch_id).drop(BATCH).write.mode("overwrite").parquet(target)
 
+    def replace_batches(self, df: DataFrame, layer: str, name: str, batches: Iterable[int]) -> None:
+        """Replace the named batches by their rows in ``df``, in one write; others stay as they are.
+
+        A batch without rows is emptied as well.
+        """
+        batches = sorted(batches)
+        if not batches:
+            return
+        seen = Observation()
+        rows = df.filter(F.col(BATCH).isin(*batches)).observe(seen, F.collect_set(BATCH).alias("batches"))
+        (
+            rows.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH).parquet(self.path(layer, name))
+        )
+        for batch_id in set(batches) - set(seen.get["batches"]):
+            self.write_batch(df.limit(0), layer, name, batch_id)
+
     def load(self, layer: str, name: str) -> DataFrame:
         """The dataset; columns that only some batches carry are merged in."""
         if layer == "stage":
