@@ -129,8 +129,11 @@ def mrr_with_overage(monthly: DataFrame, overage: DataFrame, periods: int = 3) -
 
     ``overage`` has (customer_id, _batch_id, amount) rows; a period without overage
     counts as 0. Both inputs are summed to customer × period first, so a window group is
-    at most the number of periods.
+    at most the number of periods. Overage without customer or period belongs to no MRR: it is one
+    row of its own, without both, whose ``avg_overage`` is all of it.
     """
+    placed = F.col("customer_id").isNotNull() & F.col(BATCH).isNotNull()
+    overage = overage.select(*[F.when(placed, F.col(c)).alias(c) for c in ("customer_id", BATCH)], "amount")
     both = monthly.select("customer_id", BATCH, "total_mrr", F.lit(None).cast(MONEY).alias("amount")).unionByName(
         overage.select("customer_id", BATCH, F.lit(None).cast("decimal(28,2)").alias("total_mrr"), F.col("amount").cast(MONEY).alias("amount"))
     )
@@ -140,9 +143,11 @@ def mrr_with_overage(monthly: DataFrame, overage: DataFrame, periods: int = 3) -
     )
     trailing = Window.partitionBy("customer_id").orderBy(BATCH).rangeBetween(-periods, -1)
     before = F.coalesce(F.sum("overage").over(trailing), F.lit(0))
+    nowhere = F.col("customer_id").isNull() & F.col(BATCH).isNull()
+    average = F.when(nowhere, F.col("overage").cast("double")).otherwise(ratio(before, F.lit(periods)))
     return (
-        per_period.withColumn("avg_overage", ratio(before, F.lit(periods)))
-        .filter("_billed")
+        per_period.withColumn("avg_overage", average)
+        .filter(F.col("_billed") | nowhere)
         .select(
             "customer_id", F.col(BATCH).alias("batch_id"), "base_mrr", "avg_overage",
             (F.col("base_mrr").cast("double") + F.col("avg_overage")).alias("mrr_with_overage"),

@@ -14,17 +14,21 @@ from ledgerline.operators.late import dedup_usage
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
 from ledgerline.plans import core, maintained, marts
 from ledgerline.plans.stage import stage, stage_or_quarantine
-from ledgerline.sources.raw import RawFile, discover, families, load_summary, paths_with_line_breaks, read_raw, read_rejects
+from ledgerline.sources.raw import RawFile, discover, load_summary, paths_with_line_breaks, read_lines, rows_per_file
 from ledgerline.sources.store import Store
 
 # How corrections name the entities.
 CORRECTED = {"customers": "customer", "subscriptions": "subscription", "invoices": "invoice", "payments": "payment"}
 
 
-def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] | None = None) -> DataFrame:
+def land(
+    spark: SparkSession, store: Store, drops: str, batches: Sequence[int] | None = None, multi_line: bool | None = None
+) -> DataFrame:
     """Load the drops into RAW, replacing the batches concerned; returns rows per file.
 
-    Lines that do not fit their header go to the layer ``rejects`` under the same name.
+    Lines that do not fit their header go to the layer ``rejects`` under the same name. Every file is
+    parsed once: rows and rejects are written together and counted on the way. Without
+    ``multi_line`` the texts are looked through before for quoted values that span lines.
 
     Loads of different batches do not depend on each other, so several run side by side
     and small ones do not leave the cluster idle.
@@ -36,15 +40,14 @@ def land(spark: SparkSession, store: Store, drops: str, batches: Sequence[int] |
         loads.setdefault((file.family, file.batch_id), []).append(file)
 
     paths = [p for f in files for p in f.paths]
-    spanning = paths_with_line_breaks(spark, paths) if paths else set()
+    spanning = multi_line if multi_line is not None else paths_with_line_breaks(spark, paths) if paths else set()
 
-    def load(target: tuple[str, int]) -> None:
-        store.write_batch(read_raw(spark, loads[target], multi_line=spanning), "raw", *target)
-        store.write_batch(read_rejects(spark, loads[target], multi_line=spanning), "rejects", *target)
+    def load(target: tuple[str, int]) -> list[tuple[RawFile, int]]:
+        lines = read_lines(spark, loads[target], multi_line=spanning)
+        return list(zip(loads[target], store.write_landing(lines, *target, rows_per_file(loads[target]))))
 
     with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(load, loads))
-    return load_summary(spark, {family: store.load("raw", family) for family in families(files)}, files)
+        return load_summary(spark, [count for counts in pool.map(load, loads) for count in counts])
 
 
 def staged(store: Store, raw: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:

@@ -297,14 +297,17 @@ def corrections(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def overage(spark: SparkSession, folder: str) -> DataFrame:
-    """Amounts billed above the included quantity, per order line, in the batch of the order."""
+    """Amounts billed above the included quantity, per order line, in the batch of the order.
+
+    A line whose order is unknown has neither customer nor batch.
+    """
     payer = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"),
         _year_batch("o_orderdate").alias(BATCH),
     )
     return (
         table(spark, folder, "lineitem").filter(F.col("l_quantity") > 40)
-        .join(payer, "l_orderkey")
+        .join(payer, "l_orderkey", "left")
         .select("customer_id", BATCH, _money("l_extendedprice").alias("amount"))
     )
 

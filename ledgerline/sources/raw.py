@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,8 @@ from ledgerline.operators.relational import union_aligned
 BATCH_FOLDER = r"batch_(\d+)"
 # A CSV, plain or in a compression Spark reads anywhere.
 CSV_NAME = r"(.*)\.csv(\.gz|\.bz2|\.deflate)?"
-# The line as it stands in the file, where it does not fit the header; why it was refused.
-LINE, REASON = "_line", "_reject_reason"
+# The line as it stands in the file, where it does not fit the header; why it was refused; 1 if so.
+LINE, REASON, REFUSED = "_line", "_reject_reason", "_refused"
 
 
 def _safe(stem: str) -> str:
@@ -63,7 +63,8 @@ def discover(spark: SparkSession, root: str, batches: Sequence[int] | None = Non
 
     A folder that is missing or holds no CSV contributes nothing. A folder named like a CSV
     holds its parts; one that is no CSV, and no marker (``_SUCCESS``, hidden files), raises: its
-    rows would be missing without a word. Works on any file system Spark can read; only names
+    rows would be missing without a word, and so does a CSV in a compression that is not read
+    everywhere. Works on any file system Spark can read; only names
     are listed.
     """
     jvm = spark.sparkContext._jvm
@@ -82,6 +83,8 @@ def discover(spark: SparkSession, root: str, batches: Sequence[int] | None = Non
         for entry in fs.listStatus(folder.getPath()):
             name = entry.getPath().getName()
             if not re.fullmatch(CSV_NAME, name):
+                if re.fullmatch(r"[^_.].*\.csv\.[^.]+", name, re.IGNORECASE):
+                    raise ValueError(f"a CSV in a compression that is not understood: {entry.getPath().toString()}")
                 continue
             parts = [p.getPath() for p in (fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry])]
             parts = [p for p in parts if not p.getName().startswith(("_", "."))]
@@ -137,29 +140,47 @@ def paths_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str
     return {r["path"] for r in lines.filter(odd % 2 == 1).select("path").distinct().collect()}
 
 
+def read_lines(
+    spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | set[str] | None = None
+) -> DataFrame:
+    """All lines of one file family from one scan: rows (``_refused`` 0) and rejects (1).
+
+    A line with more fields than its header is refused and kept as it stands, with the reason;
+    a shorter line is a row whose last columns are NULL. Sentinels become NULL.
+    """
+    rows = _read(spark, files, loaded_at, multi_line)
+    rows = rows.withColumn(REFUSED, _refused(rows).cast("int")).drop("_fields")
+    unfit = F.col(REFUSED) == 1
+    return null_sentinels(rows).withColumns({LINE: F.when(unfit, F.col(LINE)), REASON: F.when(unfit, F.lit("more fields than the header"))})
+
+
+def accepted(lines: DataFrame) -> DataFrame:
+    """The rows among the lines."""
+    return lines.filter(F.col(REFUSED) == 0).drop(LINE, REASON, REFUSED)
+
+
+def refused(lines: DataFrame) -> DataFrame:
+    """The rejects among the lines, with lineage and the reason. Rows and rejects add up to the lines."""
+    return lines.filter(F.col(REFUSED) == 1).select(LINE, REASON, BATCH, LOADED, FILENAME)
+
+
 def read_raw(
     spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | set[str] | None = None
 ) -> DataFrame:
     """The rows of one file family, without those :func:`read_rejects` returns."""
-    rows = _read(spark, files, loaded_at, multi_line)
-    return null_sentinels(rows.filter(~_refused(rows)).drop(LINE, "_fields"))
+    return accepted(read_lines(spark, files, loaded_at, multi_line))
 
 
 def read_rejects(
     spark: SparkSession, files: Iterable[RawFile], loaded_at: datetime | None = None, multi_line: bool | set[str] | None = None
 ) -> DataFrame:
-    """Lines with more fields than their header, as they stand, with lineage and the reason.
-
-    Rows and rejects add up to the lines of the files. A shorter line is a row whose last
-    columns are NULL.
-    """
-    rows = _read(spark, files, loaded_at, multi_line)
-    return rows.filter(_refused(rows)).select(LINE, F.lit("more fields than the header").alias(REASON), BATCH, LOADED, FILENAME)
+    """Lines with more fields than their header, as they stand, with lineage and the reason."""
+    return refused(read_lines(spark, files, loaded_at, multi_line))
 
 
 def _refused(rows: DataFrame):
     """More fields than the header: separators outside quoted values are counted in lines that do not fit."""
-    bare = F.regexp_replace(LINE, '"([^"]|"")*"', "")
+    bare = F.regexp_replace(LINE, '"[^"]*"', "")  # a doubled quote ends one match and begins the next
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return F.coalesce(fields > F.col("_fields"), F.lit(False))
 
@@ -220,14 +241,13 @@ def families(files: Iterable[RawFile]) -> dict[str, list[RawFile]]:
     return grouped
 
 
-def load_summary(spark: SparkSession, loaded: dict[str, DataFrame], files: Sequence[RawFile]) -> DataFrame:
+def rows_per_file(files: Sequence[RawFile]) -> dict[str, Column]:
+    """An aggregate per file of one family that counts its rows while they are written."""
+    return {
+        f"n{i}": F.count_if((F.col(REFUSED) == 0) & (F.col(FILENAME) == f.name) & (F.col(BATCH) == f.batch_id)) for i, f in enumerate(files)
+    }
+
+
+def load_summary(spark: SparkSession, counts: Sequence[tuple[RawFile, int]]) -> DataFrame:
     """Rows per loaded file; a file with only a header counts 0."""
-    counts = union_aligned([
-        df.groupBy(BATCH, FILENAME).agg(F.count(F.lit(1)).alias("rows")) for df in loaded.values()
-    ])
-    listing = spark.createDataFrame(
-        [(f.table, f.batch_id, f.name) for f in files], f"table string, {BATCH} int, {FILENAME} string"
-    )
-    return listing.join(counts, [BATCH, FILENAME], "left").select(
-        "table", BATCH, F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+    return spark.createDataFrame([(f.table, f.batch_id, n) for f, n in counts], f"table string, {BATCH} int, rows long")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contract import BATCH
 from ledgerline.operators.rowfilter import restrict_rows
+from ledgerline.sources.raw import REFUSED, accepted, refused
 
-LAYERS = ("raw", "rejects", "stage", "snapshots", "core", "mart", "ledger")
+LAYERS = ("landing", "raw", "rejects", "stage", "snapshots", "core", "mart", "ledger")
 
 
 @dataclass(frozen=True)
@@ -60,13 +61,29 @@ class Store:
             rows.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH).parquet(self.path(layer, name))
         )
-        for batch_id in set(batches) - set(seen.get["batches"]):
+        for batch_id in set(batches) - set(seen.get.get("batches") or ()):
             self.write_batch(df.limit(0), layer, name, batch_id)
 
+    def write_landing(self, lines: DataFrame, name: str, batch_id: int, counts: dict[str, Column]) -> list[int]:
+        """Replace the lines of one batch, rows and rejects side by side, in one write.
+
+        Returns the values of the aggregates, which are taken of the rows as they are written.
+        """
+        target = f"{self.path('landing', name)}/{BATCH}={batch_id}"
+        seen = Observation()
+        watched = lines.observe(seen, F.count(F.lit(1)).alias("lines"), *[c.alias(n) for n, c in counts.items()])
+        watched.drop(BATCH).write.mode("overwrite").partitionBy(REFUSED).parquet(target)
+        if not seen.get.get("lines"):  # nothing was written; the columns are kept all the same
+            lines.limit(0).drop(BATCH, REFUSED).write.mode("overwrite").parquet(f"{target}/{REFUSED}=0")
+        return [seen.get.get(n) or 0 for n in counts]
+
     def load(self, layer: str, name: str) -> DataFrame:
         """The dataset; columns that only some batches carry are merged in."""
         if layer == "stage":
             return self.spark.table(f"stage_{name}")
+        if layer in ("raw", "rejects") and not self.exists(layer, name) and self.exists("landing", name):
+            lines = self.spark.read.option("mergeSchema", True).parquet(self.path("landing", name))
+            return accepted(lines) if layer == "raw" else refused(lines)
         return self.spark.read.option("mergeSchema", layer == "raw").parquet(self.path(layer, name))
 
     def exists(self, layer: str, name: str) -> bool:

@@ -50,7 +50,7 @@ def publish(store: Store, df: DataFrame, name: str, batches: Iterable[int]) -> D
     seen = Observation()
     rows = df.filter(F.col(BATCH).isin(*batches)).observe(seen, F.collect_set(BATCH).alias("batches"))
     rows.hint("rebalance", BATCH).write.partitionBy(BATCH).parquet(place)
-    for batch_id in set(batches) - set(seen.get["batches"]):
+    for batch_id in set(batches) - set(seen.get.get("batches") or ()):
         df.limit(0).drop(BATCH).write.parquet(f"{place}/{BATCH}={batch_id}")
     if not spark.catalog.tableExists(table):
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != BATCH)

@@ -785,7 +785,10 @@ oracle("mrr_with_overage", "bmrr", """
         group by 1, 2, 3)
     select customer_id, cast(batch as bigint) as batch_id, cast(total_mrr as double) as base_mrr, avg_overage,
            cast(total_mrr as double) + avg_overage as mrr_with_overage
-    from summed""")
+    from summed
+    union all
+    select null, null, null, cast(sum(cast(l_extendedprice as decimal(18,2))) as double), null
+    from lineitem anti join orders on o_orderkey = l_orderkey where l_quantity > 40 having count(*) > 0""")
 
 oracle("paid_customers", "subs plan", f"""
     select {B}, count(distinct customer_id) as all_customers,

@@ -136,3 +136,11 @@ def test_digits_are_kept_or_refused(spark):
     assert [None if v is None else str(v.normalize()) for v in got] == ["12.345", "0.123456", "1.0000000001", None]
     with pytest.raises(Exception, match="too many digits"):
         df.select(columns.typed(F.col("t"), "number")).collect()
+
+
+def test_exponents_that_lose_digits_are_refused(spark):
+    """A number written with an exponent is kept only if all of it fits."""
+    given = ["1e-11", "1.5E-12", "1e-10", "2.5e3", "1E5", "1.23456789e2", "0e-30", "1.00000000001e0", "12345678901234567e-5", "1e40", "-3e-4"]
+    df = spark.createDataFrame([(t,) for t in given], "t string").coalesce(1)
+    got = [r[0] for r in df.select(columns.typed(F.col("t"), "money", strict=False)).collect()]
+    assert [None if g is None else float(g) for g in got] == [None, None, 1e-10, 2500.0, 100000.0, 123.456789, 0.0, None, None, None, -0.0003]

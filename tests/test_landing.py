@@ -8,6 +8,7 @@ from conftest import rows
 
 from ledgerline.contract import BATCH
 from ledgerline.operators.cleaning import null_sentinels
+from ledgerline.plans import warehouse
 from ledgerline.sources import raw
 from ledgerline.sources.store import Store
 
@@ -65,13 +66,38 @@ def test_line_breaks_inside_quotes(spark, drops):
     assert rows(raw.read_raw(spark, files), "customer_id", "note") == [("C1", 'two\nlines "quoted"'), ("C2", "one")]
 
 
-def test_summary_counts_empty_files(spark, drops):
-    files = raw.discover(spark, drops)
-    loaded = {name: raw.read_raw(spark, members) for name, members in raw.families(files).items()}
-    assert rows(raw.load_summary(spark, loaded, files), "table", "rows") == [
+def test_landing_parses_once_and_counts_on_the_way(spark, drops, tmp_path):
+    store = Store(spark, str(tmp_path / "w"))
+    assert rows(warehouse.land(spark, store, drops), "table", "rows") == [
         ("batch_1_customers", 3), ("batch_2_customers", 2), ("batch_2_late_usage_jan", 2), ("batch_3_empty", 0),
         ("batch_3_parts", 2),
     ]
+    assert store.load("raw", "empty").columns[:2] == ["customer_id", "email"] and store.load("raw", "empty").count() == 0
+    assert store.load("rejects", "customers").count() == 0 and store.load("raw", "customers").count() == 5
+    lines = raw.read_lines(spark, raw.discover(spark, drops, [1]), multi_line=False)
+    assert lines._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    # A batch sent again without its rejects has none left.
+    write(tmp_path / "d" / "batch_1", "t.csv", "a", "1", "2,3")
+    warehouse.land(spark, store, str(tmp_path / "d"))
+    assert (store.load("raw", "t").count(), store.load("rejects", "t").count()) == (1, 1)
+    write(tmp_path / "d" / "batch_1", "t.csv", "a", "1", "2")
+    warehouse.land(spark, store, str(tmp_path / "d"), multi_line=False)
+    assert (store.load("raw", "t").count(), store.load("rejects", "t").count()) == (2, 0)
+
+
+def test_short_line_with_a_long_quoted_value(spark, tmp_path):
+    """The pattern for quoted values does not recurse, however long they are."""
+    write(tmp_path / "batch_1", "t.csv", "a,b,c", f'1,"{"x, " * 30_000}""end"', f'2,"{"y" * 100_000}",3,"4,5"')
+    files = raw.discover(spark, str(tmp_path))
+    assert [(r["a"], len(r["b"]), r["c"]) for r in raw.read_raw(spark, files).collect()] == [("1", 90_004, None)]
+    assert [len(r["_line"]) for r in raw.read_rejects(spark, files).collect()] == [100_012]
+
+
+def test_unknown_compression_is_refused(spark, tmp_path):
+    write(tmp_path / "batch_1", "plans.csv", "a", "1")
+    (tmp_path / "batch_1" / "plans.csv.zst").write_bytes(b"?")
+    with pytest.raises(ValueError, match="compression"):
+        raw.discover(spark, str(tmp_path))
 
 
 def test_sentinels_match_exactly(spark):

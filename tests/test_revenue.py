@@ -196,6 +196,14 @@ def test_overage_of_the_three_periods_before(spark, subscriptions):
     assert rows(df, "batch_id", "base_mrr", "avg_overage") == [(1, D(10), 0.0), (2, D(15), 4.0), (3, D(15), 4.0)]
 
 
+def test_overage_without_customer_is_a_row_of_its_own(spark, subscriptions):
+    overage = spark.createDataFrame([(None, None, D(9)), ("grow", None, D(3)), (None, 2, D(1)), ("grow", 1, D(6))], f"customer_id string, {BATCH} int, amount decimal(18,2)")
+    monthly = core.batch_mrr(subscriptions)
+    found = definitions.mrr_with_overage(monthly, overage)
+    assert rows(found.filter("batch_id is null")) == [(None, None, None, 13.0, None)]
+    assert rows(found.filter("batch_id is not null")) == rows(definitions.mrr_with_overage(monthly, overage.filter(f"customer_id = 'grow' and {BATCH} = 1")))
+
+
 def test_paid_and_silent_customers(spark, subscriptions, plans):
     assert rows(definitions.paid_customers(subscriptions, plans).filter(f"{BATCH} = 3")) == [(3, 6, 4)]
     usage = spark.createDataFrame([("grow", "2024-06-30"), ("two", "2024-04-01"), ("shrink", "2024-04-02")], "customer_id string, event_date string")
