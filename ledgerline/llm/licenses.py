@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,8 +67,12 @@ def _plain(text: str) -> str:
     return " ".join(x for x in lines if x and not x.startswith("copyright ") and x not in DROPPED)
 
 
-def _catalogue() -> tuple[tuple[str, str], ...]:
-    """One entry per licence and canonical form; those above come last and stay as they are."""
+@cache
+def catalogue() -> tuple[tuple[str, str], ...]:
+    """(name, text): one entry per licence and canonical form; those above come last and stay as they are.
+
+    Made when it is first asked for.
+    """
     rows = [*_SHORT, *license_catalogue.texts(), *((f"{name} notice", text) for name, text in license_catalogue.notices())]
     distinct: dict[tuple[str, str], tuple[str, str]] = {}
     for name, text in rows:
@@ -75,9 +80,6 @@ def _catalogue() -> tuple[tuple[str, str], ...]:
     return (*[row for row in distinct.values() if row not in _SHORT], *_SHORT)
 
 
-KNOWN = _catalogue()
-
-
 def canonical_lines(text: Column) -> Column:
     """Lines of the canonical form of a text, in order; the whole form is the lines joined by a blank.
 
@@ -103,9 +105,9 @@ def digest(canonical: Column) -> Column:
     return F.sha2(canonical.cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
     """digest, license of the known texts, by the very expressions documents go through."""
-    texts = spark.createDataFrame(list(known), "license string, text string")
+    texts = spark.createDataFrame(list(known or catalogue()), "license string, text string")
     return texts.select(digest(F.array_join(canonical_lines(F.col("text")), " ")).alias("digest"), "license")
 
 
@@ -145,7 +147,8 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _oracle() -> str:
+@cache
+def oracle() -> str:
     """The same in SQL for DuckDB."""
     def lines(text: str) -> str:
         plain = f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
@@ -158,7 +161,7 @@ def _oracle() -> str:
             f"lambda x: x <> '' and not starts_with(x, 'copyright ') and x not in ({dropped}))"
         )
 
-    known = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in KNOWN)
+    known = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in catalogue())
     return f"""
 with known as (
     select license, sha256(coalesce(array_to_string({lines('text')}, ' '), '')) as digest from (values {known}) as k(license, text)
@@ -176,6 +179,3 @@ select w.doc_id, w.digest,
     coalesce(n.notices, '') as notices
 from whole w left join notices n on n.doc_id = w.doc_id
 """
-
-
-ORACLE = _oracle()

@@ -7,7 +7,7 @@ from compare import connect, differences
 
 from ledgerline.llm import licenses
 
-MIT = dict(licenses.KNOWN)["MIT"]
+MIT = dict(licenses.catalogue())["MIT"]
 
 
 def test_variants_have_the_same_digest(spark):
@@ -34,7 +34,7 @@ def test_odd_rows(spark, odd, none):
 
 def test_query_equals_its_sql(spark, tables):
     df = licenses.op5_licenses(spark, tables)
-    assert differences(df.collect(), df.columns, connect(tables), licenses.ORACLE) == ""
+    assert differences(df.collect(), df.columns, connect(tables), licenses.oracle()) == ""
     assert df.filter("notices <> ''").count() > 0
 
 
@@ -77,5 +77,5 @@ def test_licences_the_given_documents_do_not_hold(spark):
 
 def test_no_entry_repeats_another(spark):
     known = licenses.known_digests(spark)
-    assert known.distinct().count() == known.count() == len(licenses.KNOWN)
+    assert known.distinct().count() == known.count() == len(licenses.catalogue())
     assert known.groupBy("digest").count().filter("count > 1").isEmpty()
