@@ -8,6 +8,7 @@ over whole texts, and as cheap as the few listed words of a text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ FIT_BYTES = 10_000
 CONTEXTS, CONTEXTS_PER_TEXT = 4, 0.01
 RATIO = 12.0
 FOLDS = 5
+# Cells (texts times listed words) whose messages move together; a text with more listed words than LONG runs alone.
+CELLS, LONG = 1 << 20, 4096
 
 # Everything but letters separates words; letters beyond ASCII are bytes from 0x80 on.
 _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -174,8 +177,8 @@ def _logit(p: float) -> float:
 def document_marginals(batch: list[str], model: ToxicModel) -> list[tuple[float, list[tuple[int, float]]]]:
     """Per text: the chance that a listed word of it is toxic, and (word position, marginal) of each.
 
-    The forward and backward messages of all texts of the batch move together, one listed
-    word a step.
+    The forward and backward messages of texts of like length move together, one listed word a
+    step; a very long text runs alone.
     """
     known = {w: i for i, w in enumerate(model.weights)}
     weight = np.array([*model.weights.values(), 0.0])
@@ -188,22 +191,78 @@ def document_marginals(batch: list[str], model: ToxicModel) -> list[tuple[float,
         lengths.append(len(words))
     result: list = [(0.0, [])] * len(batch)
     live = sorted((i for i in range(len(batch)) if len(places[i][0])), key=lambda i: -len(places[i][0]))
-    if not live:
-        return result
-    most = len(places[live[0]][0])
-    n = len(live)
-    at = np.zeros((n, most), np.int64)
-    emit = np.zeros((n, most))
-    filled = np.array([len(places[i][0]) for i in live])
-    for row, i in enumerate(live):
-        at[row, :filled[row]], emit[row, :filled[row]] = places[i][0], weight[places[i][1]]
+    while live:
+        # Texts of like length together: memory follows CELLS, not the longest text times all others.
+        most = len(places[live[0]][0])
+        size = 1 if most > LONG else max(1, CELLS // most)
+        group, live = live[:size], live[size:]
+        work = _one_chain if most > LONG else _many_chains
+        for i, marginal in zip(group, work([places[i][0] for i in group], [weight[places[i][1]] for i in group], [lengths[i] for i in group], model)):
+            chance = 1 - float(np.exp(np.log1p(-np.minimum(marginal, 1 - 1e-12)).sum()))
+            result[i] = (chance, list(zip(places[i][0].tolist(), marginal.tolist())))
+    return result
+
+
+def _crossing(model: ToxicModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Transitions; eigenvectors of a step into an unlisted word, their inverse, and the fall of the smaller value."""
     psi = np.exp(np.array(model.transitions))
-    run = psi * np.array([1.0, np.exp(model.other)])  # one step into an unlisted word
+    run = psi * np.array([1.0, np.exp(model.other)])
     values, vectors = np.linalg.eig(run)
     order = np.argsort(-values.real)
     values, vectors = values.real[order], vectors.real[:, order]
-    inverse = np.linalg.inv(vectors)
-    fall = values[1] / values[0]
+    return psi, vectors, np.linalg.inv(vectors), float(values[1] / values[0])
+
+
+def _one_chain(at: list[np.ndarray], emit: list[np.ndarray], words: list[int], model: ToxicModel) -> list[np.ndarray]:
+    """Marginals of a single long text, word by word in plain numbers: memory in proportion to its listed words."""
+    psi, vectors, inverse, fall = _crossing(model)
+    (p00, p01), (p10, p11) = psi.tolist()
+    (v00, v01), (v10, v11) = vectors.tolist()
+    (i00, i01), (i10, i11) = inverse.tolist()
+
+    def forward(a: float, b: float, steps: int) -> tuple[float, float]:
+        x, y = a * v00 + b * v10, (a * v01 + b * v11) * fall ** steps
+        a, b = max(x * i00 + y * i10, 0.0), max(x * i01 + y * i11, 0.0)
+        return a / (a + b), b / (a + b)
+
+    def backward(a: float, b: float, steps: int) -> tuple[float, float]:
+        x, y = a * i00 + b * i01, (a * i10 + b * i11) * fall ** steps
+        a, b = max(x * v00 + y * v01, 0.0), max(x * v10 + y * v11, 0.0)
+        return a / (a + b), b / (a + b)
+
+    places, ups = at[0].tolist(), np.exp(emit[0]).tolist()
+    alpha, before = np.zeros((len(places), 2)), -1
+    first = (1.0 / (1.0 + math.exp(model.other)), math.exp(model.other) / (1.0 + math.exp(model.other)))
+    a, b = first
+    for k, (place, up) in enumerate(zip(places, ups)):
+        if k == 0 and place == 0:
+            a, b = 1.0, up
+        else:
+            a, b = forward(a, b, place - before - 1 if k else place - 1)
+            a, b = a * p00 + b * p10, (a * p01 + b * p11) * up
+        a, b = a / (a + b), b / (a + b)
+        alpha[k] = a, b
+        before = place
+    beta, after = np.zeros((len(places), 2)), words[0]
+    a, b = 1.0, 1.0
+    for k in range(len(places) - 1, -1, -1):
+        a, b = backward(a, b, after - places[k] - 1)
+        beta[k] = a, b
+        after = places[k]
+        b *= ups[k]
+        a, b = a * p00 + b * p01, a * p10 + b * p11
+    both = alpha * beta
+    return [both[:, 1] / both.sum(1)]
+
+
+def _many_chains(at_: list[np.ndarray], emit_: list[np.ndarray], words_: list[int], model: ToxicModel) -> list[np.ndarray]:
+    """Marginals of several texts, ordered by falling number of listed words; their messages move together."""
+    most, n = len(at_[0]), len(at_)
+    at, emit = np.zeros((n, most), np.int64), np.zeros((n, most))
+    filled = np.array([len(x) for x in at_])
+    for row in range(n):
+        at[row, :filled[row]], emit[row, :filled[row]] = at_[row], emit_[row]
+    psi, vectors, inverse, fall = _crossing(model)
 
     def cross(message: np.ndarray, steps: np.ndarray, side: str) -> np.ndarray:
         """A message over ``steps`` unlisted words, scaled to sum 1."""
@@ -225,7 +284,7 @@ def document_marginals(batch: list[str], model: ToxicModel) -> list[tuple[float,
             into = cross(alpha[:m, k - 1], at[:m, k] - at[:m, k - 1] - 1, "forward") @ psi
         now = into * up
         alpha[:m, k] = now / now.sum(1, keepdims=True)
-    words = np.array([lengths[i] for i in live])
+    words = np.array(words_)
     beta = np.ones((n, 2))
     marginal = np.zeros((n, most))
     for k in range(most - 1, -1, -1):
@@ -240,10 +299,7 @@ def document_marginals(batch: list[str], model: ToxicModel) -> list[tuple[float,
         beta[:m] = cross(into, after, "backward")
         both = alpha[:m, k] * beta[:m]
         marginal[:m, k] = both[:, 1] / both.sum(1)
-    chance = 1 - np.exp(np.log1p(-np.minimum(marginal, 1 - 1e-12)).sum(1))
-    for row, i in enumerate(live):
-        result[i] = (float(chance[row]), list(zip(at[row, :filled[row]].tolist(), marginal[row, :filled[row]].tolist())))
-    return result
+    return [marginal[row, :filled[row]] for row in range(n)]
 
 
 def calibrated(chance: float, model: ToxicModel) -> float:
@@ -286,8 +342,9 @@ def toxicity(documents: DataFrame, model: ToxicModel, threshold: float = 0.5) ->
     """doc_id, score, spans of every row: spans are (start, end, marginal) of toxic words.
 
     start and end count characters. NULL text is empty text; a text without listed words
-    gets the score of a text in which nothing is toxic. Repeated rows are scored each; a
-    missing doc_id stays NULL. Only doc_id and text are read.
+    gets the score of a text in which nothing is toxic. Texts are scored whole, however long, with
+    memory in proportion to the text. Repeated rows are scored each; a missing doc_id stays NULL.
+    Only doc_id and text are read. An empty table gives no rows.
     """
     schema = "doc_id long, score double, spans array<struct<start: int, end: int, marginal: double>>"
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
@@ -319,7 +376,10 @@ def _offsets(text: str, hot: dict[int, float]) -> list[dict]:
 
 
 def reject_toxic(documents: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
-    """The rows scored below ``threshold``, with all their columns, whatever their names."""
+    """The rows scored below ``threshold``, with all their columns, whatever their names.
+
+    NULL text is scored as empty text; rows without doc_id and repeated rows are judged each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             marks = document_marginals(texts(batch), model)
@@ -335,4 +395,5 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("spans").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("offsets"),
     )

@@ -1,5 +1,6 @@
 """Toxicity and quality: the algebra against plain sums, and held-out accuracy."""
 
+import tracemalloc
 from itertools import product
 
 import numpy as np
@@ -80,6 +81,42 @@ def test_toxic_spans_name_the_words(spark):
     assert [text[s.start:s.end] for s in one.spans] == ["VILLAIN", "villain"] and one.score > 0.5 > two.score and two.spans == []
 
 
+LISTED = toxicity.ToxicModel({b"bad": 2.0, b"worse": 3.5, b"fine": -1.0}, -1.5, ((0.3, -0.2), (-0.4, 0.5)), 1.0, 0.0)
+
+
+@pytest.mark.parametrize("long, cells", [(0, 1 << 20), (10**9, 1), (5, 12)])
+def test_groups_and_long_texts_change_no_marginal(monkeypatch, long, cells):
+    """Texts moved together, in small groups and one by one in plain numbers give the same."""
+    mix = np.random.default_rng(1)
+    texts = [" ".join(mix.choice(["bad", "worse", "fine", "x", "y"], mix.integers(0, 40))) for _ in range(60)] + ["bad", "x bad", "", "x"]
+    whole = toxicity.document_marginals(texts, LISTED)
+    monkeypatch.setattr(toxicity, "LONG", long)
+    monkeypatch.setattr(toxicity, "CELLS", cells)
+    for (a, one), (b, two) in zip(whole, toxicity.document_marginals(texts, LISTED)):
+        assert a == pytest.approx(b) and [i for i, _ in one] == [i for i, _ in two]
+        assert [p for _, p in one] == pytest.approx([p for _, p in two])
+
+
+def test_one_long_toxic_text_beside_short_ones():
+    """Memory follows the text, not its listed words times all other texts."""
+    texts = ["bad word " * 150_000] + ["x bad"] * 1000
+    tracemalloc.start()
+    try:
+        found = toxicity.document_marginals(texts, LISTED)
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()
+    assert len(found[0][1]) == 150_000 and len(found[5][1]) == 1
+
+
+def test_toxic_offsets_of_the_query(spark, tables):
+    folder = tables.replace("sf0.001", "sf0.01")
+    documents = {r.doc_id: r.text for r in table(spark, folder, "documents").collect()}
+    found = toxicity.op3_toxicity(spark, folder).collect()
+    hot = [(r, [tuple(map(int, x.split(":"))) for x in r.offsets.split(",")]) for r in found if r.n_spans]
+    assert hot and all(len(x) == r.n_spans and all(documents[r.doc_id][a:b].strip() for a, b in x) for r, x in hot)
+
+
 def test_quality_on_held_out_rows(spark, tables):
     folder = tables.replace("sf0.001", "sf0.01")
     found = quality.op6_quality(spark, folder).join(table(spark, folder, "labels"), "doc_id").filter("held_out")
