@@ -11,7 +11,7 @@ to the next sampled position; the words inside any occurrence are merged to span
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from itertools import chain, repeat
@@ -30,7 +30,8 @@ WINDOW = 10
 SAMPLE = 8
 # Text of a shard, and benchmark text that is sent to the executors at a time.
 SHARD_BYTES = 4 << 20
-BLOCK_BYTES = 32 << 20
+# (Windows take up to 80 bytes a word while they are sorted, the words of the vocabulary as much again.)
+BLOCK_BYTES = 8 << 20
 
 # Digits, letters and everything beyond ASCII; A-Z count as a-z.
 _WORDS = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -43,26 +44,47 @@ def words_of(text: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Phrases:
-    """Distinct windows as rows of word numbers (padded with 0 in front), and whose they are."""
+    """Distinct windows as rows of word numbers (padded with 0 in front), and whose they are.
+
+    The items of window ``i`` are ``owners[starts[i]:starts[i + 1]]``. All but the vocabulary are
+    arrays, so a block of the benchmark takes a few times its own size.
+    """
 
     vocabulary: dict[bytes, int]
     symbols: np.ndarray
     lengths: np.ndarray
-    items: list[list[int]]
+    starts: np.ndarray
+    owners: np.ndarray
+
+    def items(self, window: int) -> list[int]:
+        return self.owners[self.starts[window]:self.starts[window + 1]].tolist()
 
 
-def phrases(rows: list[tuple[int, bytes]], window: int = WINDOW) -> Phrases:
+def phrases(rows: Iterable[tuple[int, bytes]], window: int = WINDOW) -> Phrases:
     """Windows of the items (id, text); an item shorter than a window is one."""
     vocabulary: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set[int]] = {}
+    texts_: list[np.ndarray] = []
+    ids: list[int] = []
     for item, text in rows:
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-        for at in range(max(1, len(ids) - window + 1) if ids else 0):
-            owners.setdefault(tuple(ids[at:at + window]), set()).add(item)
-    symbols = np.zeros((len(owners), window), np.int64)
-    for row, ids in enumerate(owners):
-        symbols[row, window - len(ids):] = ids
-    return Phrases(vocabulary, symbols, (symbols > 0).sum(1), [sorted(x) for x in owners.values()])
+        words = words_of(text)
+        if words:
+            numbers = np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words), np.int32, len(words))
+            # In front of a short item stands as much nothing as it lacks.
+            texts_.append(np.concatenate((np.zeros(max(0, window - len(words)), np.int32), numbers)))
+            ids.append(item)
+    if not texts_:
+        return Phrases(vocabulary, np.zeros((0, window), np.int32), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64))
+    counts = np.array([len(t) - window + 1 for t in texts_])
+    flat = np.concatenate(texts_)
+    texts_.clear()
+    ends = np.cumsum(counts + window - 1)
+    first = np.repeat(ends - (counts + window - 1) - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, window)[first])
+    keys = windows.view(np.dtype((np.void, windows.itemsize * window))).ravel()
+    _, at, number = np.unique(keys, return_index=True, return_inverse=True)
+    pairs = np.unique(np.stack([number.ravel(), np.repeat(np.array(ids, np.int64), counts)], axis=1), axis=0)
+    symbols = windows[at]
+    return Phrases(vocabulary, symbols, (symbols > 0).sum(1), np.searchsorted(pairs[:, 0], np.arange(len(at) + 1)), pairs[:, 1].copy())
 
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
@@ -224,7 +246,7 @@ def search(documents: list[bytes], wanted: Phrases) -> list[Found]:
         result[doc].spans.append((a - int(first[doc]), b - int(first[doc])))
     pairs = np.unique(np.searchsorted(ends, start, "right") * len(wanted.lengths) + phrase)
     for doc, one in zip((pairs // len(wanted.lengths)).tolist(), (pairs % len(wanted.lengths)).tolist()):
-        result[doc].items += wanted.items[one]
+        result[doc].items += wanted.items(one)
     for found in result:
         found.items = sorted(set(found.items))
     return result
@@ -247,7 +269,7 @@ def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[Dat
 
 
 def _wanted(block: DataFrame, window: int) -> Phrases:
-    return phrases([(r["item_id"], r["text"].encode()) for r in block.collect()], window)
+    return phrases(((r["item_id"], r["text"].encode()) for r in block.toLocalIterator()), window)
 
 
 def _found(documents: DataFrame, key: str, block: DataFrame, window: int) -> DataFrame:

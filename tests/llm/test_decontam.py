@@ -1,6 +1,8 @@
 """The index against plain search."""
 
+import random
 import re
+import tracemalloc
 
 import numpy as np
 from hypothesis import given, settings
@@ -117,3 +119,25 @@ def test_odd_rows(spark, odd, none):
     assert decontam.remove_passages(odd, items).columns == odd.columns and decontam.remove_passages(odd, items).count() == odd.count()
     assert decontam.find_passages(none, items).count() == 0
     assert all(not r.spans for r in decontam.find_passages(odd, items.filter("false")).collect())
+
+
+def test_windows_of_a_large_block_are_arrays():
+    """Eight megabytes of benchmark with few words in common: a bounded block in the driver."""
+    mix = random.Random(8)
+    rows_ = [(i, " ".join(f"{mix.randrange(16**5):05x}" for _ in range(400)).encode()) for i in range(800)]
+    size = sum(len(t) for _, t in rows_)
+    tracemalloc.start()
+    try:
+        wanted = decontam.phrases(rows_)
+        assert tracemalloc.get_traced_memory()[1] < 60 * size
+    finally:
+        tracemalloc.stop()
+    assert len(wanted.lengths) == 800 * 391 and wanted.items(0)[0] in range(800)
+
+
+def test_windows_and_their_items():
+    wanted = decontam.phrases([(3, b"a b c d"), (1, b"b c d"), (2, b""), (4, b"C D"), (5, b"c d"), (3, b"a b c d")], 3)
+    number = {v: k for k, v in wanted.vocabulary.items()}
+    found = {tuple(number.get(x, b"") for x in row): wanted.items(i) for i, row in enumerate(wanted.symbols.tolist())}
+    assert found == {(b"a", b"b", b"c"): [3], (b"b", b"c", b"d"): [1, 3], (b"", b"c", b"d"): [4, 5]}
+    assert wanted.lengths.tolist() == [3 if b"" not in w else 2 for w in found]
