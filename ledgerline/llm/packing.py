@@ -1,9 +1,9 @@
 """Documents packed into sequences of a fixed length by patterns of lengths.
 
 Only the histogram of piece lengths decides the plan: patterns of two or three lengths that
-fill a sequence exactly are fitted to it by non-negative least squares, their repeat counts
-rounded, and what is left is packed best-fit by descending length, many equal sequences at a
-time. The plan has as many rows as different patterns, however many documents there are. A
+fill a sequence exactly are fitted to it by non-negative least squares, generated as the fit
+needs them, their repeat counts rounded down, and what is left is packed best-fit by descending
+length, many equal sequences at a time. The plan has as many rows as different patterns, however many documents there are. A
 piece finds its place from its length and its number among the pieces of that length.
 """
 
@@ -26,50 +26,103 @@ from ledgerline.operators.relational import same_key
 
 LENGTH = 2048
 END = 0
-# Patterns that take part in the fit, and steps of it. What they miss, the residual packs.
-PATTERNS = 8192
-STEPS = 400
+# Rounds in which patterns are added, and steps of the fit in each; it ends before when no pattern would help.
+ROUNDS, STEPS = 24, 60
 
 
-def patterns(present: np.ndarray, length: int, limit: int = PATTERNS) -> np.ndarray:
-    """Pairs and triples of present lengths that fill a sequence; rows (a, b, c), c = 0 for pairs.
+def pairs_of(present: np.ndarray, length: int) -> np.ndarray:
+    """Pairs of present lengths that fill a sequence, as rows (a, b, 0)."""
+    there = np.zeros(length + 1, bool)
+    there[present] = True
+    low = present[present * 2 <= length]
+    low = low[there[length - low]]
+    return np.stack([low, length - low, np.zeros_like(low)], axis=1)
+
 
-    All pairs; of the triples an evenly spread choice where there are more than ``limit``.
+def best_triples(present: np.ndarray, length: int, worth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every smallest length the triple (a, b, c) that fills a sequence and is worth most; and its worth.
+
+    All triples of present lengths are looked at, by the sum of what their lengths are worth.
     """
     there = np.zeros(length + 1, bool)
     there[present] = True
-    low = present[present * 2 <= length]
-    pairs = low[there[length - low]]
-    rows = [np.stack([pairs, length - pairs, np.zeros_like(pairs)], axis=1)]
-    for a in present[present * 3 <= length]:
-        b = present[(present >= a) & (present * 2 <= length - a)]
+    rows, gains = [], []
+    for a in present[present * 3 <= length].tolist():
+        b = present[np.searchsorted(present, a):np.searchsorted(present, (length - a) // 2, "right")]
         b = b[there[length - a - b]]
-        rows.append(np.stack([np.full_like(b, a), b, length - a - b], axis=1))
-    triples = np.concatenate(rows[1:]) if len(rows) > 1 else np.zeros((0, 3), present.dtype)
-    if len(triples) > limit:
-        triples = triples[np.linspace(0, len(triples) - 1, limit).astype(int)]
-    return np.concatenate([rows[0], triples])
+        if len(b):
+            gain = worth[a] + worth[b] + worth[length - a - b]
+            at = int(gain.argmax())
+            rows.append((a, int(b[at]), length - a - int(b[at])))
+            gains.append(float(gain[at]))
+    return np.array(rows, np.int64).reshape(-1, 3), np.array(gains)
+
+
+def made(shapes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Pieces of each length that the patterns hold, repeated ``counts`` times."""
+    return np.bincount(shapes.ravel(), weights=np.repeat(counts, 3) * (shapes.ravel() > 0), minlength=size)
 
 
-def fit_counts(shapes: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Repeat counts >= 0 whose sums of lengths come closest to the histogram (least squares).
+def fit_counts(
+    shapes: np.ndarray, histogram: np.ndarray, weights: np.ndarray, start: np.ndarray | None = None, steps: int = STEPS
+) -> np.ndarray:
+    """Repeat counts >= 0 whose sums of lengths come closest to the histogram (weighted least squares).
 
-    Multiplicative steps keep counts non-negative and never worsen the fit.
+    Projected gradient steps with momentum, restarted whenever the fit gets worse.
     """
     target = histogram.astype(float)
     real = (shapes > 0).astype(float)
 
-    def spread(values: np.ndarray) -> np.ndarray:
-        return (values[shapes] * real).sum(1)
+    def slope(counts: np.ndarray) -> tuple[float, np.ndarray]:
+        rest = made(shapes, counts, len(target)) - target
+        return float((weights * rest) @ rest), ((weights * rest)[shapes] * real).sum(1)
 
-    counts = np.full(len(shapes), target.sum() / max(1.0, real.sum()))
-    aim = spread(target)
+    # The largest eigenvalue of the normal equations is at most their largest row sum.
+    rows = ((weights * made(shapes, np.ones(len(shapes)), len(target)))[shapes] * real).sum(1)
+    rate = 1 / max(1e-9, float(rows.max(initial=1e-9)))
+    counts = np.zeros(len(shapes)) if start is None else start
+    ahead, momentum, before = counts, 1.0, np.inf
     for _ in range(steps):
-        made = np.bincount(shapes.ravel(), weights=(counts[:, None] * real).ravel(), minlength=len(target))
-        counts *= aim / np.maximum(spread(made), 1e-12)
+        error, gradient = slope(ahead)
+        if error > before:
+            ahead, momentum = counts, 1.0
+            error, gradient = slope(ahead)
+        before = error
+        now = np.maximum(ahead - rate * gradient, 0.0)
+        following = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
+        ahead = now + (momentum - 1) / following * (now - counts)
+        counts, momentum = now, following
+        ahead = np.maximum(ahead, 0.0)
     return counts
 
 
+def fit_patterns(histogram: np.ndarray, length: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns of two or three present lengths, and repeat counts fitted to the histogram.
+
+    Patterns are generated as they are needed: all pairs are there from the beginning; each round
+    adds the triples that the lengths still short would gain most from, until none gains. So
+    every triple takes part, though few are ever held. A length counts by its square: what is
+    left over of the long ones costs most.
+    """
+    present = np.flatnonzero(histogram)
+    weights = (np.arange(len(histogram)) / length) ** 2
+    shapes = pairs_of(present, length)
+    counts = fit_counts(shapes, histogram, weights) if len(shapes) else np.zeros(0)
+    for _ in range(rounds):
+        short = weights * (histogram - made(shapes, counts, len(histogram)))
+        new, gain = best_triples(present, length, short)
+        new = new[gain > 0.05]
+        fresh = np.unique(np.concatenate([shapes, new]), axis=0, return_index=True)[1]
+        fresh = fresh[fresh >= len(shapes)] - len(shapes)
+        if not len(fresh):
+            break
+        shapes = np.concatenate([shapes, new[fresh]])
+        counts = fit_counts(shapes, histogram, weights, np.concatenate([counts, np.zeros(len(fresh))]))
+        used = (counts > 1e-3) | (shapes[:, 2] == 0)
+        shapes, counts = shapes[used], counts[used]
+    return shapes, counts
+
+
 def best_fit(left: np.ndarray, length: int) -> list[tuple[tuple[int, ...], int]]:
     """Best-fit by descending length over a histogram: (lengths of a sequence, how many such)."""
     rooms: list[int] = []  # sizes of the gaps of open sequences, ascending
@@ -113,28 +166,27 @@ def best_fit(left: np.ndarray, length: int) -> list[tuple[tuple[int, ...], int]]
 
 
 def plan(histogram: np.ndarray, length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such) for a histogram over 0..length; uses up all of it."""
+    """(lengths of a sequence, how many such) for a histogram over 0..length; uses up all of it.
+
+    Never more sequences than best-fit alone makes: where it makes fewer, its plan is taken.
+    """
     left = histogram.astype(np.int64).copy()
     left[0] = 0
+    whole = [((length,), int(left[length]))] if left[length] else []
+    left[length] = 0
+    plain = best_fit(left, length)
+    shapes, counts = fit_patterns(left, length)
     result = []
-    if left[length]:
-        result.append(((length,), int(left[length])))
-        left[length] = 0
-    present = np.flatnonzero(left)
-    shapes = patterns(present, length) if len(present) else np.zeros((0, 3), np.int64)
-    if len(shapes):
-        counts = np.rint(fit_counts(shapes, left)).astype(np.int64)
-        for row in np.argsort(-counts, kind="stable").tolist():
-            if counts[row] <= 0:
-                break
-            shape = tuple(int(x) for x in shapes[row][::-1] if x)
-            most = min(int(left[s]) // shape.count(s) for s in shape)
-            took = min(int(counts[row]), most)
-            if took > 0:
-                for s in shape:
-                    left[s] -= took
-                result.append((shape, took))
-    return result + best_fit(left, length)
+    for row in np.argsort(-counts, kind="stable").tolist():
+        shape = tuple(int(x) for x in sorted(shapes[row], reverse=True) if x)
+        most = min(int(left[s]) // shape.count(s) for s in shape)
+        took = min(int(counts[row]), most)
+        if took > 0:
+            for s in shape:
+                left[s] -= took
+            result.append((shape, took))
+    result += best_fit(left, length)
+    return whole + min(result, plain, key=lambda planned: sum(n for _, n in planned))
 
 
 def places(planned: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:

@@ -3,6 +3,7 @@
 import random
 import tracemalloc
 import zlib
+from itertools import product
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -165,19 +166,51 @@ def test_plan_uses_every_piece_once(counts):
         for size in shape:
             used[size] += n
     assert (used == histogram).all()
-    plain = sum(n for _, n in packing.best_fit(histogram, 64))
-    assert sum(n for _, n in planned) <= 1.1 * plain + 2
+    histogram[0] = 0
+    assert sum(n for _, n in planned) <= sum(n for _, n in packing.best_fit(histogram, 64))
+
+
+def every_pattern(length):
+    return np.array([(a, b, length - a - b) for a in range(1, length) for b in range(a, length) if b <= length - a - b]
+                    + [(a, length - a, 0) for a in range(1, length // 2 + 1)])
 
 
 def test_pattern_fit_reproduces_a_mixture():
-    shapes = packing.patterns(np.arange(1, 40), 40)
-    assert (shapes.sum(1) == 40).all()
     wanted = np.zeros(41, np.int64)
-    for shape in shapes[::7]:
+    for shape in every_pattern(40)[::7]:
         for size in shape[shape > 0]:
             wanted[size] += 50
-    made = np.bincount(shapes.ravel(), weights=np.repeat(packing.fit_counts(shapes, wanted), 3), minlength=41)
-    assert np.abs(made - wanted)[1:].sum() < 0.02 * wanted.sum()
+    shapes, counts = packing.fit_patterns(wanted, 40)
+    assert (shapes.sum(1) == 40).all() and (counts >= 0).all()
+    sizes = np.arange(41)  # in tokens
+    assert np.abs(np.where(sizes, packing.made(shapes, counts, 41), 0) - wanted) @ sizes < 0.02 * (wanted @ sizes)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(0, 10**6))
+def test_fit_is_that_of_an_exact_solver(seed):
+    """Non-negative least squares by trying every set of patterns that may repeat."""
+    mix = np.random.default_rng(seed)
+    shapes = every_pattern(9)[mix.choice(len(every_pattern(9)), 6, replace=False)]
+    wanted = np.concatenate(([0], mix.integers(0, 40, 9)))
+    matrix = np.stack([packing.made(shapes[[i]], np.ones(1), 10) for i in range(6)], axis=1)
+    best = float(wanted @ wanted)
+    for chosen in product([False, True], repeat=6):
+        if any(chosen):
+            counts = np.linalg.lstsq(matrix[:, chosen], wanted.astype(float), rcond=None)[0]
+            if (counts >= -1e-9).all():
+                best = min(best, float(((matrix[:, chosen] @ counts - wanted) ** 2).sum()))
+    rest = packing.made(shapes, packing.fit_counts(shapes, wanted, np.ones(10), steps=3000), 10) - wanted
+    assert rest @ rest == pytest.approx(best, rel=1e-3, abs=1e-2)
+
+
+def test_spread_lengths_pack_as_well_as_best_fit():
+    """Three thousand lengths spread evenly, most of which fit with one other at best."""
+    sizes = np.random.default_rng(0).integers(1, 2029, 3000)
+    histogram = np.bincount(sizes, minlength=2049)
+    used, bound = sum(n for _, n in packing.plan(histogram)), -(-int(sizes.sum()) // 2048)
+    histogram[0] = 0
+    assert used <= sum(n for _, n in packing.best_fit(histogram, 2048)) and used <= 1.03 * bound
 
 
 def check_packed(rows, texts, length):
