@@ -8,36 +8,45 @@ therefore is that suffix with the last piece and the relative count at each plac
 states and transitions are compiled when first met. A transition carries the change of the
 number of pieces.
 
-A chunk of text maps a state to a state and a count. Where a word boundary or a character
-outside the vocabulary occurs, the machine is in one known state whatever it came from; a
-chunk's map is thus its text up to the first boundary, a constant, and its text after the last
-one. Maps compose associatively, and the chunks of a text are composed pairwise to one
-map as they come.
+A chunk of text maps every state it can be entered in to a state and a count. Where a word begins
+or a line ends the machine is in one known state whatever it came from, so a chunk with such a
+boundary ends alike for all its entries, and its words are counted once. Chunk maps compose
+associatively; a prefix scan over the maps of a text gives the state and the count before every
+chunk. Long texts are cut at boundaries into stretches that are counted in different tasks.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow, in_slices, table, texts
+from ledgerline.llm.common import arrow, in_slices, table, texts, written
 from ledgerline.llm.tokenfile import tokenizer_path
 
 TOKENIZER = "piece_bpe_32k.model"
 LIMIT = 4096
 CHUNK = 1 << 16
+# Characters beyond which a text is counted in stretches of that size, spread over tasks.
+STRETCH = 1 << 21
 # Transducer states and segments a Python worker keeps before it starts anew.
 KEPT_STATES, KEPT_SEGMENTS = 300_000, 700_000
 
 SPACE = "▁"
 _HEAD = re.compile(" *[^ \n]*")
 _SEGMENT = re.compile(" +[^ \n]*|\n[^ \n]*")
+_BOUNDARY = re.compile("(?<! ) |\n")
+
+# The state as it is known outside a machine: the suffix, and per place in it the last piece and the count.
+State = tuple[str, tuple[tuple[str, int], ...]]
+START: State = ("", (("", 0),))
+# What a chunk does: per entry state, the state it ends in and its count.
+ChunkMap = dict[State, tuple[State, int]]
 
 
 class Transducer:
@@ -65,9 +74,8 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        # A state: the suffix, and per place in it (last piece, count relative to the end).
-        self.number: dict[tuple, int] = {("", (("", 0),)): 0}
-        self.states: list[tuple] = [("", (("", 0),))]
+        self.number: dict[State, int] = {START: 0}
+        self.states: list[State] = [START]
         self.moves: list[dict[str, tuple[int, int]]] = [{}]
         self.counts.clear()
 
@@ -105,12 +113,22 @@ class Transducer:
         places = (*context, (text[start:], count))
         keep = next((k for k in range(len(text)) if text[k:] in self.heads), len(text))
         key = (text[keep:], tuple((piece, n - count) for piece, n in places[keep:]))
-        target = self.number.get(key)
-        if target is None:
-            target = self.number[key] = len(self.states)
-            self.states.append(key)
+        return self._number(key), count
+
+    def _number(self, state: State) -> int:
+        number = self.number.get(state)
+        if number is None:
+            number = self.number[state] = len(self.states)
+            self.states.append(state)
             self.moves.append({})
-        return target, count
+        return number
+
+    def follow(self, text: str, state: State) -> tuple[State, int]:
+        """The same from a state known by its content to one; states may be forgotten between calls."""
+        if len(self.states) > KEPT_STATES:
+            self._forget()
+        end, count = self.run(text, self._number(state))
+        return self.states[end], count
 
     def run(self, text: str, state: int = 0) -> tuple[int, int]:
         """End state and change of the piece count over a text written with SPACE for spaces."""
@@ -136,30 +154,21 @@ class Transducer:
         return found
 
 
-@dataclass(frozen=True)
-class ChunkMap:
-    """What a chunk does: its text up to the first boundary, pieces in between, its last segment.
-
-    A boundary lies before a line end and before a space that follows something else. ``tail``
-    is None for a chunk without a boundary, which is all head.
-    """
-
-    head: str
-    count: int
-    tail: str | None
-
+def _shown(text: str) -> str:
+    return text.replace(" ", SPACE)
 
-def _pieces(machine: Transducer, segment: str) -> int:
-    """Pieces of a whole segment, written with the space it starts with."""
-    return machine.segment(segment if segment[0] == "\n" else segment[1:])
 
+def chunk_map(machine: Transducer, text: str, entries: Iterable[State]) -> ChunkMap:
+    """Map of a chunk of text (spaces as spaces) for the states it can be entered in.
 
-def chunk_map(machine: Transducer, text: str) -> ChunkMap:
-    """Map of a chunk of text."""
+    The text up to the first boundary is run from every entry. What follows is the same for all:
+    whole segments by their counts, which are kept, and the last one up to the state it ends in.
+    """
     head = _HEAD.match(text).group()
     body = text[len(head):]
+    starts = {entry: machine.follow(_shown(head), entry) for entry in entries}
     if not body:
-        return ChunkMap(head, 0, None)
+        return starts
     if "  " not in body and " \n" not in body:  # single spaces: the words as they are
         keys = body.replace("\n", " \n").split(" ")[1:]
     else:
@@ -168,49 +177,61 @@ def chunk_map(machine: Transducer, text: str) -> ChunkMap:
     counts = list(map(machine.counts.get, keys))
     if None in counts:
         counts = [machine.segment(k) if n is None else n for k, n in zip(keys, counts)]
-    return ChunkMap(head, sum(counts), tail if tail[:1] == "\n" else " " + tail)
+    end, last = machine.follow(_shown(tail if tail[:1] == "\n" else " " + tail), START)
+    inner = sum(counts) + last
+    return {entry: (end, count + inner) for entry, (_, count) in starts.items()}
 
 
-def compose(machine: Transducer, left: ChunkMap, right: ChunkMap) -> ChunkMap:
+def compose(left: ChunkMap, right: ChunkMap) -> ChunkMap:
     """The map of both chunks one after the other. Associative."""
-    if left.tail is None:
-        left = chunk_map(machine, left.head + right.head)
-        whole = [left.tail] if left.tail is not None else []
-    else:
-        whole = _SEGMENT.findall(left.tail + right.head)
-    if right.tail is not None:
-        return ChunkMap(left.head, left.count + sum(_pieces(machine, s) for s in whole) + right.count, right.tail)
-    if not whole:
-        return left
-    return ChunkMap(left.head, left.count + sum(_pieces(machine, s) for s in whole[:-1]), whole[-1])
+    return {entry: (right[state][0], count + right[state][1]) for entry, (state, count) in left.items()}
 
 
-def total(machine: Transducer, maps: Iterator[ChunkMap]) -> ChunkMap:
-    """Map of all chunks together, composed as they come.
+def scan(maps: Sequence[ChunkMap]) -> list[ChunkMap]:
+    """Maps of all prefixes, by doubling: after k rounds every place holds the map of 2^k chunks up to it.
 
-    Neighbours over equally many chunks become one at once, so no text is held in two maps,
-    and a text without a boundary is copied once for every doubling of its length.
+    The steps of a round do not depend on each other, and their number is the logarithm of the chunks.
     """
-    open_: list[tuple[int, ChunkMap]] = []
-    for one in maps:
-        size = 1
-        while open_ and open_[-1][0] == size:
-            one = compose(machine, open_.pop()[1], one)
-            size *= 2
-        open_.append((size, one))
-    whole = open_.pop()[1]
-    while open_:
-        whole = compose(machine, open_.pop()[1], whole)
-    return whole
+    now, reach = list(maps), 1
+    while reach < len(now):
+        now = [compose(now[i - reach], now[i]) if i >= reach else now[i] for i in range(len(now))]
+        reach *= 2
+    return now
+
+
+def chunk_maps(machine: Transducer, text: str, chunk: int = CHUNK) -> list[ChunkMap]:
+    """Maps of the chunks of a text (spaces as spaces), each for the states the one before can end in."""
+    maps: list[ChunkMap] = []
+    entries: set[State] = {START}
+    for at in range(0, len(text), chunk):
+        maps.append(chunk_map(machine, text[at:at + chunk], entries))
+        entries = {end for end, _ in maps[-1].values()}
+    return maps
+
+
+def count_from_boundary(machine: Transducer, text: str, chunk: int = CHUNK) -> int:
+    """Tokens of a stretch of text (spaces as spaces) that starts at a boundary."""
+    return scan(chunk_maps(machine, text, chunk))[-1][START][1] if text else 0
+
+
+def prepared(text: str) -> str:
+    """The text as the tokenizer sees it, with spaces as spaces: it puts a space in front."""
+    return " " + text.replace(SPACE, " ") if text else ""
+
+
+def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
+    """A prepared text cut at boundaries into parts of at least ``size`` characters, but for the last."""
+    at = 0
+    while at < len(text):
+        cut = _BOUNDARY.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 def count_tokens(machine: Transducer, text: str, chunk: int = CHUNK) -> int:
     """Tokens of a whole text; an empty text has none."""
-    if not text:
-        return 0
-    text = " " + text.replace(SPACE, " ")  # the tokenizer puts a space in front
-    whole = total(machine, (chunk_map(machine, text[i:i + chunk]) for i in range(0, len(text), chunk)))
-    return _pieces(machine, whole.head) + whole.count + (_pieces(machine, whole.tail) if whole.tail is not None else 0)
+    return count_from_boundary(machine, prepared(text), chunk)
 
 
 @lru_cache(maxsize=2)
@@ -219,25 +240,47 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
-def token_counts(documents: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
+def token_counts(documents: DataFrame, model: str, limit: int = LIMIT, stretch: int = STRETCH) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (more than ``limit`` tokens) of every row.
 
-    NULL and empty texts have 0 of both. Repeated rows are counted each, a missing doc_id
-    stays NULL, extra columns are not read. No shuffle.
+    NULL and empty texts have 0 of both. Texts of any length are counted whole: one longer than
+    ``stretch`` characters is cut at boundaries, its stretches are spread over tasks, and their
+    counts summed; nothing else is shuffled. Repeated rows are counted each, a missing doc_id
+    stays NULL, extra columns are not read. An empty table gives no rows.
     """
-    schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
+    schema = "doc_id long, n_bytes long, n_tokens long, row string, part string"
+    names = [part.split(" ")[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(model)
+        machine, task, long = transducer(model), TaskContext.get().partitionId(), 0
         for batch in in_slices(batches):
-            found = texts(batch)
-            tokens = [count_tokens(machine, t) for t in found]
-            yield arrow(schema, {
-                "doc_id": batch.column("doc_id"), "n_bytes": [len(t.encode()) for t in found],
-                "n_tokens": tokens, "over_limit": [n > limit for n in tokens],
+            rows: list[tuple] = []
+            for key, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                size = len(text.encode())
+                if len(text) <= stretch:
+                    rows.append((key, size, count_tokens(machine, text), None, None))
+                    continue
+                long += 1
+                for number, part in enumerate(stretches(prepared(text), stretch)):
+                    rows.append((key, 0 if number else size, None, f"{task}-{long}", part))
+            yield arrow(schema, dict(zip(names, zip(*rows))) if rows else {name: [] for name in names})
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(model)
+        for batch in in_slices(batches, "part"):
+            counts = [count_from_boundary(machine, part) for part in texts(batch, "part")]
+            yield arrow("row string, doc_id long, n_bytes long, n_tokens long", {
+                "row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": counts,
             })
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    counted = written(plain.mapInArrow(run, schema), "counted")
+    parts = counted.filter("row is not null").select("row", "doc_id", "n_bytes", "part").repartition("row", "part")
+    summed = parts.mapInArrow(finish, "row string, doc_id long, n_bytes long, n_tokens long").groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens")
+    )
+    columns = ["doc_id", "n_bytes", "n_tokens"]
+    return counted.filter("row is null").select(*columns).unionByName(summed.select(*columns)).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op4_tokencount(spark: SparkSession, folder: str) -> DataFrame:

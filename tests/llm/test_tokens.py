@@ -30,7 +30,7 @@ def machine():
 
 
 def test_memory_of_a_text_without_boundaries(machine):
-    """Chunk maps of a text without blanks hold it a few times at most, however many chunks it has."""
+    """A text without blanks is counted chunk by chunk: maps hold states, not texts."""
     text = "".join(random.Random(4).choices("abcdefghij", k=200_000))
     wanted = tokencount.count_tokens(machine, text)
     tracemalloc.start()
@@ -56,13 +56,52 @@ def test_counts_of_any_text_in_any_chunks(text, chunk):
     assert tokencount.count_tokens(machine, text) == wanted == tokencount.count_tokens(machine, text, chunk)
 
 
+def states(machine, texts):
+    """States the machine is in after some texts, and the first one."""
+    return {tokencount.START, *(machine.follow(t.replace(" ", tokencount.SPACE), tokencount.START)[0] for t in texts)}
+
+
+CHUNKS = st.lists(st.text(alphabet="ab the\nion é", max_size=7), min_size=3, max_size=6)
+
+
+@settings(max_examples=150, deadline=None)
+@given(CHUNKS, st.text(alphabet="ab theion", max_size=6))
+def test_chunk_maps_equal_the_machine(parts, before):
+    """Per entry state, the map of a chunk is what the machine does from there, character by character."""
+    machine = tokencount.transducer(PIECES)
+    for part in parts:
+        for entry in states(machine, [before, "a", " "]):
+            assert tokencount.chunk_map(machine, part, [entry]) == {entry: machine.follow(part.replace(" ", tokencount.SPACE), entry)}
+
+
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.text(alphabet="a b\n", max_size=6), min_size=3, max_size=3))
-def test_composition_is_associative(parts):
+@given(CHUNKS)
+def test_composition_and_prefix_states(parts):
     machine = tokencount.transducer(PIECES)
-    a, b, c = (tokencount.chunk_map(machine, p) for p in parts)
-    left = tokencount.compose(machine, tokencount.compose(machine, a, b), c)
-    assert left == tokencount.compose(machine, a, tokencount.compose(machine, b, c)) == tokencount.chunk_map(machine, "".join(parts))
+    maps, entries = [], states(machine, ["th", "  "])
+    for part in parts:
+        maps.append(tokencount.chunk_map(machine, part, entries))
+        entries = {end for end, _ in maps[-1].values()}
+    a, b, c = maps[:3]
+    assert tokencount.compose(tokencount.compose(a, b), c) == tokencount.compose(a, tokencount.compose(b, c))
+    for i, prefix in enumerate(tokencount.scan(maps)):
+        whole = "".join(parts[: i + 1]).replace(" ", tokencount.SPACE)
+        assert prefix == {entry: machine.follow(whole, entry) for entry in maps[0]}
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXT, st.integers(1, 12))
+def test_stretches_add_up(text, size):
+    machine = tokencount.transducer(PIECES)
+    parts = list(tokencount.stretches(tokencount.prepared(text), size))
+    assert "".join(parts) == tokencount.prepared(text)
+    assert sum(tokencount.count_from_boundary(machine, p) for p in parts) == len(library.encode(text))
+
+
+def test_long_texts_are_spread_over_tasks(spark, odd):
+    wanted = sorted((r.doc_id or -1, len((r.text or "").encode()), len(library.encode(r.text or ""))) for r in odd.collect())
+    rows = tokencount.token_counts(odd, PIECES, stretch=300)
+    assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in rows.collect()) == wanted
 
 
 def test_forgetting_changes_nothing(machine, monkeypatch):
