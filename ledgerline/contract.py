@@ -19,6 +19,8 @@ NOT_IN_NAMES = "[^a-z0-9_]"
 BATCH = "_batch_id"
 LOADED = "_loaded_at"
 FILENAME = "_filename"
+# Time zone of a row's clock times, where its source does not write UTC.
+ZONE = "_zone"
 
 
 @dataclass(frozen=True)

@@ -73,10 +73,23 @@ def sum_when(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast(MONEY)))
 
 
-def utc(column: Column, zone: str | Column) -> Column:
-    """Wall-clock time of ``zone`` as UTC, both without a zone."""
+def utc(column: Column, zone: str | Column, doubled: str = "first", missing: str = "later") -> Column:
+    """Wall-clock time of ``zone`` as UTC, both without a zone.
+
+    A time that the clock shows twice is its ``first`` or ``second`` occurrence; one that the clock
+    skips counts ``later`` by what is skipped, or becomes ``null``.
+    """
     source = F.lit(zone) if isinstance(zone, str) else zone
-    return F.convert_timezone(source, F.lit("UTC"), column)
+    result = first = F.convert_timezone(source, F.lit("UTC"), column)
+
+    def shown(moment: Column) -> Column:
+        return F.convert_timezone(F.lit("UTC"), source, moment)
+
+    if doubled == "second":
+        for minutes in (30, 60):  # clocks are set back by one of these
+            again = first + F.expr(f"INTERVAL {minutes} MINUTES")
+            result = F.when(shown(again) == column, again).otherwise(result)
+    return F.when(shown(result) == column, result) if missing == "null" else result
 
 
 def canonical_customer_id(column: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.contract import BATCH, LOADED, SENTINELS, Entity
+from ledgerline.contract import BATCH, LOADED, SENTINELS, ZONE, Entity
 from ledgerline.functions.columns import null_if_in, typed
 from ledgerline.operators.relational import with_columns_present
 
@@ -27,7 +27,7 @@ def null_sentinels(df: DataFrame, values: Sequence[str] = SENTINELS) -> DataFram
 
 
 def _lineage(df: DataFrame) -> list[str]:
-    return [c for c in (BATCH, LOADED) if c in df.columns]
+    return [c for c in (BATCH, LOADED, ZONE) if c in df.columns]
 
 
 def clean(df: DataFrame, entity: Entity, strict: bool = True) -> DataFrame:

@@ -69,6 +69,15 @@ def current_customers(dim: DataFrame) -> DataFrame:
     return current(dim)
 
 
+def with_partner(customers: DataFrame, matches: DataFrame) -> DataFrame:
+    """Customers with ``partner_id``: the partner whose file row was matched to them.
+
+    Of several partners the smallest id; NULL for customers no row was matched to.
+    """
+    found = matches.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.min("partner_id").alias("partner_id"))
+    return attach(customers, found, "customer_id", ["partner_id"])
+
+
 def dim_plan(plans: DataFrame) -> DataFrame:
     """Plan reference data, one row per plan."""
     return plans.select(

@@ -7,16 +7,28 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.contract import BATCH, CUSTOMERS, Entity
-from ledgerline.functions.columns import canonical_customer_id
+from ledgerline.contract import BATCH, CUSTOMERS, ZONE, Entity
+from ledgerline.functions.columns import canonical_customer_id, utc
 from ledgerline.operators.cleaning import clean, clean_or_quarantine
 from ledgerline.operators.identity import resolve_ids, unresolved_ids
 from ledgerline.operators.relational import latest_batch, union_aligned, with_columns_present
 
 
-def raw_rows(entity: Entity, raw: Mapping[str, DataFrame]) -> DataFrame:
-    """All RAW rows that feed an entity, every batch, duplicates kept."""
-    rows = union_aligned([raw[s] for s in entity.sources if s in raw])
+def raw_rows(entity: Entity, raw: Mapping[str, DataFrame], zones: Mapping[str, str] | None = None) -> DataFrame:
+    """All RAW rows that feed an entity, every batch, duplicates kept.
+
+    ``zones`` names the time zone of a source; a column ``_zone`` of its rows names that of a row.
+    """
+    zones = zones or {}
+
+    def zoned(source: str) -> DataFrame:
+        rows = raw[source]
+        if source not in zones:
+            return rows
+        own = F.coalesce(ZONE, F.lit(zones[source])) if ZONE in rows.columns else F.lit(zones[source])
+        return rows.withColumn(ZONE, own)
+
+    rows = union_aligned([zoned(s) for s in entity.sources if s in raw])
     rows = latest_batch(rows) if entity.latest_only else rows
     if entity.name == "adjustments":
         # Adjustments mix full ids with their bare number.
@@ -51,18 +63,39 @@ def unidentified_customers(raw_customers: DataFrame) -> DataFrame:
     return unresolved_ids(missing, first)
 
 
-def stage(entity: Entity, raw: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
-    """Typed stage rows of one entity."""
-    rows = raw_rows(entity, raw)
+def in_utc(rows: DataFrame, entity: Entity, doubled: str = "first", missing: str = "later") -> DataFrame:
+    """Clock times of rows with a zone as UTC; rows without one hold UTC already."""
+    if ZONE not in rows.columns:
+        return rows
+    stamps = {
+        name: F.when(F.col(ZONE).isNull(), F.col(name)).otherwise(utc(F.col(name), F.col(ZONE), doubled, missing))
+        for name, kind in entity.columns if kind in ("stamp", "us_stamp")
+    }
+    return rows.withColumns(stamps).drop(ZONE) if stamps else rows.drop(ZONE)
+
+
+def stage(
+    entity: Entity, raw: Mapping[str, DataFrame], strict: bool = True, zones: Mapping[str, str] | None = None,
+    doubled: str = "first", missing: str = "later",
+) -> DataFrame:
+    """Typed stage rows of one entity, times in UTC.
+
+    ``doubled`` and ``missing`` say what a time means that a clock shows twice or skips, see
+    :func:`ledgerline.functions.columns.utc`.
+    """
+    rows = raw_rows(entity, raw, zones)
     if entity is CUSTOMERS:
         rows = identified_customers(rows)
-    return clean(rows, entity, strict)
+    return in_utc(clean(rows, entity, strict), entity, doubled, missing)
 
 
-def stage_or_quarantine(entity: Entity, raw: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+def stage_or_quarantine(
+    entity: Entity, raw: Mapping[str, DataFrame], zones: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(typed rows, refused RAW rows with reason)."""
-    rows = raw_rows(entity, raw)
+    rows = raw_rows(entity, raw, zones)
     if entity is not CUSTOMERS:
-        return clean_or_quarantine(rows, entity)
+        good, bad = clean_or_quarantine(rows, entity)
+        return in_utc(good, entity), bad
     good, bad = clean_or_quarantine(identified_customers(rows), entity)
-    return good, bad.unionByName(unidentified_customers(rows), allowMissingColumns=True)
+    return in_utc(good, entity), bad.unionByName(unidentified_customers(rows), allowMissingColumns=True)

@@ -14,6 +14,7 @@ from ledgerline.operators.late import dedup_usage
 from ledgerline.operators.quality import STANDARD_CHECKS, quality_report
 from ledgerline.plans import core, maintained, marts
 from ledgerline.plans.stage import stage, stage_or_quarantine
+from ledgerline.session import stored
 from ledgerline.sources.raw import RawFile, discover, load_summary, paths_with_line_breaks, read_lines, rows_per_file
 from ledgerline.sources.store import Store
 
@@ -137,6 +138,48 @@ def check(tables: Mapping[str, DataFrame]) -> DataFrame:
     return quality_report({n: df for n, df in tables.items() if n in known})
 
 
+def check_stored(store: Store) -> DataFrame:
+    """The check report over the core and mart tables that are stored, without building any."""
+    names = dict.fromkeys(c.table for c in STANDARD_CHECKS)
+    layers = {n: "mart" if n.startswith("mart_") else "core" for n in names if not n.startswith("stg_")}
+    return check({n: store.load(layer, n) for n, layer in layers.items() if store.exists(layer, n)})
+
+
+def update(store: Store, stage_tables: Mapping[str, DataFrame]) -> dict[str, list[int]]:
+    """Bring a store up to date from staged entities; returns the batches written per table.
+
+    Customer versions are continued by the batches after the newest one known, facts take the
+    batches that are new or differ, the marts by batch are rewritten for those and their
+    followers. The marts by month, to which any batch can add, are computed anew. On an empty
+    store this is a full build.
+    """
+    snapshots = stage_tables["stg_customers"]
+    if store.exists("snapshots", "snap_customers"):
+        versions = store.load("snapshots", "snap_customers")
+        reached = store.load("ledger", "snap_customers").agg(F.max(BATCH)).first()[0]
+        later = sorted(r[0] for r in snapshots.filter(F.col(BATCH) > reached).select(BATCH).distinct().collect())
+        for batch in later:
+            versions = stored(core.snap_customers_update(versions, snapshots.filter(F.col(BATCH) == batch)), "versions")
+    else:
+        later = sorted(r[0] for r in snapshots.select(BATCH).distinct().collect())
+        versions = stored(core.snap_customers(snapshots), "versions")
+    if later:
+        store.materialize(versions, "snapshots", "snap_customers")
+        maintained.note_batches(store, "snap_customers", snapshots, later)
+    versions = store.load("snapshots", "snap_customers")
+    customers = core.current_customers(store.materialize(core.dim_customer_of(versions), "core", "dim_customer"))
+    plans = store.materialize(core.dim_plan(stage_tables["stg_plans"]), "core", "dim_plan")
+    written = maintained.update_marts(store, stage_tables["stg_subscriptions"], customers, plans)
+    for name, fact in (("invoices", core.fct_invoices), ("payments", core.fct_payments)):
+        if f"stg_{name}" in stage_tables:
+            written[f"fct_{name}"] = append_new_batches(store, f"fct_{name}", fact(stage_tables[f"stg_{name}"], customers))
+    if "stg_usage_events" in stage_tables:
+        store.materialize(marts.mart_usage(dedup_usage(stage_tables["stg_usage_events"]), customers), "mart", "mart_usage")
+    if "stg_support_tickets" in stage_tables:
+        store.materialize(marts.mart_support(stage_tables["stg_support_tickets"], customers), "mart", "mart_support")
+    return {"snap_customers": later, **written}
+
+
 def append_new_batches(store: Store, name: str, fact: DataFrame) -> list[int]:
     """Bring a stored fact up to date, batch by batch; returns the numbers of those written.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -330,6 +331,24 @@ def utc_times(spark, folder):
     )
 
 
+@query
+def stage_support_tickets_zones(spark, folder):
+    """Tickets of three systems, two of which write local time, staged to UTC across clock changes.
+
+    Open tickets come from New York, finished ones from Berlin, each row naming its zone; an hour
+    that a clock shows twice is its second occurrence.
+    """
+    tickets = book.support_tickets(spark, folder)
+    minutes = F.col("ticket_id") % 48 * 30
+    timed = tickets.withColumn("created_at", (F.col("created_at") + F.make_dt_interval(mins=minutes.cast("int"))).cast("timestamp_ntz"))
+    zone = F.when(F.col("channel") == "o", "America/New_York").when(F.col("channel") == "f", "Europe/Berlin")
+    raw = cleaning.null_sentinels(book.as_raw(timed, contract.SUPPORT_TICKETS, "support_tickets.csv")).join(
+        tickets.select(F.col("ticket_id").cast("string").alias("ticket_id"), zone.alias(contract.ZONE)), "ticket_id"
+    )
+    staged = stage.stage(contract.SUPPORT_TICKETS, {"support_tickets": raw}, doubled="second")
+    return staged.groupBy("created_at", "channel").agg(F.count(F.lit(1)).alias("tickets"), F.count("resolved_at").alias("resolved"))
+
+
 @query
 def incremental_facts(spark, folder):
     """Invoices of batches after the newest batch already stored (here: all before the last)."""
@@ -680,6 +699,23 @@ def kpi_stored(spark, folder):
     return union_aligned(parts)
 
 
+@query
+def kpi_reports_stored(spark, folder):
+    """MRR by region and by plan and the movements, read from stored marts."""
+    store = _stored_marts(spark, folder)
+    mrr, churn = store.load("mart", "mart_mrr"), store.load("mart", "mart_churn")
+    regions = [r["r_name"] for r in book.table(spark, folder, "region").select("r_name").distinct().orderBy("r_name").collect()]
+    pivot = kpis.mrr_by_region(mrr, regions)
+    cells = pivot.select("batch_id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("value")) for c in pivot.columns if c != "batch_id"
+    ])))
+    return union_aligned([
+        cells.withColumn("report", F.lit("mrr_by_region")),
+        kpis.mrr_by_plan(mrr, REPORT_BATCH).select(F.lit("mrr_by_plan").alias("report"), F.col("plan_name").alias("name"), F.col("total_mrr").cast("double").alias("value")),
+        kpis.movements(churn, REPORT_BATCH).select(F.lit("movements").alias("report"), F.col("movement_type").alias("name"), F.col("mrr_impact").cast("double").alias("value")),
+    ]).select("report", "batch_id", "name", "value")
+
+
 @query
 def quality_report(spark, folder):
     """All standard checks over stage and the stored core and mart tables."""
@@ -701,6 +737,25 @@ def profile_batches(spark, folder):
     return quality.profile(book.payments(spark, folder), ["customer_id", "payment_method", "status", "amount"])
 
 
+@query
+def profile_sketches(spark, folder):
+    """The payments' profile merged from sketches kept per batch, beside the exact figures of one pass.
+
+    ``within`` tells whether the merged distinct count lies within the stated error of the exact one.
+    """
+    payments = book.payments(spark, folder)
+    columns, kept = ["customer_id", "payment_method", "status", "amount"], scratch_path(spark, "sketches")
+    # Each batch is profiled when it arrives; what is merged later are its sketches only.
+    quality.sketch(payments, columns).write.partitionBy(BATCH).parquet(kept)
+    merged = quality.profile_of(spark.read.parquet(kept))
+    exact = union_aligned([
+        payments.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).agg(F.count("value").alias("exact")).withColumn("column", F.lit(c))
+        for c in columns
+    ])
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * quality.SKETCH_ERROR + 0.5
+    return merged.join(exact, "column").select("column", "rows", "nulls", F.col("exact").alias("distinct_values"), near.alias("within"))
+
+
 @query
 def profile_id_formats(spark, folder):
     """Shapes of the adjustment ids per batch."""
@@ -953,6 +1008,76 @@ def landing_rejects(spark, folder):
     return rows.unionByName(rejects)
 
 
+@query
+def incremental_build(spark, folder):
+    """Totals of a store built without the last two batches and with other amounts in batch 2, then brought up to date.
+
+    ``written`` are the batches the update wrote.
+    """
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    needed = ("stg_customers", "stg_subscriptions", "stg_plans", "stg_invoices", "stg_support_tickets")
+    tables = _stage_tables(spark, folder, *needed)
+
+    def earlier(name, df):
+        if BATCH not in df.columns or name == "stg_plans":
+            return df
+        df = df.filter(F.col(BATCH) < 6)
+        restated = F.when(F.col(BATCH) == 2, F.col("mrr") + 1).otherwise(F.col("mrr")).cast("decimal(18,2)") if "mrr" in df.columns else None
+        return df if restated is None else df.withColumn("mrr", restated)
+
+    warehouse.update(store, {n: earlier(n, df) for n, df in tables.items()})
+    written = warehouse.update(store, tables)
+    shown = {
+        "snapshots": ("snap_customers", None), "core": ("fct_subscriptions", "mrr"), "core ": ("fct_invoices", "amount"),
+        "mart": ("mart_mrr", "total_mrr"), "mart ": ("mart_churn", "mrr_impact"), "mart  ": ("mart_nrr", "starting_mrr"), "mart   ": ("mart_support", "total_tickets"),
+    }
+    return union_aligned([
+        store.load(layer.strip(), n).agg(
+            F.count(F.lit(1)).alias("rows"), (F.sum(m).cast("double") if m else F.lit(0.0)).alias("total")
+        ).select(F.lit(n).alias("table"), "rows", "total", F.lit(",".join(map(str, written.get(n, [])))).alias("written"))
+        for layer, (n, m) in shown.items()
+    ])
+
+
+@query
+def dim_customer_partner(spark, folder):
+    """Customers with the partner whose file row was matched to them."""
+    customers = book.customers(spark, folder)
+    matches = matching.match_partners(book.partners(spark, folder), customers)
+    return core.with_partner(customers, matches).select("customer_id", "region", "partner_id")
+
+
+@query
+def raw_lineage(spark, folder):
+    """Lines per file with their lineage: batch, file and time of the load."""
+    files = _drop_customers(spark, folder, scratch_path(spark, "drops"))
+    df = raw_source.read_raw(spark, files, datetime(2024, 5, 1, 12))
+    return df.groupBy(BATCH, "_filename", F.col("_loaded_at").cast("string").alias("loaded_at")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def stage_customers_whole(spark, folder):
+    """All fifteen columns of the customers, arriving as unclean text; what the drops lack is missing."""
+    given = book.customers(spark, folder).withColumns({
+        "status": F.lit("Active"), "signup_date": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("customer_id") % 300).cast("int")),
+        "employee_count": (F.col("customer_id") % 1000).cast("int"), "account_tier": F.col("industry"), BATCH: F.lit(1),
+    })
+    raw = cleaning.null_sentinels(book.as_raw(given, contract.CUSTOMERS, "customers.csv"))
+    return stage.stage(contract.CUSTOMERS, {"customers": raw}).select(*contract.CUSTOMERS.column_names, BATCH)
+
+
+@query
+def quality_offending_all(spark, folder):
+    """Values outside the accepted ones in every table that has such a check."""
+    tables = _stage_tables(spark, folder, "stg_customers", "stg_subscriptions", "stg_payments")
+    tables["dim_customer"] = core.dim_customer(tables["stg_customers"])
+    tables["fct_mrr_movements"] = core.movements_only(_changes(spark, folder))
+    return union_aligned([
+        quality.offending_values(df, own).withColumn("table", F.lit(n)) for n, df in tables.items()
+        if (own := [c for c in quality.STANDARD_CHECKS if c.table == n and c.kind == "accepted_values"])
+    ]).select("table", "column", "value", "rows")
+
+
 @query
 def quality_offending_values(spark, folder):
     """Values outside the accepted ones in the customer snapshots, with their rows."""

@@ -370,6 +370,19 @@ oracle("utc_times", "tick", """
         from tick)
     group by 1""")
 
+oracle("stage_support_tickets_zones", "tick", """
+    , timed as (
+        select *, cast(created_at as timestamp) + (ticket_id % 48 * 30) * interval 1 minute as local,
+               case channel when 'o' then 'America/New_York' when 'f' then 'Europe/Berlin' else 'UTC' end as zone,
+               resolved_at is not null as done
+        from tick),
+    moments as (select *, timezone(zone, local) as moment from timed),
+    placed as (
+        select *, case when timezone(zone, moment + interval 1 hour) = local then moment + interval 1 hour else moment end as utc_moment
+        from moments)
+    select cast(timezone('UTC', utc_moment) as varchar) as created_at, channel, count(*) as tickets, count(*) filter (where done) as resolved
+    from placed group by 1, 2""")
+
 oracle("incremental_facts", "inv", f"""
     select invoice_id, customer_id, cast(amount as double) as amount, {B}
     from inv where batch = (select max(batch) from inv)""")
@@ -616,6 +629,18 @@ oracle("row_filter_session_user", "m_mrr", MART_MRR)
 oracle("row_filter_marts", "m_mrr m_churn m_nrr m_usage_stored m_support", "\nunion all\n".join(f"""
     select '{mart}' as mart, region, count(*) as rows from {part} where region = 'ASIA' group by region""" for mart, part in (
         ("mart_mrr", "m_mrr"), ("mart_churn", "m_churn"), ("mart_nrr", "m_nrr"), ("mart_usage", "m_usage_stored"), ("mart_support", "m_support"))))
+oracle("kpi_reports_stored", "m_mrr m_churn", """
+    , cells as (
+        select cast(batch_id as bigint) as batch_id, coalesce(r_name, 'unassigned') as name, total_mrr
+        from m_mrr left join region on r_name = m_mrr.region),
+    wanted as (
+        select b.batch_id, n.name from (select distinct batch_id from cells) b, (select r_name as name from region union all select 'unassigned') n)
+    select 'mrr_by_region' as report, w.batch_id, w.name, cast(coalesce(sum(c.total_mrr), 0) as double) as value
+    from wanted w left join cells c on c.batch_id = w.batch_id and c.name = w.name group by 1, 2, 3
+    union all
+    select 'mrr_by_plan', null, plan_name, cast(sum(total_mrr) as double) from m_mrr where batch_id = 3 group by plan_name
+    union all
+    select 'movements', null, movement_type, cast(sum(abs_mrr_impact) as double) from m_churn where batch_id = 3 group by movement_type""")
 oracle("kpi_stored", "m_mrr m_churn m_nrr m_usage_stored m_support", "\nunion all\n".join(f"""
     select 'total_mrr' as figure, '{name}' as region, cast(coalesce(sum(total_mrr), 0) as double) as value from m_mrr where batch_id = 3 and {which}
     union all
@@ -697,6 +722,10 @@ oracle("profile_batches", "pay", "\n, counted as (\n" + "\nunion all\n".join(f""
     select c.*, c.rows - b.rows as row_change
     from counted c left join counted b on b.batch_id = c.batch_id - 1 and b."column" = c."column" """)
 
+oracle("profile_sketches", "pay", "\nunion all\n".join(f"""
+    select '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls, count(distinct {c}) as distinct_values, true as within
+    from pay""" for c in ("customer_id", "payment_method", "status", "amount")))
+
 oracle("profile_id_formats", "adj", """
     select cast(batch as bigint) as batch_id,
            case when reverses_adjustment_id is not null then 'ADJ-9-9' end as format, count(*) as rows
@@ -911,6 +940,67 @@ oracle("landing_rejects", "", """
            c_custkey % 3 = 0 and c_custkey % 5 <> 0 as short, count(*) as lines
     from customer group by 1, 2""")
 
+oracle("incremental_build", "snap subs inv m_mrr m_churn m_nrr m_support", """
+    , kept_tier as (
+        select * exclude (account_tier), last_value(account_tier ignore nulls) over (partition by customer_id order by batch) as account_tier from snap),
+    versions as (
+        select *, lag(account_tier) over w as tier_before, lag(status) over w as status_before, row_number() over w as nr
+        from kept_tier window w as (partition by customer_id order by batch))
+    select 'snap_customers' as "table", count(*) as rows, cast(0 as double) as total, '6,7' as written
+    from versions where nr = 1 or account_tier is distinct from tier_before or status is distinct from status_before
+    union all select 'fct_subscriptions', count(*), cast(sum(mrr) as double), '2,6,7' from subs
+    union all select 'fct_invoices', count(*), cast(sum(amount) as double), '6,7' from inv
+    union all select 'mart_mrr', count(*), cast(sum(total_mrr) as double), '2,6,7' from m_mrr
+    union all select 'mart_churn', count(*), cast(sum(mrr_impact) as double), '2,3,6,7' from m_churn
+    union all select 'mart_nrr', count(*), cast(sum(starting_mrr) as double), '2,3,6,7' from m_nrr
+    union all select 'mart_support', count(*), cast(sum(total_tickets) as double), '' from m_support""")
+
+oracle("dim_customer_partner", "cust", f"""
+    , file as (
+        select c_custkey as partner_id, 'CUSTOMERS ' || substr(c_name, 10) as company_name, c_acctbal >= 0 as has_email
+        from customer),
+    pieces as (select partner_id, {PIECES.format('company_name')} as a from file where not has_email),
+    known as (select customer_id, {PIECES.format('company_name')} as b from cust),
+    pairs as (
+        select partner_id, customer_id,
+               cast(len(list_intersect(a, b)) as double) / (len(a) + len(b) - len(list_intersect(a, b))) as similarity
+        from pieces, known),
+    best as (
+        select * from (
+            select *, rank() over (partition by partner_id order by similarity desc) as place from pairs where similarity >= 0.8)
+        where place = 1
+        qualify count(*) over (partition by partner_id) = 1),
+    matched as (
+        select partner_id as customer_id, partner_id from file where has_email
+        union all select customer_id, partner_id from best)
+    select c.customer_id, c.region, min(m.partner_id) as partner_id from cust c left join matched m using (customer_id) group by 1, 2""")
+
+oracle("raw_lineage", "", """
+    select cast(b as bigint) as _batch_id, 'customers.csv' as _filename, '2024-05-01 12:00:00' as loaded_at, count(*) as rows
+    from customer, (values (1), (2), (3)) v(b) group by b""")
+
+oracle("stage_customers_whole", "cust", """
+    select cast(c_custkey as varchar) as customer_id, c_name as company_name, c_mktsegment as industry, upper(region) as region,
+           n_name as country, null as city, cast(date '2024-01-01' + cast(c_custkey % 300 as int) as varchar) as signup_date,
+           null as account_owner, 'active' as status, lower(c_name) as email, null as phone,
+           cast(c_custkey % 1000 as bigint) as employee_count, cast(cast(c_acctbal as decimal(18,2)) as double) as annual_revenue_usd,
+           null as notes, c_mktsegment as account_tier, cast(1 as bigint) as _batch_id
+    from customer left join nation on n_nationkey = c_nationkey join cust on customer_id = c_custkey""")
+
+oracle("quality_offending_all", "snap subs pay ver changes", """
+    select 'stg_customers' as "table", 'region' as "column", region as value, count(*) as rows from snap where region not in ('NA', 'EMEA', 'APAC') group by region
+    union all
+    select 'stg_customers', 'status', status, count(*) from snap where status not in ('active', 'churned', 'suspended', 'trial') group by status
+    union all
+    select 'stg_subscriptions', 'status', status, count(*) from subs where status not in ('active', 'cancelled', 'expired', 'suspended') group by status
+    union all
+    select 'stg_payments', 'status', status, count(*) from pay where status not in ('completed', 'failed', 'pending', 'refunded') group by status
+    union all
+    select 'dim_customer', 'region', region, count(*) from ver where region not in ('NA', 'EMEA', 'APAC') group by region
+    union all
+    select 'fct_mrr_movements', 'movement_type', movement_type, count(*) from changes
+    where movement_type not in ('retained', 'new', 'expansion', 'contraction', 'churn') group by movement_type""")
+
 oracle("quality_offending_values", "snap", """
     select 'region' as "column", region as value, count(*) as rows from snap where region not in ('NA', 'EMEA', 'APAC') group by region
     union all
