@@ -128,13 +128,14 @@ def update_marts(store: Store, subscriptions: DataFrame, customers: DataFrame, p
     store.replace_batches(core.fct_subscriptions(rows, customers, plans), "core", "fct_subscriptions", changed)
     facts = _batches(store, "core", "fct_subscriptions", changed)
     store.replace_batches(customer_mrr(facts), "core", "customer_mrr", changed)
-    store.replace_batches(customer_bitmaps(facts, numbers, [BATCH, "region", "plan_name"]), "mart", "mart_mrr_customers", changed)
-    store.replace_batches(marts.mart_mrr(facts).withColumnRenamed("batch_id", BATCH), "mart", "mart_mrr", changed)
+    bitmaps = customer_bitmaps(facts.withColumnRenamed(BATCH, "batch_id"), numbers, ["batch_id", "region", "plan_name"])
+    store.replace_batches(bitmaps, "mart", "mart_mrr_customers", changed, "batch_id")
+    store.replace_batches(marts.mart_mrr(facts), "mart", "mart_mrr", changed, "batch_id")
     known = {r[0] for r in store.load("ledger", "fct_subscriptions").select(BATCH).collect()} if store.exists("ledger", "fct_subscriptions") else set()
     touched = sorted(b for b in known | set(changed) if b in changed or b - 1 in changed)
     changes = movements_of(store, touched)
     for name, mart in (("mart_churn", marts.mart_churn(changes.filter("movement_type <> 'retained'"))), ("mart_nrr", marts.mart_nrr(changes))):
-        store.replace_batches(mart.withColumnRenamed("batch_id", BATCH), "mart", name, touched)
+        store.replace_batches(mart, "mart", name, touched, "batch_id")
     note_batches(store, "fct_subscriptions", subscriptions, changed)
     return {"fct_subscriptions": changed, "mart_mrr": changed, "mart_churn": touched, "mart_nrr": touched}
 
@@ -144,7 +145,7 @@ def totals(store: Store) -> DataFrame:
     shown = {"mart_mrr": ("plan_name", "total_mrr"), "mart_churn": ("movement_type", "mrr_impact"), "mart_nrr": (None, "nrr_pct")}
     return reduce(DataFrame.unionByName, [
         store.load("mart", mart).select(
-            F.lit(mart).alias("mart"), F.col(BATCH).alias("batch_id"), "region",
+            F.lit(mart).alias("mart"), "batch_id", "region",
             (F.col(name) if name else F.lit("nrr_pct")).alias("name"), F.col(value).cast("double").alias("value"),
         )
         for mart, (name, value) in shown.items()

@@ -39,15 +39,15 @@ class Store:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
         return self.load(layer, name)
 
-    def write_batch(self, df: DataFrame, layer: str, name: str, batch_id: int) -> None:
+    def write_batch(self, df: DataFrame, layer: str, name: str, batch_id: int, column: str = BATCH) -> None:
         """Replace exactly one batch; doing it twice leaves the same data.
 
         Writing into the folder of the batch also clears it when the new load is empty.
         """
-        target = f"{self.path(layer, name)}/{BATCH}={batch_id}"
-        df.filter(df[BATCH] == batch_id).drop(BATCH).write.mode("overwrite").parquet(target)
+        target = f"{self.path(layer, name)}/{column}={batch_id}"
+        df.filter(df[column] == batch_id).drop(column).write.mode("overwrite").parquet(target)
 
-    def replace_batches(self, df: DataFrame, layer: str, name: str, batches: Iterable[int]) -> None:
+    def replace_batches(self, df: DataFrame, layer: str, name: str, batches: Iterable[int], column: str = BATCH) -> None:
         """Replace the named batches by their rows in ``df``, in one write; others stay as they are.
 
         A batch without rows is emptied as well.
@@ -56,13 +56,13 @@ class Store:
         if not batches:
             return
         seen = Observation()
-        rows = df.filter(F.col(BATCH).isin(*batches)).observe(seen, F.collect_set(BATCH).alias("batches"))
+        rows = df.filter(F.col(column).isin(*batches)).observe(seen, F.collect_set(column).alias("batches"))
         (
-            rows.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH).parquet(self.path(layer, name))
+            rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column).parquet(self.path(layer, name))
         )
         for batch_id in set(batches) - set(seen.get.get("batches") or ()):
-            self.write_batch(df.limit(0), layer, name, batch_id)
+            self.write_batch(df.limit(0), layer, name, batch_id, column)
 
     def write_landing(self, lines: DataFrame, name: str, batch_id: int, counts: dict[str, Column]) -> list[int]:
         """Replace the lines of one batch, rows and rejects side by side, in one write.

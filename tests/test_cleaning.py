@@ -144,3 +144,32 @@ def test_exponents_that_lose_digits_are_refused(spark):
     df = spark.createDataFrame([(t,) for t in given], "t string").coalesce(1)
     got = [r[0] for r in df.select(columns.typed(F.col("t"), "money", strict=False)).collect()]
     assert [None if g is None else float(g) for g in got] == [None, None, 1e-10, 2500.0, 100000.0, 123.456789, 0.0, None, None, None, -0.0003]
+
+
+def test_clock_changes(spark):
+    """Hours that a clock shows twice or skips, by the rule asked for."""
+    times = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "2024-11-03 00:30:00", "2024-07-01 12:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").coalesce(1).select(F.col("t").cast("timestamp_ntz").alias("t"))
+
+    def shown(**rules):
+        return [str(r[0])[5:16] if r[0] else None for r in df.select(columns.utc(F.col("t"), "America/New_York", **rules)).collect()]
+
+    assert shown() == ["03-10 07:30", "11-03 05:30", "11-03 04:30", "07-01 16:00"]
+    assert shown(doubled="second", missing="null") == [None, "11-03 06:30", "11-03 04:30", "07-01 16:00"]
+    # Clocks of Lord Howe Island change by half an hour.
+    half = spark.sql("select timestamp_ntz'2024-04-07 01:45:00' as t")
+    assert [str(half.select(columns.utc(F.col("t"), "Australia/Lord_Howe", d)).first()[0])[11:16] for d in ("first", "second")] == ["14:45", "15:15"]
+
+
+def test_zones_by_source_and_by_row(spark):
+    tickets = spark.createDataFrame(
+        [("1", "C1", "2024-01-01T12:00:00", None, 1), ("2", "C1", "2024-01-01T12:00:00", "Asia/Tokyo", 1)],
+        "ticket_id string, customer_id string, created_at string, _zone string, _batch_id int")
+    plain = tickets.drop("_zone")
+
+    def hours(raw, **options):
+        return [r[0] for r in rows(stage.stage(contract.SUPPORT_TICKETS, {"support_tickets": raw}, **options), F.hour("created_at"))]
+
+    assert hours(plain) == [12, 12] and hours(plain, zones={"support_tickets": "Europe/Berlin"}) == [11, 11]
+    assert hours(tickets) == [12, 3] and hours(tickets, zones={"support_tickets": "Europe/Berlin"}) == [11, 3]
+    assert "_zone" not in stage.stage(contract.SUPPORT_TICKETS, {"support_tickets": tickets}).columns

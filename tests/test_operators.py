@@ -231,3 +231,15 @@ def test_offending_values(spark):
     df = spark.createDataFrame([("x",), ("x",), ("ok",), (None,)], "c string")
     found = quality.offending_values(df, [quality.Check("t", "c", "accepted_values", ("ok",)), quality.Check("t", "c", "not_null")])
     assert ("c", "x", 2) in rows(found)
+
+
+def test_merged_sketches_stay_within_the_error(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("a"), F.when(F.col("id") % 5 == 0, F.col("id")).alias("b"), (F.col("id") % 7).cast("int").alias(BATCH))
+    kept = quality.sketch(df, ["a", "b"])
+    assert kept.count() == 14
+    merged = {r["column"]: r for r in quality.profile_of(kept).collect()}
+    assert (merged["a"]["rows"], merged["a"]["nulls"], merged["b"]["nulls"]) == (60_000, 0, 48_000)
+    for column, exact in (("a", 20_000), ("b", 12_000)):
+        assert abs(merged[column]["distinct_values"] - exact) <= quality.SKETCH_ERROR * exact
+    by_batch = quality.profile_of(kept, BATCH)
+    assert by_batch.count() == 14 and quality.profile_of(quality.sketch(df.limit(0), ["a"])).count() == 0

@@ -133,6 +133,25 @@ def test_corrections_repeats_and_rejects_pass_the_build(spark, tmp_path):
     assert t["fct_payments"].count() == 1
 
 
+def test_updates_batch_by_batch_equal_a_build(spark, built, tmp_path):
+    """Staged batches arriving one after the other leave what a build of all of them leaves."""
+    _, _, t = built
+    staged = {n: t[f"stg_{n}"] for n in ("customers", "subscriptions", "plans", "invoices", "payments", "usage_events", "support_tickets")}
+    store = Store(spark, str(tmp_path))
+    for newest in (1, 2, 3, 3):
+        written = warehouse.update(store, {
+            f"stg_{n}": df if n == "plans" else df.filter(F.col(BATCH) <= newest) for n, df in staged.items()
+        })
+    assert written == {"snap_customers": [], "fct_invoices": [], "fct_payments": []}
+    for name in ("dim_customer", "dim_plan", "fct_subscriptions", "fct_invoices", "fct_payments"):
+        columns = [c for c in t[name].columns if c != "customer_sk"]
+        assert rows(store.load("core", name), *columns) == rows(t[name], *columns)
+    for name in ("mart_mrr", "mart_churn", "mart_nrr", "mart_usage", "mart_support"):
+        assert rows(store.load("mart", name), *t[name].columns) == rows(t[name], *t[name].columns)
+    report = warehouse.check_stored(store)
+    assert report.filter("not passed").count() == 0 and report.filter("table = 'mart_nrr'").count() == 1
+
+
 def usage_file(spark, folder, *data):
     df = spark.createDataFrame(list(data), f"customer_id string, event_date string, metric_name string, quantity decimal(18,4), {BATCH} int")
     df.withColumn("event_date", F.col("event_date").cast("date")).coalesce(1).write.mode("append").parquet(folder)
