@@ -310,7 +310,8 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
     spans are the merged words inside any occurrence of a window; items the sorted ids of the
     items with an occurring window. NULL text has no words; a missing doc_id stays NULL;
-    repeated rows are searched each; no benchmark gives empty spans. Extra columns are not read.
+    repeated rows are searched each, texts whole, however long; no benchmark gives empty spans, no
+    documents no rows. Extra columns are not read.
     """
     blocks = benchmark_blocks(benchmark, limit)
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -396,7 +397,8 @@ def remove_passages(documents: DataFrame, benchmark: DataFrame, window: int = WI
     The words inside any occurrence of any window go at once, so the result does not depend on
     the blocks of the benchmark. What is left around a cut could spell a window anew; such text
     is searched again until nothing is found. Rows without an occurrence keep their text to the
-    letter.
+    letter; NULL text stays NULL; repeated rows and rows without doc_id are cut each, texts of any
+    length as a whole. No documents give no rows.
     """
     blocks = benchmark_blocks(benchmark, limit)
     count = next((f.name for f in documents.schema.fields if f.name == "n_chars" and isinstance(f.dataType, (T.LongType, T.IntegerType))), None)

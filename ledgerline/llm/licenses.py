@@ -118,8 +118,8 @@ def license_scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     texts with that digest; notices the sorted names of known texts that are an entire line of
     a document of that id. Both are joins on the digest, so the catalogue may have any size.
     NULL text is empty text; a text without words has the digest of the empty form and no
-    licence. Repeated rows are looked up each; a row without doc_id has no notices; extra
-    columns are not read.
+    licence. Texts are looked up whole, however long. Repeated rows are looked up each; a row
+    without doc_id has no notices; extra columns are not read. An empty table gives no rows.
     """
     lines = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text").cast("string")).alias("lines")

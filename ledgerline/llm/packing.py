@@ -239,8 +239,8 @@ def pack(documents: DataFrame, tokenizer: str, end: int = END, length: int = LEN
 
     A document's ids (with ``end``) are cut only if longer than ``length``; the pieces of a
     sequence stand gapless from 0. NULL text is empty text and is its end id alone; a missing
-    doc_id stays NULL; repeated rows are documents of their own; extra columns are not read; an
-    empty table gives no rows.
+    doc_id stays NULL; repeated rows are documents of their own; texts of any length are encoded
+    whole; extra columns are not read; an empty table gives no rows.
     """
     made = pieces(documents, tokenizer, end, length)
     counts = made.groupBy("length", "part").agg((F.max("nth") + 1).alias("n"))

@@ -363,8 +363,9 @@ def personal_data(documents: DataFrame) -> DataFrame:
     """doc_id, base, spans of every row: the patterns' spans, and those with the field's added.
 
     Spans count code points, end exclusive, and are ordered by kind (as in KINDS) and start.
-    NULL text is empty text and has none; repeated rows are searched each; a missing doc_id
-    stays NULL; extra columns are not read. An empty table gives no rows.
+    NULL text is empty text and has none; texts are searched whole, however long; repeated rows are
+    searched each; a missing doc_id stays NULL; extra columns are not read. An empty table gives
+    no rows.
     """
     scanned = written(scan(documents), "regions")
     field = field_of(scanned)
@@ -395,7 +396,11 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def mask(documents: DataFrame, field: Field) -> DataFrame:
-    """All rows with all columns; personal data in text masked, n_chars (if there) the new length."""
+    """All rows with all columns; personal data in text masked, n_chars (if there) the new length.
+
+    NULL text stays NULL; repeated rows and rows without doc_id are masked each; texts are masked
+    whole, however long. An empty table gives no rows.
+    """
     count = next((f.name for f in documents.schema.fields if f.name == "n_chars" and isinstance(f.dataType, (T.LongType, T.IntegerType))), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

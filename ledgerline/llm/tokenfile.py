@@ -113,7 +113,8 @@ def write_files(documents: DataFrame, folder: str, tokenizer: str, end: int = EN
     Rows are ranged by doc_id (rows without one first, equal ids by a hash of the text), so
     file by file and inside a file they ascend. A file's name is new for every attempt of a
     task, and the returned table names those of the attempts that counted: a task may fail or
-    run twice. NULL text is empty text. No documents give no files.
+    run twice. NULL text is empty text; repeated rows are documents each; texts of any length are
+    written whole; extra columns are not read. No documents give no files.
     """
     schema = "part int, file string, docs long, tokens long"
     order = ["doc_id", "_order"]
