@@ -8,8 +8,10 @@ locality-sensitive hashing, and its candidates stay near in proportion to the na
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,6 +185,61 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return 1 - F.try_divide(F.levenshtein(a, b).cast("double"), F.greatest(F.length(a), F.length(b)).cast("double"))
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * _P2
+    x = (x ^ (x >> np.uint64(29))) * _P3
+    return x ^ (x >> np.uint64(32))
+
+
+def _hash_long(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of 64-bit numbers, as ``F.xxhash64`` chains it."""
+    x = (seed + _P5 + np.uint64(8)) ^ (_turned(value * _P2, 31) * _P1)
+    return _mixed(_turned(x, 27) * _P1 + _P4)
+
+
+def _hash_int(number: int, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of a 32-bit number with seeds."""
+    x = (seed + _P5 + np.uint64(4)) ^ (np.array([number], dtype=np.uint64) * _P1)
+    return _mixed(_turned(x, 23) * _P2 + _P3)
+
+
+def piece_seeds(pieces: np.ndarray) -> np.ndarray:
+    return _hash_long(pieces.astype(np.int64).view(np.uint64), np.array([42], dtype=np.uint64))
+
+
+def uniform(number: int, seeds: np.ndarray) -> np.ndarray:
+    """What pieces with these seeds draw by that number: above 0, at most 1."""
+    return ((_hash_int(number, seeds) >> np.uint64(11)) + np.uint64(1)) / float(1 << 53)
+
+
+def band_keys(grams: np.ndarray, weights: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """names × bands of the names whose pieces lie between ``offsets``, each name with at least one.
+
+    What a piece draws depends on it alone, so each piece is drawn for once and looked up by the names.
+    """
+    if len(offsets) < 2:
+        return np.empty((0, bands), dtype=np.int64)
+    distinct, first, place = np.unique(grams, return_index=True, return_inverse=True)
+    seeds = piece_seeds(distinct)
+    weight, place = weights[first], place.reshape(-1)
+    keys = np.empty((len(offsets) - 1, bands), dtype=np.int64)
+    for band in range(bands):
+        key = np.full(len(offsets) - 1, 42, dtype=np.uint64)
+        for number in range(band * rows, (band + 1) * rows):
+            drawn = np.minimum.reduceat((-np.log(uniform(number, seeds)) / weight)[place], offsets[:-1])
+            key = _hash_long(drawn.view(np.uint64), key)
+        keys[:, band] = key.view(np.int64)
+    return keys
+
+
 def _band_keys(names: DataFrame) -> DataFrame:
     """side, id, first (number of the band), gram (its key) for names (side, id, grams).
 
@@ -200,18 +257,20 @@ def _band_keys(names: DataFrame) -> DataFrame:
     spread = join_lookup(pieces, rarity, ["gram"]).repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "side", "id")
     weighted = spread.groupBy("side", "id").agg(F.collect_list(F.struct("gram", "weight")).alias("pieces"))
 
-    def draw(number: Column) -> Column:
-        def value(piece: Column) -> Column:
-            u = (F.shiftrightunsigned(F.xxhash64(piece["gram"], number), 11) + 1).cast("double") / float(1 << 53)
-            return -F.log(u) / piece["weight"]
-
-        return F.array_min(F.transform("pieces", value))
-
-    def key(band: Column) -> Column:
-        return F.xxhash64(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: draw(band * rows + i)))
-
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)
-    return weighted.select("side", "id", F.posexplode(keys).alias("first", "gram"))
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("pieces")
+            ends, held = np.asarray(lists.offsets), lists.values
+            offsets = ends - ends[0]
+            grams = held.field("gram").to_numpy()[ends[0]:ends[-1]]
+            weights = held.field("weight").to_numpy()[ends[0]:ends[-1]]
+            keys = np.ascontiguousarray(band_keys(grams, weights, offsets, bands, rows))
+            steps = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * bands)
+            listed = pa.ListArray.from_arrays(steps, pa.array(keys.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("side"), batch.column("id"), listed], names=["side", "id", "keys"])
+
+    keys = weighted.select("side", "id", "pieces").mapInArrow(keyed, "side int, id bigint, keys array<bigint>")
+    return keys.select("side", "id", F.posexplode("keys").alias("first", "gram"))
 
 
 def banded_names(names: DataFrame) -> DataFrame:
