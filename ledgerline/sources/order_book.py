@@ -154,24 +154,34 @@ def invoices(spark: SparkSession, folder: str) -> DataFrame:
 
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """One payment per order line; the payer is the customer of the order."""
+    return _payments(table(spark, folder, "lineitem").join(_payer(spark, folder), "l_orderkey", "left"), "customer_id")
+
+
+def payment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The payments without their payers, see :func:`payers`."""
+    return _payments(table(spark, folder, "lineitem"))
+
+
+def payers(spark: SparkSession, folder: str) -> DataFrame:
+    """invoice_id, customer_id: the customer of every order pays its invoice."""
+    return _payer(spark, folder).withColumnRenamed("l_orderkey", "invoice_id")
+
+
+def _payments(lines: DataFrame, *payer: str) -> DataFrame:
     amount = _money("l_extendedprice")
     fee = (amount * F.col("l_tax").cast("decimal(4,2)")).cast(NUMBER)
-    return (
-        table(spark, folder, "lineitem")
-        .join(_payer(spark, folder), "l_orderkey", "left")
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
-            F.col("l_orderkey").alias("invoice_id"),
-            "customer_id",
-            amount.alias("amount"),
-            F.when(F.col("l_linestatus") == "O", "card").otherwise("wire").alias("payment_method"),
-            F.col("l_shipdate").alias("payment_date"),
-            F.when(F.col("l_returnflag") == "R", "refunded").when(F.col("l_returnflag") == "A", "completed").otherwise("pending").alias("status"),
-            F.concat_ws("-", "l_partkey", "l_suppkey").alias("transaction_ref"),
-            fee.alias("processor_fee"),
-            (amount - fee).cast(NUMBER).alias("net_amount"),
-            _year_batch("l_shipdate").alias(BATCH),
-        )
+    return lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
+        F.col("l_orderkey").alias("invoice_id"),
+        *payer,
+        amount.alias("amount"),
+        F.when(F.col("l_linestatus") == "O", "card").otherwise("wire").alias("payment_method"),
+        F.col("l_shipdate").alias("payment_date"),
+        F.when(F.col("l_returnflag") == "R", "refunded").when(F.col("l_returnflag") == "A", "completed").otherwise("pending").alias("status"),
+        F.concat_ws("-", "l_partkey", "l_suppkey").alias("transaction_ref"),
+        fee.alias("processor_fee"),
+        (amount - fee).cast(NUMBER).alias("net_amount"),
+        _year_batch("l_shipdate").alias(BATCH),
     )
 
 
