@@ -28,14 +28,12 @@ class Store:
     def materialize(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Stage becomes a view (always current); other layers are replaced as a whole.
 
-        Written rows are rebalanced by the partition columns: files get an even size and
-        a batch that is much larger than the rest is split over several tasks.
+        Rows are written by the tasks that made them, each a file per batch it holds: a batch much
+        larger than the rest is spread over tasks, and no row is shuffled again only to be written.
         """
         if layer == "stage":
             df.createOrReplaceTempView(f"stage_{name}")
             return df
-        if partition_by:
-            df = df.hint("rebalance", *partition_by)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
         return self.load(layer, name)
 
@@ -58,7 +56,7 @@ class Store:
         seen = Observation()
         rows = df.filter(F.col(column).isin(*batches)).observe(seen, F.collect_set(column).alias("batches"))
         (
-            rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(column).parquet(self.path(layer, name))
         )
         for batch_id in set(batches) - set(seen.get.get("batches") or ()):
