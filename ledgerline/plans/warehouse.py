@@ -189,6 +189,8 @@ def append_new_batches(store: Store, name: str, fact: DataFrame) -> list[int]:
     whole, so a run that fails half-way can simply be repeated. Rows without a batch
     number cannot be placed: they replace the layer ``rejects`` of that name.
     """
+    # The fact is joined once; finding, writing, noting and refusing read what that gave.
+    fact = stored(fact, f"fact-{name}")
     new = maintained.changed_batches(store, name, fact)
     store.replace_batches(fact, "core", name, new)
     maintained.note_batches(store, name, fact, new)
